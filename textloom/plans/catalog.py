@@ -1,3 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
 from textloom.plans import text_queries  # noqa: F401
+from textloom.plans import sampling_queries  # noqa: F401
