@@ -57,3 +57,89 @@ def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     if top is not None:
         out = out.orderBy(F.desc("n"), F.asc(col)).limit(top)
     return out
+
+
+def distinct_counts(df: DataFrame, categorical_below: int = 20) -> DataFrame:
+    """AGG-06: exact distinct values per column, one row per column.
+
+    All columns in one aggregate (Spark rewrites multiple DISTINCTs into an
+    Expand + two-level aggregation, partially combined before each shuffle).
+    """
+    cols = df.columns
+    agg = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
+    stacked = agg.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("n_distinct")) for c in cols
+    ])).alias("s")).select("s.*")
+    return stacked.withColumn("is_categorical", F.col("n_distinct") < categorical_below)
+
+
+def describe(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
+    """AGG-07: count, mean, sample std, min, exact quartiles (linear interpolation), max."""
+    x = F.col(col)
+    q = F.percentile(x, [0.25, 0.5, 0.75])
+    aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).cast("double").alias("min"), q.alias("_q"), F.max(x).cast("double").alias("max")]
+    out = df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
+    return out.select(*([group] if group else []), "count", "mean", "std", "min",
+                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
+                      F.col("_q")[2].alias("p75"), "max")
+
+
+def five_number(df: DataFrame, col: str, group: str) -> DataFrame:
+    """AGG-13: min, quartiles, median, max per group (box-plot inputs)."""
+    x = F.col(col)
+    out = df.groupBy(group).agg(F.min(x).cast("double").alias("min"),
+                                F.percentile(x, [0.25, 0.5, 0.75]).alias("_q"),
+                                F.max(x).cast("double").alias("max"))
+    return out.select(group, "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                      F.col("_q")[2].alias("q3"), "max")
+
+
+def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
+    """AGG-12: equal-width bins between min and max; the last bin includes the max."""
+    bounds = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
+    lo = bounds.select("lo").scalar()
+    hi = bounds.select("hi").scalar()
+    width = (hi - lo) / F.lit(float(bins))
+    b = F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1))).cast("int")
+    counts = df.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("bin", (lo + F.col("bin") * width).alias("bin_lo"),
+                         (lo + (F.col("bin") + 1) * width).alias("bin_hi"), "n")
+
+
+def recode(c: Column, mapping: dict[str, str]) -> Column:
+    """PRJ-08: replace listed values, keep the rest."""
+    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return F.coalesce(F.try_element_at(m, c), c)
+
+
+def estimated_words(df: DataFrame) -> Column:
+    """PRJ-23: ``word_count`` if present, else ``pages * 300``, else null (schema test)."""
+    cols = set(df.columns)
+    if "word_count" in cols and "pages" in cols:
+        return F.coalesce(F.col("word_count"), F.col("pages") * 300)
+    if "word_count" in cols:
+        return F.col("word_count")
+    if "pages" in cols:
+        return F.col("pages") * 300
+    return F.lit(None).cast("bigint")
+
+
+_NUMERIC = ("byte", "short", "int", "bigint", "long", "float", "double", "decimal")
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """AGG-14: per column kind (numeric/text), nulls and distinct values; rows and columns."""
+    kinds = {f.name: ("numeric" if f.dataType.simpleString().startswith(_NUMERIC) else "text")
+             for f in df.schema.fields}
+    cols = df.columns
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[(F.count(F.lit(1)) - F.count(F.col(c))).alias(f"_n_{i}") for i, c in enumerate(cols)],
+                 *[F.count_distinct(F.col(c)).alias(f"_d_{i}") for i, c in enumerate(cols)])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("kind"),
+                 F.col(f"_n_{i}").cast("bigint").alias("n_null"),
+                 F.col(f"_d_{i}").cast("bigint").alias("n_distinct")) for i, c in enumerate(cols)]))
+    return agg.select(rows.alias("s"), F.col("_rows").cast("bigint").alias("n_rows"),
+                      F.lit(len(cols)).cast("bigint").alias("n_columns")).select("s.*", "n_rows", "n_columns")

@@ -95,3 +95,15 @@ def predictions(docs: DataFrame) -> DataFrame:
         F.col("upos").alias("gold"),
         F.when(_hexdigit(h, 1) < 3, F.lit("NOUN")).otherwise(F.col("upos")).alias("pred"),
         (_hexdigit(h, 2, 2) / F.lit(255.0)).alias("score"))
+
+
+def catalogue(docs: DataFrame) -> DataFrame:
+    """SRC-06 stand-in: documents as a book catalogue (author = source, language = lang).
+
+    ``pages`` is derived from the length; there is no ``word_count`` column, so
+    PRJ-23 falls back to ``pages * 300``.
+    """
+    return docs.select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("language"), F.col("source").alias("author"),
+        F.ceil(F.col("n_chars") / F.lit(1500)).cast("bigint").alias("pages"),
+        F.concat(F.lit("/cover_img/"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("img"))

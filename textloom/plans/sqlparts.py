@@ -99,4 +99,19 @@ def with_ctes(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order) + "\n" + body
+    head = "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return head + ",\n" + stripped[5:]
+    return head + "\n" + body
+
+
+register_cte("catalogue", (), """
+    SELECT doc_id AS id, lang AS language, source AS author, ceil(n_chars / 1500)::BIGINT AS pages,
+           '/cover_img/' || doc_id || '.jpg' AS img FROM documents""")
+register_cte("doc_split", (), """
+    SELECT doc_id, CASE WHEN r <= greatest(1, floor(n * 0.8::DOUBLE)) THEN 'train'
+                        WHEN r <= greatest(1, floor(n * 0.8::DOUBLE)) + greatest(1, floor(n * 0.1::DOUBLE))
+                             THEN 'validation' ELSE 'test' END AS split
+    FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r,
+                 count(*) OVER () AS n FROM documents)""")
