@@ -3,3 +3,4 @@
 from textloom.plans import text_queries  # noqa: F401
 from textloom.plans import sampling_queries  # noqa: F401
 from textloom.plans import profile_queries  # noqa: F401
+from textloom.plans import lexicon_queries  # noqa: F401

@@ -107,3 +107,18 @@ def catalogue(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("lang").alias("language"), F.col("source").alias("author"),
         F.ceil(F.col("n_chars") / F.lit(1500)).cast("bigint").alias("pages"),
         F.concat(F.lit("/cover_img/"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("img"))
+
+
+def lexicon_tsv(docs: DataFrame) -> DataFrame:
+    """C.4 lexicon stand-in as ragged TSV lines: first word, then up to three more."""
+    lines = accented_lines(docs)
+    words = T.tokens(T.utrim(F.col("raw")), "ws")
+    return (lines.select("doc_id", "line_no", F.concat_ws("\t", F.slice(words, 1, 4)).alias("tsv"))
+            .filter(F.col("tsv") != ""))
+
+
+def lexicon_entries(docs: DataFrame) -> DataFrame:
+    """SRC-09 over C.4: (doc_id, line_no, pos, eng, haw)."""
+    from textloom.sources.formats import parse_ragged_tsv
+    return (parse_ragged_tsv(lexicon_tsv(docs), "tsv", ["doc_id", "line_no"])
+            .withColumnRenamed("head", "eng").withColumnRenamed("value", "haw"))

@@ -115,3 +115,16 @@ register_cte("doc_split", (), """
                              THEN 'validation' ELSE 'test' END AS split
     FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r,
                  count(*) OVER () AS n FROM documents)""")
+register_cte("lex_entries", ("acc_lines",), f"""
+    SELECT doc_id, line_no, p[1] AS eng, generate_subscripts(p[2:], 1)::INTEGER AS pos, unnest(p[2:]) AS haw
+    FROM (SELECT doc_id, line_no, string_split({trim('tsv')}, chr(9)) AS p FROM (
+            SELECT doc_id, line_no, array_to_string({toks(trim('raw'), 'ws')}[1:4], chr(9)) AS tsv
+            FROM acc_lines) WHERE tsv <> '')""")
+register_cte("lex_inv", ("lex_entries",), f"""
+    SELECT haw, string_agg(eng, ', ' ORDER BY n DESC, first) AS eng, count(*)::BIGINT AS n_eng,
+           min(first) AS first
+    FROM (SELECT haw, eng, count(*) AS n, min(struct_pack(d := doc_id, l := line_no, p := pos)) AS first
+          FROM (SELECT doc_id, line_no, pos, eng, translate(haw, '{T.LEFT_QUOTE}', '{T.OKINA}') AS haw
+                FROM lex_entries)
+          WHERE NOT regexp_matches(haw, '^\\p{{Lu}}*$') GROUP BY haw, eng)
+    GROUP BY haw""")
