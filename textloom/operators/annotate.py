@@ -2,7 +2,7 @@
 
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
@@ -66,3 +66,198 @@ def token_offsets(df: DataFrame, keys, text_col: str, kind: str = "annot") -> Da
             .select(*k, (F.col("p") + 1).cast("int").alias("tok_idx"),
                     F.col("t.token").alias("token"), F.col("t.start").alias("start"),
                     F.col("t.end").alias("end")))
+
+
+# ------------------------------------------------------------------ CoNLL-U --
+
+CONLLU_FIELDS = ["id", "form", "lemma", "upos", "xpos", "feats", "head", "deprel", "deps", "misc"]
+
+
+def conllu_token_line(idx, form, upos, lemma=None):
+    """SNK-02 row: ``idx form lemma upos _ _ 0 dep _ _`` (lemma defaults to lower(form))."""
+    lem = F.lower(form) if lemma is None else lemma
+    return F.concat_ws("\t", idx.cast("string"), form, lem, upos, F.lit("_"), F.lit("_"),
+                       F.lit("0"), F.lit("dep"), F.lit("_"), F.lit("_"))
+
+
+def to_conllu_blocks(tokens: DataFrame, sent_keys, sent_id: Column, text: Column,
+                     idx_col: str = "tok_idx", form_col: str = "form", upos_col: str = "upos") -> DataFrame:
+    """SNK-02: one CoNLL-U block per sentence: ``# sent_id``, ``# text``, token rows.
+
+    Groups by sentence (one shuffle; a group is one sentence's tokens) and
+    orders rows by token index.  Output: sent_keys..., block.
+    """
+    k = _keys(sent_keys)
+    rows = tokens.select(*k, sent_id.alias("_sid"), text.alias("_text"), F.col(idx_col).alias("_i"),
+                         conllu_token_line(F.col(idx_col), F.col(form_col), F.col(upos_col)).alias("_row"))
+    grouped = rows.groupBy(*k).agg(
+        F.first("_sid").alias("_sid"), F.first("_text").alias("_text"),
+        F.array_sort(F.collect_list(F.struct("_i", "_row"))).alias("_rows"))
+    header = F.concat(F.lit("# sent_id = "), F.col("_sid"), F.lit("\n# text = "), F.col("_text"), F.lit("\n"))
+    body = F.array_join(F.transform("_rows", lambda r: r["_row"]), "\n")
+    return grouped.select(*k, F.concat(header, body).alias("block"))
+
+
+def write_conllu(blocks: DataFrame, path: str, block_col: str = "block") -> None:
+    """SNK-02 sink: blocks separated by a blank line (``lineSep='\\n\\n'``)."""
+    blocks.select(F.concat(F.col(block_col), F.lit("\n")).alias("value")).write.mode("overwrite") \
+        .option("lineSep", "\n\n").text(path)
+
+
+def parse_conllu_blocks(df: DataFrame, block_col: str = "block", keys=(), keep_ghosts: bool = False) -> DataFrame:
+    """SRC-03: one record per sentence block → one row per token, row-local.
+
+    Comments ``# key = value`` become a map; ``sent_id`` and ``text`` are lifted.
+    Rows whose ID is not an integer (ghost rows, multi-word ranges, empty
+    nodes) are dropped unless ``keep_ghosts``.
+    """
+    k = list(keys)
+    lines = F.split(F.regexp_replace(F.col(block_col), r"^[\r\n]+|[\r\n]+$", ""), "\r?\n")
+    comments = F.filter(lines, lambda ln: ln.startswith("#"))
+    kv = F.transform(comments, lambda c: F.split(F.regexp_replace(c, r"^#\s*", ""), r"\s*=\s*", 2))
+    meta = F.map_from_entries(F.transform(
+        F.filter(kv, lambda a: F.size(a) == 2), lambda a: F.struct(a[0].alias("key"), a[1].alias("value"))))
+    toks = F.filter(lines, lambda ln: ~ln.startswith("#") & (ln != ""))
+    base = df.select(*k, meta.alias("meta"), toks.alias("_t")).select(
+        *k, F.col("meta")["sent_id"].alias("sent_id"), F.col("meta")["text"].alias("text"),
+        F.posexplode("_t").alias("_line", "_r"))
+    f = F.split("_r", "\t")
+    out = base.select(*k, "sent_id", "text", (F.col("_line") + 1).cast("int").alias("line_in_block"),
+                      *[F.try_element_at(f, F.lit(i + 1)).alias(n) for i, n in enumerate(CONLLU_FIELDS)])
+    if not keep_ghosts:
+        out = out.filter(F.col("id").rlike(r"^[0-9]+$"))
+    return out
+
+
+def read_conllu(spark, path: str, keep_ghosts: bool = False) -> DataFrame:
+    """SRC-03 from files: the blank line is the record separator, so a sentence is one record."""
+    blocks = spark.read.option("lineSep", "\n\n").text(path).withColumnRenamed("value", "block")
+    blocks = blocks.filter(F.regexp_replace("block", r"\s", "") != "")
+    return parse_conllu_blocks(blocks.withColumn("src", F.col("_metadata.file_path")), "block",
+                               ["src"], keep_ghosts)
+
+
+# Bilingual numbered comment (``# 7. <text> = <translation>``).
+COMMENT_RE = rf"^#[{T.SPACE}]*\p{{Nd}}+\.[{T.SPACE}]*([^\n]+?)[{T.SPACE}]*=[{T.SPACE}]*[^\n]*$"
+
+
+def comment_sentence(line: Column) -> Column:
+    """PRJ-06: the sentence of a ``# N. sentence = translation`` comment, else null."""
+    ln = T.utrim(line)
+    m = F.regexp_extract(ln, COMMENT_RE, 1)
+    return F.when(ln.startswith("#") & ln.contains("=") & ln.rlike(COMMENT_RE), T.utrim(m))
+
+
+def comment_text(line: Column) -> Column:
+    """PRJ-07: strip '#' and spaces from the left, then strip."""
+    return T.utrim(F.regexp_replace(line, r"^[# ]+", ""))
+
+
+# ------------------------------------------------------------ span joins --
+
+SPAN_BUCKET = 64
+
+
+def span_table(spans: DataFrame, sent_keys) -> DataFrame:
+    """SRC-05 semantics: spans keyed by (start, end); the last label written for a
+    key wins, the key keeps the position of its first occurrence (dict order)."""
+    k = _keys(sent_keys)
+    return spans.groupBy(*k, "start", "end").agg(
+        F.max_by("label", "span_ord").alias("label"), F.min("span_ord").alias("key_ord"))
+
+
+def exact_labels(tokens: DataFrame, spans: DataFrame, sent_keys, default: str = "_") -> DataFrame:
+    """JOIN-01: label of the span with exactly the token's offsets, else ``default``."""
+    k = _keys(sent_keys)
+    keyed = span_table(spans, k).select(*k, "start", "end", F.col("label").alias("_lab"))
+    return (tokens.join(keyed, k + ["start", "end"], "left")
+            .withColumn("label", F.coalesce(F.col("_lab"), F.lit(default))).drop("_lab"))
+
+
+def _buckets(start: Column, end: Column) -> Column:
+    last = F.greatest(start, end - 1)
+    return F.sequence(F.floor(start / SPAN_BUCKET), F.floor(last / SPAN_BUCKET))
+
+
+def best_labels(tokens: DataFrame, spans: DataFrame, sent_keys, tok_keys) -> DataFrame:
+    """JOIN-02: exact non-empty label; else the first overlapping span in
+    annotation order; else PUNCT for punctuation tokens; else X.
+
+    The overlap search is a bucketed range join: spans and tokens are exploded
+    into the fixed-width character buckets they touch and equi-joined on
+    (sentence, bucket) with the overlap test as residual, so work is
+    proportional to local overlaps, never to all pairs of a sentence.
+    """
+    k = _keys(sent_keys)
+    tk = _keys(tok_keys)
+    keyed = span_table(spans, k)
+    exact = keyed.select(*k, "start", "end", F.col("label").alias("_exact"))
+    sb = keyed.select(*k, F.col("start").alias("_ss"), F.col("end").alias("_se"), "label", "key_ord",
+                      F.explode(_buckets(F.col("start"), F.col("end"))).alias("_b"))
+    tb = tokens.select(*k, *[c for c in tk if c not in k], "start", "end",
+                       F.explode(_buckets(F.col("start"), F.col("end"))).alias("_b"))
+    overlap = (tb.join(sb, k + ["_b"])
+               .filter(~((F.col("end") <= F.col("_ss")) | (F.col("start") >= F.col("_se"))))
+               .groupBy(*dict.fromkeys(k + tk))
+               .agg(F.min_by("label", "key_ord").alias("_over")))
+    j = (tokens.join(exact, k + ["start", "end"], "left")
+         .join(overlap, list(dict.fromkeys(k + tk)), "left"))
+    label = (F.when(F.coalesce(F.col("_exact"), F.lit("")) != "", F.col("_exact"))
+             .when(F.col("_over").isNotNull(), F.col("_over"))
+             .when(T.is_punct(F.col("form")), F.lit("PUNCT"))
+             .otherwise(F.lit("X")))
+    return j.withColumn("label", label).drop("_exact", "_over")
+
+
+# ------------------------------------------------------------ labels --
+
+def label_ids(tags: DataFrame, tag_col: str = "upos") -> DataFrame:
+    """AGG-17: sorted distinct labels, id = 0-based rank (the label set is small)."""
+    from pyspark.sql import Window
+    d = tags.select(F.col(tag_col).alias("label")).distinct()
+    return d.withColumn("id", (F.row_number().over(Window.orderBy("label")) - 1).cast("int"))
+
+
+def zip_tokens_tags(df: DataFrame, keys, tokens_col: str = "tokens", tags_col: str = "tags") -> DataFrame:
+    """PRJ-11 + JOIN-07: drop sentences whose arrays differ in length, flatten the
+    pairs, drop blank tokens.  Row-local (no shuffle)."""
+    k = _keys(keys)
+    ok = df.filter(F.size(tokens_col) == F.size(tags_col))
+    flat = ok.select(*k, F.posexplode(F.arrays_zip(F.col(tokens_col).alias("token"),
+                                                    F.col(tags_col).alias("tag"))).alias("p", "z"))
+    return (flat.select(*k, (F.col("p") + 1).cast("int").alias("tok_idx"),
+                        F.col("z.token").alias("token"), F.col("z.tag").alias("tag"))
+            .filter(T.utrim(F.col("token")) != ""))
+
+
+SPAN_JSON_SCHEMA = "array<struct<start:int,end:int,labels:array<string>>>"
+
+
+def spans_to_json(spans: DataFrame, sent_keys) -> DataFrame:
+    """JSN-01 serialise: one label-JSON string per sentence, spans in annotation order."""
+    k = _keys(sent_keys)
+    g = spans.groupBy(*k).agg(F.array_sort(F.collect_list(
+        F.struct("span_ord", "start", "end", F.array("label").alias("labels")))).alias("_s"))
+    return g.select(*k, F.to_json(F.transform("_s", lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["labels"].alias("labels")))).alias("label_json"))
+
+
+def spans_from_json(df: DataFrame, sent_keys, json_col: str) -> DataFrame:
+    """SRC-05 / JSN-01 parse: label JSON → span rows; spans without labels dropped,
+    blank or malformed JSON → no spans.  Label = first of ``labels``."""
+    k = _keys(sent_keys)
+    parsed = F.from_json(F.col(json_col), SPAN_JSON_SCHEMA)
+    kept = F.filter(F.coalesce(parsed, F.array()), lambda s: F.coalesce(F.size(s["labels"]), F.lit(0)) > 0)
+    return (df.select(*k, F.posexplode(kept).alias("span_ord", "s"))
+            .select(*k, "span_ord", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
+                    F.col("s.labels")[0].alias("label")))
+
+
+def map_labels(df: DataFrame, ids: DataFrame, tag_col: str) -> DataFrame:
+    """JOIN-04: label → id through a broadcast of the label table (a tag set is
+    tiny by construction); an unseen label fails the job."""
+    j = df.join(F.broadcast(ids.withColumnRenamed("label", tag_col)), tag_col, "left")
+    j = j.withColumn("id", F.when(F.col("id").isNull(),
+                                  F.raise_error(F.concat(F.lit("unknown label: "), F.col(tag_col))))
+                     .otherwise(F.col("id")))
+    return j.withColumnRenamed(tag_col, "label")

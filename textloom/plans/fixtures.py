@@ -67,24 +67,54 @@ def sentences(docs: DataFrame) -> DataFrame:
     return annotate.split_sentences(docs, "doc_id", "text")
 
 
+def tag_rule(form: Column, tok_idx: Column) -> Column:
+    """C.1 tag: PUNCT, NUM, PROPN (capitalised, not first), else md5-indexed open-class tag."""
+    first = F.substring(form, 1, 1)
+    tag_idx = _hexdigit(F.md5(F.lower(form)), 1) % 8
+    return (F.when(T.is_punct(form), "PUNCT")
+            .when(form.rlike(r"^\p{Nd}+$"), "NUM")
+            .when(first.rlike(r"^\p{Lu}$") & (tok_idx > 1), "PROPN")
+            .otherwise(F.element_at(F.array(*[F.lit(t) for t in HASH_TAGS]), tag_idx + 1)))
+
+
+def line_sentences(docs: DataFrame) -> DataFrame:
+    """PRJ-04 applied per clean line: (doc_id, line_no, sent_no, text)."""
+    return annotate.split_sentences(
+        clean_lines(docs).withColumnRenamed("text", "line"), ["doc_id", "line_no"], "line")
+
+
 def tagged_tokens(docs: DataFrame) -> DataFrame:
     """C.1 synthetic tagged corpus, one row per token.
 
-    Columns: doc_id, line_no, sent_no, tok_idx, form, upos.
+    Columns: doc_id, line_no, sent_no, text (sentence), tok_idx, form, upos.
     """
-    sents = annotate.split_sentences(
-        clean_lines(docs).withColumnRenamed("text", "line"), ["doc_id", "line_no"], "line")
-    toks = sents.select(
-        "doc_id", "line_no", "sent_no",
+    toks = line_sentences(docs).select(
+        "doc_id", "line_no", "sent_no", "text",
         F.posexplode(T.tokens(F.col("text"), "word_or_symbol")).alias("p", "form"))
     toks = toks.withColumn("tok_idx", (F.col("p") + 1).cast("int")).drop("p")
-    first = F.substring(F.col("form"), 1, 1)
-    tag_idx = _hexdigit(F.md5(F.lower(F.col("form"))), 1) % 8
-    upos = (F.when(T.is_punct(F.col("form")), "PUNCT")
-            .when(F.col("form").rlike(r"^\p{Nd}+$"), "NUM")
-            .when(first.rlike(r"^\p{Lu}$") & (F.col("tok_idx") > 1), "PROPN")
-            .otherwise(F.element_at(F.array(*[F.lit(t) for t in HASH_TAGS]), tag_idx + 1)))
-    return toks.withColumn("upos", upos)
+    return toks.withColumn("upos", tag_rule(F.col("form"), F.col("tok_idx")))
+
+
+SENT_KEYS = ["doc_id", "line_no", "sent_no"]
+
+
+def span_annotations(docs: DataFrame) -> DataFrame:
+    """C.3 spans over C.1 tokens: every 7th widened by one, every 11th removed,
+    every 13th duplicated with label SYM.  (doc_id, line_no, sent_no, span_ord, start, end, label)."""
+    offs = annotate.token_offsets(line_sentences(docs), SENT_KEYS, "text", "word_or_symbol")
+    base = (offs.filter(F.col("tok_idx") % 11 != 0)
+            .withColumn("label", tag_rule(F.col("token"), F.col("tok_idx")))
+            .withColumn("end", F.when(F.col("tok_idx") % 7 == 0, F.col("end") + 1).otherwise(F.col("end"))))
+    orig = base.select(*SENT_KEYS, (F.col("tok_idx") * 2).alias("span_ord"), "start", "end", "label")
+    dup = base.filter(F.col("tok_idx") % 13 == 0).select(
+        *SENT_KEYS, (F.col("tok_idx") * 2 + 1).alias("span_ord"), "start", "end", F.lit("SYM").alias("label"))
+    return orig.unionByName(dup)
+
+
+def annotation_tokens(docs: DataFrame) -> DataFrame:
+    """TOK-D tokens of C.1 sentences with offsets: (doc_id, line_no, sent_no, tok_idx, form, start, end)."""
+    return (annotate.token_offsets(line_sentences(docs), SENT_KEYS, "text", "annot")
+            .withColumnRenamed("token", "form"))
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -63,14 +63,14 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           SELECT doc_id, line_no, generate_subscripts(p, 1)::BIGINT AS sent_no, unnest(p) AS text
           FROM (SELECT doc_id, line_no, {pieces('text')} AS p FROM clean_lines)) WHERE text <> ''"""),
     "tagged": (("line_sents",), f"""
-        SELECT doc_id, line_no, sent_no, tok_idx, form,
+        SELECT doc_id, line_no, sent_no, text, tok_idx, form,
           CASE WHEN regexp_matches(form, {lit(T.PUNCT_RE)}) THEN 'PUNCT'
                WHEN regexp_matches(form, '^\\p{{Nd}}+$') THEN 'NUM'
                WHEN regexp_matches(substr(form, 1, 1), '^\\p{{Lu}}$') AND tok_idx > 1 THEN 'PROPN'
                ELSE {TAGS_SQL}[{hexd('md5(lower(form))', 1)} % 8 + 1] END AS upos
-        FROM (SELECT doc_id, line_no, sent_no, generate_subscripts(t, 1)::INTEGER AS tok_idx,
+        FROM (SELECT doc_id, line_no, sent_no, text, generate_subscripts(t, 1)::INTEGER AS tok_idx,
                      unnest(t) AS form
-              FROM (SELECT doc_id, line_no, sent_no, {toks('text', 'word_or_symbol')} AS t
+              FROM (SELECT doc_id, line_no, sent_no, text, {toks('text', 'word_or_symbol')} AS t
                     FROM line_sents))"""),
     "preds": (("tagged",), f"""
         SELECT doc_id, line_no, sent_no, tok_idx, form, upos AS gold,
@@ -128,3 +128,42 @@ register_cte("lex_inv", ("lex_entries",), f"""
                 FROM lex_entries)
           WHERE NOT regexp_matches(haw, '^\\p{{Lu}}*$') GROUP BY haw, eng)
     GROUP BY haw""")
+
+
+def tag_sql(form: str, idx: str) -> str:
+    return (f"CASE WHEN regexp_matches({form}, {lit(T.PUNCT_RE)}) THEN 'PUNCT' "
+            f"WHEN regexp_matches({form}, '^\\p{{Nd}}+$') THEN 'NUM' "
+            f"WHEN regexp_matches(substr({form}, 1, 1), '^\\p{{Lu}}$') AND {idx} > 1 THEN 'PROPN' "
+            f"ELSE {TAGS_SQL}[{hexd(f'md5(lower({form}))', 1)} % 8 + 1] END")
+
+
+def offsets_sql(src: str, keys: list[str], kind: str) -> str:
+    """Token offsets from the separators between matches (running sums)."""
+    k = ", ".join(keys)
+    pat = lit(T.TOKEN_PATTERNS[kind])
+    return f"""
+    SELECT {k}, tok_idx, token,
+           (sum(length(sep) + length(token)) OVER w - length(token))::INTEGER AS start,
+           (sum(length(sep) + length(token)) OVER w)::INTEGER AS "end"
+    FROM (SELECT {k}, generate_subscripts(t, 1)::INTEGER AS tok_idx, unnest(t) AS token,
+                 unnest(s[1:len(t)]) AS sep
+          FROM (SELECT {k}, regexp_extract_all(text, {pat}) AS t, regexp_split_to_array(text, {pat}) AS s
+                FROM {src}))
+    WINDOW w AS (PARTITION BY {k} ORDER BY tok_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+_SK = ["doc_id", "line_no", "sent_no"]
+register_cte("offs_wos", ("line_sents",), offsets_sql("line_sents", _SK, "word_or_symbol"))
+register_cte("offs_annot", ("line_sents",), offsets_sql("line_sents", _SK, "annot"))
+register_cte("spans", ("offs_wos",), f"""
+    SELECT doc_id, line_no, sent_no, tok_idx * 2 AS span_ord, start,
+           CASE WHEN tok_idx % 7 = 0 THEN "end" + 1 ELSE "end" END AS "end", {tag_sql('token', 'tok_idx')} AS label
+    FROM offs_wos WHERE tok_idx % 11 <> 0
+    UNION ALL
+    SELECT doc_id, line_no, sent_no, tok_idx * 2 + 1, start,
+           CASE WHEN tok_idx % 7 = 0 THEN "end" + 1 ELSE "end" END, 'SYM'
+    FROM offs_wos WHERE tok_idx % 11 <> 0 AND tok_idx % 13 = 0""")
+register_cte("span_keyed", ("spans",), """
+    SELECT doc_id, line_no, sent_no, start, "end", arg_max(label, span_ord) AS label, min(span_ord) AS key_ord
+    FROM spans GROUP BY doc_id, line_no, sent_no, start, "end"
+""")
