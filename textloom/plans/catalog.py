@@ -5,3 +5,4 @@ from textloom.plans import sampling_queries  # noqa: F401
 from textloom.plans import profile_queries  # noqa: F401
 from textloom.plans import lexicon_queries  # noqa: F401
 from textloom.plans import annotate_queries  # noqa: F401
+from textloom.plans import feature_queries  # noqa: F401
