@@ -152,3 +152,56 @@ def lexicon_entries(docs: DataFrame) -> DataFrame:
     from textloom.sources.formats import parse_ragged_tsv
     return (parse_ragged_tsv(lexicon_tsv(docs), "tsv", ["doc_id", "line_no"])
             .withColumnRenamed("head", "eng").withColumnRenamed("value", "haw"))
+
+
+def runs(orders: DataFrame) -> DataFrame:
+    """C.5 run log: (run_id, experiment, model, start_time, params MAP, metrics MAP).
+
+    experiment 'lm' for open orders, 'pos' otherwise; model = 'm' || custkey;
+    metrics derive from the price; every tenth run carries no metrics.
+    """
+    price = F.col("o_totalprice")
+    k = F.col("o_orderkey")
+    lm = F.create_map(F.lit("eval_loss"), price / 1e5, F.lit("pseudo_perplexity"), price / 1e3,
+                      F.lit("eval_masked_accuracy"), (k % 97) / 97.0, F.lit("eval_masked_top5"), (k % 89) / 89.0,
+                      F.lit("eval_masked_mrr"), (k % 83) / 83.0)
+    pos = F.create_map(F.lit("eval_accuracy"), price / 6e5, F.lit("eval_f1"), price / 7e5)
+    metrics = F.when(k % 10 == 0, F.create_map().cast("map<string,double>")) \
+        .when(F.col("o_orderstatus") == "O", lm).otherwise(pos)
+    return orders.select(
+        k.alias("run_id"),
+        F.when(F.col("o_orderstatus") == "O", "lm").otherwise("pos").alias("experiment"),
+        F.concat(F.lit("m"), F.col("o_custkey").cast("string")).alias("model"),
+        F.col("o_orderdate").alias("start_time"),
+        F.create_map(F.lit("name"), F.concat(F.lit("m"), F.col("o_custkey").cast("string")),
+                     F.lit("priority"), F.col("o_orderpriority"), F.lit("status"), F.col("o_orderstatus")
+                     ).alias("params"),
+        metrics.alias("metrics"))
+
+
+def models(customer: DataFrame) -> DataFrame:
+    """Configured model list with its family (PRJ-20 category map)."""
+    return customer.select(F.concat(F.lit("m"), F.col("c_custkey").cast("string")).alias("model"),
+                           F.col("c_mktsegment").alias("family"))
+
+
+def candidates(emb: DataFrame, max_labels: int = 10000) -> DataFrame:
+    """C.6: per embedding, logits = dot products with every label centroid; gold = label.
+
+    The centroid matrix (labels × dim) is aggregated into one row, its size
+    checked against ``max_labels``, and attached to every row by a broadcast
+    equi-join on a constant (one build row), so scoring is row-local.
+    """
+    from textloom.operators import features as FE
+    from textloom.operators import metrics as M
+    mean = FE.mean_vector(emb, "embedding", "label")
+    cents = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("dim", "mean"))).alias("c")) \
+        .select("label", F.transform("c", lambda x: x["mean"]).alias("vec"))
+    mat = cents.agg(F.collect_list(F.struct("label", "vec")).alias("m"))
+    mat = mat.select(F.lit(1).alias("_one"), F.when(F.size("m") > max_labels, F.raise_error(
+        F.lit("too many labels for in-row scoring"))).otherwise(F.col("m")).alias("m"))
+    j = emb.withColumn("_one", F.lit(1)).join(F.broadcast(mat), "_one")
+    logits = F.transform("m", lambda c: F.struct(c["label"].alias("label"),
+                                                 M.dot(c["vec"], F.col("embedding").cast("array<double>"))
+                                                 .alias("logit")))
+    return j.select("vec_id", F.col("label").alias("gold"), logits.alias("logits"))
