@@ -22,6 +22,11 @@ SPACE = r"\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}"
 
 TRIM_RE = rf"^[{SPACE}]+|[{SPACE}]+$"
 
+# The characters Python's str.strip() removes (same set as SPACE).
+SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+               "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
+
 # Tokeniser patterns (regex forms of the reference tokenisers).
 TOKEN_PATTERNS = {
     "ws": rf"[^{SPACE}]+",                                            # TOK-A / TOK-G  \S+
@@ -71,8 +76,11 @@ SEP = "\u0001"
 
 
 def utrim(c: Column) -> Column:
-    """STR-06: Python ``str.strip()`` (Unicode white space on both ends)."""
-    return F.regexp_replace(c, TRIM_RE, "")
+    """STR-06: Python ``str.strip()`` (Unicode white space on both ends).
+
+    Character-set trim, not a regex: a plain scan from both ends.
+    """
+    return F.trim(c, F.lit(SPACE_CHARS))
 
 
 def is_blank(c: Column) -> Column:

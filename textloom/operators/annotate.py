@@ -24,32 +24,42 @@ def split_sentences(df: DataFrame, keys, text_col: str) -> DataFrame:
             .select(*k, (F.col("p") + 1).cast("bigint").alias("sent_no"), "text"))
 
 
-_OFFSET_SCHEMA = "array<struct<token:string,start:int,end:int>>"
+_OFFSET_SCHEMA = "struct<tokens:array<string>,starts:array<int>,ends:array<int>>"
+
+# The tokenisers in Python ``re`` syntax (Unicode \w and \s).
+PY_TOKEN_PATTERNS = {
+    "ws": r"\S+",
+    "word": r"\w+",
+    "word_or_symbol": r"\w+|\S",
+    "annot": r"\w+ʻ?\w*|['ʻ\w]+|[^\w\s]",
+    "serving": r"\w+ʻ?\w+|['ʻ\w]+|[^\w\s]",
+    "pretok": r"\w+|[^\w\s]",
+}
 
 
 def _offsets_udf(kind: str):
+    import re
+
     import pandas as pd
-    import regex
 
-    pattern = regex.compile(T.TOKEN_PATTERNS[kind])
+    pattern = re.compile(PY_TOKEN_PATTERNS[kind])
 
     @F.pandas_udf(_OFFSET_SCHEMA)
-    def offsets(texts: pd.Series) -> pd.Series:
-        out = []
+    def offsets(texts: pd.Series) -> pd.DataFrame:
+        toks, starts, ends = [], [], []
         for t in texts:
             if t is None:
-                out.append(None)
+                toks.append(None), starts.append(None), ends.append(None)
                 continue
-            row, pos = [], 0
+            row_t, row_s, row_e, pos = [], [], [], 0
             for tok in pattern.findall(t):
                 s = t.find(tok, pos)
                 if s < 0:          # not found: stay at the previous end
                     s = pos
-                e = s + len(tok)
-                row.append({"token": tok, "start": s, "end": e})
-                pos = e
-            out.append(row)
-        return pd.Series(out)
+                pos = s + len(tok)
+                row_t.append(tok), row_s.append(s), row_e.append(pos)
+            toks.append(row_t), starts.append(row_s), ends.append(row_e)
+        return pd.DataFrame({"tokens": toks, "starts": starts, "ends": ends})
 
     return offsets
 
@@ -61,8 +71,10 @@ def token_offsets(df: DataFrame, keys, text_col: str, kind: str = "annot") -> Da
     tok_idx (1-based), token, start, end.
     """
     k = _keys(keys)
-    arr = _offsets_udf(kind)(F.col(text_col))
-    return (df.select(*k, F.posexplode(arr).alias("p", "t"))
+    o = df.select(*k, _offsets_udf(kind)(F.col(text_col)).alias("o"))
+    z = F.arrays_zip(F.col("o.tokens").alias("token"), F.col("o.starts").alias("start"),
+                     F.col("o.ends").alias("end"))
+    return (o.select(*k, F.posexplode(z).alias("p", "t"))
             .select(*k, (F.col("p") + 1).cast("int").alias("tok_idx"),
                     F.col("t.token").alias("token"), F.col("t.start").alias("start"),
                     F.col("t.end").alias("end")))

@@ -45,6 +45,34 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
             .drop("_pid", "_local", "_off"))
 
 
+def hash_rank(df: DataFrame, hash_hex: Column, tie_cols: list[str], rank_col: str = "rank",
+              rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """1-based position in (``hash_hex``, ``tie_cols``) order for a uniform hex hash.
+
+    md5 is uniform, so the order's range boundaries are known without
+    sampling: bucket = leading 32 bits scaled to ceil(n / rows_per_bucket)
+    buckets.  Per-bucket counts (one row per bucket) give offsets by a prefix
+    sum; the in-bucket position is a window over one bucket (about
+    ``rows_per_bucket`` rows).  Everything derives from the data, so a
+    recomputed task gives the same ranks; no sort sample, no checkpoint.
+    """
+    n = row_count(df)
+    nb = F.greatest(F.lit(1), F.ceil(n / F.lit(float(rows_per_bucket))))
+    lead = F.conv(F.substring(F.col("_h"), 1, 8), 16, 10).cast("double")
+    h = df.withColumn("_h", hash_hex).withColumn(
+        "_b", F.least(F.floor(lead / F.lit(4294967296.0) * nb), nb - 1).cast("long"))
+    counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
+    w = Window.partitionBy("_b").orderBy("_h", *tie_cols)
+    return (h.join(F.broadcast(offsets), "_b")
+            .withColumn(rank_col, F.col("_off") + F.row_number().over(w))
+            .drop("_h", "_b", "_off"))
+
+
+def _seeded_rank(df: DataFrame, key_cols: list[str], seed: int, rank_col: str = "_r") -> DataFrame:
+    return hash_rank(df, seeded_key(seed, *key_cols), key_cols, rank_col)
+
+
 def row_count(df: DataFrame) -> Column:
     """Total row count as a scalar subquery (evaluated once)."""
     return df.select(F.count(F.lit(1))).scalar()
@@ -58,15 +86,14 @@ def head_fraction(df: DataFrame, order: list[Column], fraction: float) -> DataFr
 
 def shuffled_fraction(df: DataFrame, key_cols: list[str], fraction: float, seed: int = 42) -> DataFrame:
     """SMP-02: seeded shuffle, then head fraction."""
-    order = [seeded_key(seed, *key_cols)] + [F.col(c) for c in key_cols]
-    return head_fraction(df, order, fraction)
+    k = F.floor(row_count(df) * F.lit(float(fraction)))
+    return _seeded_rank(df, key_cols, seed).filter(F.col("_r") <= k).drop("_r")
 
 
 def train_valid_split(df: DataFrame, key_cols: list[str], train_split: float, seed: int = 42) -> DataFrame:
     """SMP-03: seeded shuffle; the first ``floor(n * train_split)`` rows are train."""
-    order = [seeded_key(seed, *key_cols)] + [F.col(c) for c in key_cols]
     k = F.floor(row_count(df) * F.lit(float(train_split)))
-    ranked = global_rank(df, order, "_r")
+    ranked = _seeded_rank(df, key_cols, seed)
     return ranked.withColumn("split", F.when(F.col("_r") <= k, "train").otherwise("valid")).drop("_r")
 
 
@@ -91,7 +118,6 @@ def three_way_split(df: DataFrame, key_cols: list[str], split=(0.8, 0.1, 0.1), s
     """SMP-04 (``repair=False``: test = all the rest) and SMP-05 (overflow repair)."""
     n = row_count(df)
     n_train, n_val, n_test = _three_way_sizes(n, split, repair)
-    order = [seeded_key(seed, *key_cols)] + [F.col(c) for c in key_cols]
     r = F.col("_r")
     label = (F.when(n < 3, F.raise_error(F.lit("need at least 3 rows for train/validation/test")))
              .when(r <= n_train, "train")
@@ -100,7 +126,7 @@ def three_way_split(df: DataFrame, key_cols: list[str], split=(0.8, 0.1, 0.1), s
         label = label.otherwise("test")
     else:
         label = label.when(r <= n_train + n_val + n_test, "test")
-    out = global_rank(df, order, "_r").withColumn("split", label).drop("_r")
+    out = _seeded_rank(df, key_cols, seed).withColumn("split", label).drop("_r")
     return out.filter(F.col("split").isNotNull())
 
 
@@ -120,5 +146,4 @@ def first_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 
 def position_cap(df: DataFrame, key_cols: list[str], cap: int, seed: int = 42) -> DataFrame:
     """SMP-08: at most ``cap`` positions, seeded, without replacement."""
-    order = [seeded_key(seed, *key_cols)] + [F.col(c) for c in key_cols]
-    return global_rank(df, order, "_r").filter(F.col("_r") <= cap).drop("_r")
+    return _seeded_rank(df, key_cols, seed).filter(F.col("_r") <= cap).drop("_r")

@@ -15,8 +15,11 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+SPACE_SQL = " || ".join(f"chr({ord(c)})" for c in T.SPACE_CHARS)
+
+
 def trim(x: str) -> str:
-    return f"regexp_replace({x}, {lit(T.TRIM_RE)}, '', 'g')"
+    return f"trim({x}, {SPACE_SQL})"
 
 
 def toks(x: str, kind: str) -> str:
