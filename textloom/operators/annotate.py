@@ -110,6 +110,14 @@ def to_conllu_blocks(tokens: DataFrame, sent_keys, sent_id: Column, text: Column
     return grouped.select(*k, F.concat(header, body).alias("block"))
 
 
+def conllu_block_from_arrays(sent_id: Column, text: Column, tokens: Column, tags: Column) -> Column:
+    """SNK-02 for tagged sentences held as arrays: the block is built inside the row (no shuffle)."""
+    rows = F.transform(F.arrays_zip(tokens.alias("f"), tags.alias("u")),
+                       lambda z, i: conllu_token_line(i + 1, z["f"], z["u"]))
+    header = F.concat(F.lit("# sent_id = "), sent_id, F.lit("\n# text = "), text, F.lit("\n"))
+    return F.concat(header, F.array_join(rows, "\n"))
+
+
 def write_conllu(blocks: DataFrame, path: str, block_col: str = "block") -> None:
     """SNK-02 sink: blocks separated by a blank line (``lineSep='\\n\\n'``)."""
     blocks.select(F.concat(F.col(block_col), F.lit("\n")).alias("value")).write.mode("overwrite") \

@@ -98,6 +98,14 @@ def tagged_tokens(docs: DataFrame) -> DataFrame:
 SENT_KEYS = ["doc_id", "line_no", "sent_no"]
 
 
+def tagged_sentences(docs: DataFrame) -> DataFrame:
+    """C.1 at sentence level: (doc_id, line_no, sent_no, text, tokens, tags) — row-local."""
+    toks = T.tokens(F.col("text"), "word_or_symbol")
+    return line_sentences(docs).select(
+        *SENT_KEYS, "text", toks.alias("tokens"),
+        F.transform(toks, lambda t, i: tag_rule(t, i + 1)).alias("tags"))
+
+
 def span_annotations(docs: DataFrame) -> DataFrame:
     """C.3 spans over C.1 tokens: every 7th widened by one, every 11th removed,
     every 13th duplicated with label SYM.  (doc_id, line_no, sent_no, span_ord, start, end, label)."""
