@@ -281,3 +281,32 @@ def map_labels(df: DataFrame, ids: DataFrame, tag_col: str) -> DataFrame:
                                   F.raise_error(F.concat(F.lit("unknown label: "), F.col(tag_col))))
                      .otherwise(F.col("id")))
     return j.withColumnRenamed(tag_col, "label")
+
+
+def tagged_string(tokens: Column, tags: Column) -> Column:
+    """STR-09: ``word/TAG word/TAG``."""
+    return F.array_join(F.zip_with(tokens, tags, lambda w, t: F.concat_ws("/", w, t)), " ")
+
+
+def ngrams(words: Column, n: int) -> Column:
+    """STR-10: space-joined n-grams of a token array (empty when too short)."""
+    idx = F.sequence(F.lit(1), F.size(words) - n + 1)
+    grams = F.transform(idx, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
+def split_quality(df: DataFrame, split_col: str = "split", tokens: str = "tokens", tags: str = "tags") -> DataFrame:
+    """PRJ-13 + PRJ-12: data checks per split in one aggregate (no fail-fast pass per check)."""
+    t, g = F.col(tokens), F.col(tags)
+    return df.groupBy(split_col).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(t.isNull() | (F.size(t) == 0)).alias("n_empty_tokens"),
+        F.count_if(F.size(t) != F.size(g)).alias("n_size_mismatch"),
+        F.sum(F.size(F.filter(g, lambda x: x == "_"))).cast("bigint").alias("n_placeholder"))
+
+
+def reject_placeholders(df: DataFrame, tags: str = "tags") -> DataFrame:
+    """PRJ-12: fail the job if any tag is the placeholder '_'."""
+    bad = F.exists(F.col(tags), lambda x: x == "_")
+    return df.filter(F.when(bad, F.raise_error(F.lit("placeholder label '_' in training data")))
+                     .otherwise(F.lit(True)))

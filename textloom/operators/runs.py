@@ -107,3 +107,10 @@ def sequence_delta(df: DataFrame, key: str, order: list[str], value: str, num_pa
     j = local.join(carry, ["_pid", key], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"), F.lit(0.0))
     return j.withColumn("delta", F.col(value) - prev).drop("_pid", "_prev", "_carry")
+
+
+def merge_metrics(earlier, later):
+    """AGG-28: null-safe map merge where the later map wins on shared keys."""
+    a = F.coalesce(earlier, F.create_map().cast("map<string,double>"))
+    b = F.coalesce(later, F.create_map().cast("map<string,double>"))
+    return F.map_concat(F.map_filter(a, lambda k, v: ~F.array_contains(F.map_keys(b), k)), b)

@@ -147,3 +147,13 @@ def first_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 def position_cap(df: DataFrame, key_cols: list[str], cap: int, seed: int = 42) -> DataFrame:
     """SMP-08: at most ``cap`` positions, seeded, without replacement."""
     return _seeded_rank(df, key_cols, seed).filter(F.col("_r") <= cap).drop("_r")
+
+
+def rank_within(df: DataFrame, key: str, order: list[str], rank_col: str = "pos") -> DataFrame:
+    """WIN-02 ordinals per key, skew-safe: one global rank over (key, order) — range
+    partitioned, so a hot key spans many partitions — minus the key's first rank
+    (a per-key ``min`` aggregate joined back)."""
+    ranked = global_rank(df, [F.col(key)] + [F.col(c) for c in order], "_g")
+    first = ranked.groupBy(key).agg(F.min("_g").alias("_g0"))
+    return (ranked.join(first, key).withColumn(rank_col, (F.col("_g") - F.col("_g0") + 1).cast("bigint"))
+            .drop("_g", "_g0"))

@@ -7,3 +7,4 @@ from textloom.plans import lexicon_queries  # noqa: F401
 from textloom.plans import annotate_queries  # noqa: F401
 from textloom.plans import feature_queries  # noqa: F401
 from textloom.plans import eval_queries  # noqa: F401
+from textloom.plans import source_queries  # noqa: F401

@@ -15,7 +15,7 @@ DIGIT_LINE_SPARK = r"(?md)^\p{Nd}[^\n]*\n?"
 DIGIT_LINE_RE2 = r"(?m)^\p{Nd}[^\n]*\n?"
 
 
-def _html_sql(col: str, joined: bool) -> str:
+def _html_sql(col: str, joined: bool, strip: bool = True) -> str:
     """STR-03 / STR-04 in DuckDB."""
     sep = "chr(1)" if joined else "''"
     x = f"regexp_replace({col}, {lit(T.HTML_HIDDEN_RE)}, {sep}, 'g')"
@@ -25,7 +25,7 @@ def _html_sql(col: str, joined: bool) -> str:
     if joined:
         return (f"array_to_string(list_filter(list_transform(string_split({x}, chr(1)), "
                 f"lambda s: {trim('s')}), lambda s: s <> ''), ' ')")
-    return trim(x)
+    return trim(x) if strip else x
 
 
 HOST_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
