@@ -9,3 +9,4 @@ from textloom.plans import feature_queries  # noqa: F401
 from textloom.plans import eval_queries  # noqa: F401
 from textloom.plans import source_queries  # noqa: F401
 from textloom.plans import mlm_queries  # noqa: F401
+from textloom.plans import subword_queries  # noqa: F401

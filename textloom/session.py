@@ -70,9 +70,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
+
+    One pass (an RDD checkpoint computes its input twice unless cached), stored
+    on the shared checkpoint filesystem, so it survives executor loss and cuts
+    the lineage of iterative jobs.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
