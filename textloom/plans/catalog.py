@@ -11,3 +11,4 @@ from textloom.plans import source_queries  # noqa: F401
 from textloom.plans import mlm_queries  # noqa: F401
 from textloom.plans import subword_queries  # noqa: F401
 from textloom.plans import stream_queries  # noqa: F401
+from textloom.plans import ml_queries  # noqa: F401
