@@ -132,18 +132,17 @@ def parse_conllu_blocks(df: DataFrame, block_col: str = "block", keys=(), keep_g
     nodes) are dropped unless ``keep_ghosts``.
     """
     k = list(keys)
-    lines = F.split(F.regexp_replace(F.col(block_col), r"^[\r\n]+|[\r\n]+$", ""), "\r?\n")
-    comments = F.filter(lines, lambda ln: ln.startswith("#"))
-    kv = F.transform(comments, lambda c: F.split(F.regexp_replace(c, r"^#\s*", ""), r"\s*=\s*", 2))
-    meta = F.map_from_entries(F.transform(
-        F.filter(kv, lambda a: F.size(a) == 2), lambda a: F.struct(a[0].alias("key"), a[1].alias("value"))))
-    toks = F.filter(lines, lambda ln: ~ln.startswith("#") & (ln != ""))
-    base = df.select(*k, meta.alias("meta"), toks.alias("_t")).select(
-        *k, F.col("meta")["sent_id"].alias("sent_id"), F.col("meta")["text"].alias("text"),
-        F.posexplode("_t").alias("_line", "_r"))
-    f = F.split("_r", "\t")
-    out = base.select(*k, "sent_id", "text", (F.col("_line") + 1).cast("int").alias("line_in_block"),
-                      *[F.try_element_at(f, F.lit(i + 1)).alias(n) for i, n in enumerate(CONLLU_FIELDS)])
+    # No per-line lambdas (interpreted): the two lifted comments are one regex scan
+    # of the block each; token lines are exploded, filtered and split once.
+    def comment(key):
+        return F.regexp_extract(F.col(block_col), rf"(?:^|\n)#[ \t]*{key}[ \t]*=[ \t]*([^\r\n]*)", 1)
+
+    base = df.select(*k, comment("sent_id").alias("sent_id"), comment("text").alias("text"),
+                     F.posexplode(F.split(F.col(block_col), "\r?\n")).alias("_line", "_r"))
+    base = base.filter(~F.col("_r").startswith("#") & (F.col("_r") != ""))
+    split = base.select(*k, "sent_id", "text", "_line", F.split("_r", "\t").alias("_f"))
+    out = split.select(*k, "sent_id", "text", (F.col("_line") + 1).cast("int").alias("line_in_block"),
+                       *[F.try_element_at("_f", F.lit(i + 1)).alias(n) for i, n in enumerate(CONLLU_FIELDS)])
     if not keep_ghosts:
         out = out.filter(F.col("id").rlike(r"^[0-9]+$"))
     return out
