@@ -257,3 +257,19 @@ def test_stream_pool_matches_python_replay(spark):
     got = sorted((r["project"], r["batch_id"], r["event_seq"], r["sub"], r["forced"]) for r in streamed.collect())
     assert got == want and len(got) > 0
     assert dead.count() > 0
+
+
+def test_sinks_round_trip(spark):
+    from textloom.sources import sinks
+    d = tempfile.mkdtemp(prefix="textloom-sinks-")
+    df = spark.createDataFrame([("train", ["a", "b"], ["X", "Y"]), ("validation", ["c"], ["Z"])],
+                               "split string, tokens array<string>, tags array<string>")
+    sinks.write_tagged_json(df, f"{d}/json")
+    back = spark.read.schema("tokens array<string>, tags array<string>, split string").json(f"{d}/json")
+    assert sorted((r["split"], tuple(r["tokens"])) for r in back.collect()) == [("train", ("a", "b")),
+                                                                                  ("validation", ("c",))]
+    sinks.write_lines(spark.createDataFrame([("x",), ("y",)], "t string"), "t", f"{d}/lines")
+    assert sorted(r["value"] for r in spark.read.text(f"{d}/lines").collect()) == ["x", "y"]
+    blocks = spark.createDataFrame([("# sent_id = 1\n# text = a\n1\ta\ta\tX\t_\t_\t0\tdep\t_\t_",)], "block string")
+    sinks.write_conllu(blocks, f"{d}/conllu")
+    assert [r["form"] for r in A.read_conllu(spark, f"{d}/conllu").collect()] == ["a"]

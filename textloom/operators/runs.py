@@ -114,3 +114,10 @@ def merge_metrics(earlier, later):
     a = F.coalesce(earlier, F.create_map().cast("map<string,double>"))
     b = F.coalesce(later, F.create_map().cast("map<string,double>"))
     return F.map_concat(F.map_filter(a, lambda k, v: ~F.array_contains(F.map_keys(b), k)), b)
+
+
+def metric_log(runs: DataFrame) -> DataFrame:
+    """RUN-05: one row per (run, metric key) with its step; only numeric values exist in
+    the ``metrics`` map, so non-numeric values never reach the log."""
+    return runs.select("run_id", "experiment", F.explode("metrics").alias("key", "value")).select(
+        "run_id", "experiment", "key", F.lit(0).alias("step"), "value")

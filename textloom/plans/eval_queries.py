@@ -226,3 +226,21 @@ def rank_metrics(spark, sf_dir):
     """AGG-22 + WIN-04 on candidates C.6: gold rank among all label logits → accuracy, top-5, MRR."""
     cand = FX.candidates(Tables(spark, sf_dir).embeddings)
     return M.rank_report(cand.select(M.rank_of_gold(F.col("logits"), F.col("gold")).alias("rank")))
+
+
+@query("metric_log", with_ctes("""
+SELECT run_id, experiment, key, 0 AS step, value FROM (
+  SELECT run_id, experiment, 'eval_loss' AS key, price / 1e5::DOUBLE AS value FROM runs WHERE experiment = 'lm'
+  UNION ALL SELECT run_id, experiment, 'pseudo_perplexity', price / 1e3::DOUBLE FROM runs WHERE experiment = 'lm'
+  UNION ALL SELECT run_id, experiment, 'eval_masked_accuracy', (run_id % 97) / 97.0::DOUBLE FROM runs
+            WHERE experiment = 'lm' AND price IS NOT NULL
+  UNION ALL SELECT run_id, experiment, 'eval_masked_top5', (run_id % 89) / 89.0::DOUBLE FROM runs
+            WHERE experiment = 'lm' AND price IS NOT NULL
+  UNION ALL SELECT run_id, experiment, 'eval_masked_mrr', (run_id % 83) / 83.0::DOUBLE FROM runs
+            WHERE experiment = 'lm' AND price IS NOT NULL
+  UNION ALL SELECT run_id, experiment, 'eval_accuracy', price / 6e5::DOUBLE FROM runs WHERE experiment = 'pos'
+  UNION ALL SELECT run_id, experiment, 'eval_f1', price / 7e5::DOUBLE FROM runs WHERE experiment = 'pos')
+WHERE value IS NOT NULL""", "runs"))
+def metric_log(spark, sf_dir):
+    """RUN-05 + SNK-06 rows: every logged metric of every run as (run, key, step, value)."""
+    return R.metric_log(_runs(spark, sf_dir))
