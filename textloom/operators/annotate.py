@@ -137,8 +137,11 @@ def parse_conllu_blocks(df: DataFrame, block_col: str = "block", keys=(), keep_g
     def comment(key):
         return F.regexp_extract(F.col(block_col), rf"(?:^|\n)#[ \t]*{key}[ \t]*=[ \t]*([^\r\n]*)", 1)
 
-    base = df.select(*k, comment("sent_id").alias("sent_id"), comment("text").alias("text"),
-                     F.posexplode(F.split(F.col(block_col), "\r?\n")).alias("_line", "_r"))
+    # Expressions selected next to a generator are evaluated above it, once per output
+    # row; computing them in the projection below keeps them once per block.
+    staged = df.select(*k, comment("sent_id").alias("sent_id"), comment("text").alias("text"),
+                       F.split(F.col(block_col), "\r?\n").alias("_lines"))
+    base = staged.select(*k, "sent_id", "text", F.posexplode("_lines").alias("_line", "_r"))
     base = base.filter(~F.col("_r").startswith("#") & (F.col("_r") != ""))
     split = base.select(*k, "sent_id", "text", "_line", F.split("_r", "\t").alias("_f"))
     out = split.select(*k, "sent_id", "text", (F.col("_line") + 1).cast("int").alias("line_in_block"),
