@@ -122,7 +122,7 @@ def test_global_rank_and_rank_within_skewed(spark):
 
 def test_hash_rank_is_a_permutation(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
-    got = S.hash_rank(df, S.seeded_key(42, "k"), ["k"], "r", rows_per_bucket=100).collect()
+    got = S.hash_rank(df, S.seeded_key(42, "k"), ["k"], "r", bits=6).collect()
     assert sorted(r["r"] for r in got) == list(range(1, 1001))
     md5 = sorted((r["k"] for r in got), key=lambda k: __import__("hashlib").md5(f"42:{k}".encode()).hexdigest())
     assert [r["k"] for r in sorted(got, key=lambda r: r["r"])] == md5

@@ -46,21 +46,19 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
 
 
 def hash_rank(df: DataFrame, hash_hex: Column, tie_cols: list[str], rank_col: str = "rank",
-              rows_per_bucket: int = 1_000_000) -> DataFrame:
+              bits: int = 20) -> DataFrame:
     """1-based position in (``hash_hex``, ``tie_cols``) order for a uniform hex hash.
 
-    md5 is uniform, so the order's range boundaries are known without
-    sampling: bucket = leading 32 bits scaled to ceil(n / rows_per_bucket)
-    buckets.  Per-bucket counts (one row per bucket) give offsets by a prefix
-    sum; the in-bucket position is a window over one bucket (about
-    ``rows_per_bucket`` rows).  Everything derives from the data, so a
-    recomputed task gives the same ranks; no sort sample, no checkpoint.
+    md5 is uniform, so the order's range boundaries are known without sampling:
+    bucket = the leading ``bits`` bits (2^20 buckets: about a million rows per
+    bucket even at 10^12 rows).  Per-bucket counts (at most 2^bits rows — a fixed
+    bound) give offsets by a prefix sum and are broadcast; the in-bucket position
+    is a window over one bucket.  Everything derives from the data, so a
+    recomputed task gives the same ranks; no sort sample, no checkpoint, two
+    passes over the input.
     """
-    n = row_count(df)
-    nb = F.greatest(F.lit(1), F.ceil(n / F.lit(float(rows_per_bucket))))
-    lead = F.conv(F.substring(F.col("_h"), 1, 8), 16, 10).cast("double")
     h = df.withColumn("_h", hash_hex).withColumn(
-        "_b", F.least(F.floor(lead / F.lit(4294967296.0) * nb), nb - 1).cast("long"))
+        "_b", F.shiftright(F.conv(F.substring(F.col("_h"), 1, 8), 16, 10).cast("long"), 32 - bits))
     counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
     w = Window.partitionBy("_b").orderBy("_h", *tie_cols)
