@@ -46,12 +46,12 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
 
 
 def hash_rank(df: DataFrame, hash_hex: Column, tie_cols: list[str], rank_col: str = "rank",
-              bits: int = 20) -> DataFrame:
+              bits: int = 16) -> DataFrame:
     """1-based position in (``hash_hex``, ``tie_cols``) order for a uniform hex hash.
 
     md5 is uniform, so the order's range boundaries are known without sampling:
-    bucket = the leading ``bits`` bits (2^20 buckets: about a million rows per
-    bucket even at 10^12 rows).  Per-bucket counts (at most 2^bits rows — a fixed
+    bucket = the leading ``bits`` bits (2^16 buckets: about 15 million rows per
+    bucket at 10^12 rows).  Per-bucket counts (at most 2^bits rows — a fixed
     bound) give offsets by a prefix sum and are broadcast; the in-bucket position
     is a window over one bucket.  Everything derives from the data, so a
     recomputed task gives the same ranks; no sort sample, no checkpoint, two
