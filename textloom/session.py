@@ -99,3 +99,28 @@ class Tables:
         if name in TABLES:
             return table(self.spark, self.sf_dir, name)
         raise AttributeError(name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``textloom`` importable in Python workers (UDFs pickle its functions by
+    reference): zip the package once per SparkContext and ``addPyFile`` it, which
+    distributes it to every executor regardless of their working directory."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="textloom-pkg-"), "textloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
