@@ -148,3 +148,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .select(F.col("a.id").alias(id_col), F.col("a.source").alias(source_col), "size", "source_size",
                 F.col("target").cast("double").alias("target"), "rate", F.col("k").alias("copies"),
                 (F.col("k") * F.col("size")).alias("taken"))
+
+
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         **options) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; rows of one id share its copies as evenly as they can."""
+    copies = stored(mix(docs, id_col, text_col, source_col, **options)
+                    .groupBy(F.col(id_col).alias("taken_id")).agg(F.sum("copies").alias("taken_copies"),
+                                                                  F.count("*").alias("taken_rows")))
+    share = F.floor(F.col("taken_copies") / F.col("taken_rows")) + F.when(
+        F.pmod(F.xxhash64(f"`{text_col}`"), F.col("taken_rows"))
+        < F.col("taken_copies") % F.col("taken_rows"), 1).otherwise(0)
+    return docs.join(copies, F.col(f"`{id_col}`").eqNullSafe(F.col("taken_id"))) \
+        .withColumn("taken_copies", F.explode(F.array_repeat(F.lit(1), share.cast("int")))) \
+        .select(*[docs[f"`{c}`"] for c in docs.columns])

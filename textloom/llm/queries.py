@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import blocks, chat, mixing, packing, repair
+from textloom.llm import blocks, chat, fertility, langid, mixing, neardup, packing, pii, repair, secretscan
 from textloom.llm.common import ASCII_LOWER, ASCII_UPPER
 from textloom.plans.registry import query
 from textloom.session import ensure_checkpoint_dir, table
@@ -83,3 +83,54 @@ FROM t JOIN g USING (text)
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP8_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b USING (sh) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+labels AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN labels ON doc_id = a
+"""
+
+
+@query("op8_near_dedup", OP8_SQL)
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.is_held_out()
+    model = langid.fit(docs.filter(~held_out & F.col("doc_id").isNotNull()))
+    return langid.classify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin",
+                                               "rejected")
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_personal_data")
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal(table(spark, sf_dir, "documents"))
+
+
+@query("op3_fertility")
+def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality(table(spark, sf_dir, "documents"), PIECE_TOKENIZER).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "band_group", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "entropy_off", "outside")
