@@ -9,6 +9,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +57,16 @@ def in_batches(batches: Iterator[pa.RecordBatch], rows: int, text: str, size: in
             at = end
 
 
+def _byte_letters() -> dict[int, str]:
+    """The public rule by which byte-level vocabularies spell bytes: printable ones as they are, others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_SPELLED = _byte_letters()
+
+
 class ChunkEncoder:
     """Exact ids of whole texts from a ``tokenizers`` file, with a bounded memory of chunks already encoded.
 
@@ -72,31 +83,31 @@ class ChunkEncoder:
         self.keeps_space = keeps_space
         self.most = most
         self.known: dict[str, bytes] = {}
-        self.mark = int.from_bytes(self._pack(["!"])[0], "little")
 
     def _pack(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Chunks of letters are one pre-token each, so many of them are encoded in one string, marks between."""
-        plain = [c for c in new if (c[1:] if self.keeps_space and c[:1] == " " else c).isalpha()
-                 and (c[:1] == " " or not self.keeps_space)]
-        glue = "!" if self.keeps_space else " ! "
-        self.known.update(zip(rest := list(set(new).difference(plain)), self._pack(rest), strict=True))
-        for i in range(0, len(plain), 4096):
-            words = plain[i:i + 4096]
-            raw = self._pack([glue.join(words) + glue])[0]
-            ends = np.flatnonzero(np.frombuffer(raw, "<u4") == self.mark).tolist()
-            if len(ends) != len(words):  # a word that is more to the library: one by one
-                self.known.update(zip(words, self._pack(words), strict=True))
-                continue
-            at = 0
-            for word, end in zip(words, ends, strict=True):
-                self.known[word] = raw[4 * at:4 * end]
-                at = end + 1
-
-    def _chunks(self, text: str) -> list[str] | None:
+        """Words of Latin-1 letters are one pre-token each and go straight to the file's model, as it spells bytes."""
+        rest = []
+        model = self.tokenizer.model.tokenize
+        for chunk in new:
+            word = chunk[1:] if self.keeps_space else chunk
+            if not word.isalpha() or (chunk[0] != " " if self.keeps_space else word != word.lower()):
+                rest.append(chunk)
+            elif word.isascii():
+                spelled = "\u0120" + word if self.keeps_space else word
+                self.known[chunk] = b"".join([t.id.to_bytes(4, "little") for t in model(spelled)])
+            elif max(word) <= "\xff":
+                spelled = chunk.encode().decode("latin-1").translate(_SPELLED)
+                self.known[chunk] = b"".join([t.id.to_bytes(4, "little") for t in model(spelled)])
+            else:
+                rest.append(chunk)
+        self.known.update(zip(rest, self._pack(rest), strict=True))
+
+    def _marked(self, text: str) -> str | None:
+        """The text with a mark wherever it may be cut; None if it has to stay whole."""
         if self.keeps_space:
             if not text or odd_space(text):
                 return None
@@ -112,22 +123,32 @@ class ChunkEncoder:
             text = text.replace("\n", " ")
         if not odd_stop(text):
             text = text.replace(".", mark + ".").replace(",", mark + ",")
-        return text.split(mark)
+        return text
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self._chunks(t) for t in texts]
+        marked = [self._marked(t) for t in texts]
+        cut = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), "\x00" if self.keeps_space else " ")
+        chunks = cut.values.dictionary_encode()
+        ids, lengths = self._look_up(chunks.dictionary.to_pylist())
+        number = chunks.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(lengths[number])))
+        starts = (np.cumsum(lengths) - lengths)[number] - ends[:-1]
+        flat = ids[np.repeat(starts, lengths[number]) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        return [flat[a:b] if m is not None else self._pack([t])[0]
+                for t, m, a, b in zip(texts, marked, bounds[:-1], bounds[1:], strict=True)]
+
+    def _look_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks, one after the other, and how many each has."""
         if len(self.known) > self.most:
             self.known = dict(islice(self.known.items(), self.most // 2, None))  # the older half goes
-        known = self.known
-        new: set[str] = set()
-        for chunks in cut:
-            if chunks:
-                new.update(chunks)
-        new.difference_update(known)
-        self._learn(list(new))
-        return [b"".join(map(known.__getitem__, c)) if c is not None else self._pack([t])[0]
-                for t, c in zip(texts, cut, strict=True)]
+        found = list(map(self.known.get, chunks))
+        if None in found:
+            self._learn([c for c, f in zip(chunks, found, strict=True) if f is None])
+            found = list(map(self.known.__getitem__, chunks))
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        return np.frombuffer(b"".join(found), dtype="<u4"), lengths
 
 
 # Every white-space character but blank and line end, the separators that some libraries count among them, and \x00.

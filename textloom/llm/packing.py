@@ -147,7 +147,7 @@ def _pack_task(id_col: str, text_col: str, tokenizer_path: str, sizes: tuple[int
         base = TaskContext.get().partitionId() << part_bits
         end = np.array([END_ID], dtype="<u4").tobytes()
         packer, docs, windows, held, number, step = Packer(sizes), [], [], 0, 0, 0
-        for part in in_batches(batches, 512, text_col, 1 << 21):
+        for part in in_batches(batches, 8192, text_col, 1 << 23):
             ids = part.column(part.schema.get_field_index(id_col)).to_pylist()
             texts = [t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
             for doc_id, got in zip(ids, encoder.encode(texts), strict=True):

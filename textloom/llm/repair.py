@@ -169,7 +169,7 @@ def _write_task(id_col: str, text_col: str, tokenizer_path: str, shard_tokens: i
         part = TaskContext.get().partitionId()
         end = np.array([END_ID], dtype="<u4").tobytes()
         doc_ids, ids, held, number = [], [], 0, 0
-        for batch in in_batches(batches, 512, text_col, 1 << 21):
+        for batch in in_batches(batches, 8192, text_col, 1 << 23):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             keys = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
             for key, got in zip(keys, encoder.encode(texts), strict=True):
