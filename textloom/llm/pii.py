@@ -3,15 +3,15 @@
 Candidates are the spans of the base patterns and of looser ones (local numbers, long numbers with other separators,
 spelled-out addresses, colon-separated network addresses).  Each labeler votes yes, no or not at all:
 
-* regex:      the strict pattern of the kind matches; the span stands alone
+* regex:      the base pattern matches (its yes is final: base spans always stay); the span stands alone
 * validator:  check digit, ranges and lengths
 * gazetteer:  known endings, prefixes and issuer ranges
 * context:    words before the span that announce the kind, or that announce other numbers
 
-Expectation-maximisation estimates how reliable each labeler is, from nothing but how often votes occur together
-(a Dawid-Skene model over counts of vote patterns, grouped by Spark).  A logistic classifier on votes, kind and length is
-then trained on the estimated probabilities, weighted by the same counts, and decides which loose candidates
-count.  Base spans always stay.
+Expectation-maximisation estimates how reliable each labeler is from how often votes occur together (a Dawid-Skene
+model over counts of vote patterns, grouped by Spark, in which base spans are known to be personal data).  A logistic
+classifier on votes, kind and length is then trained on the estimated probabilities, weighted by the same counts,
+and decides which loose candidates count.
 
 Bounds: patterns are (kind, 3 ** labelers votes, 4 lengths), a few thousand rows at most whatever the corpus is; only
 their counts reach the driver.
@@ -59,7 +59,7 @@ CUES = {
     "phone": frozenset("call phone tel telephone mobile fax cell téléphone telefon teléfono".split()),
 }
 OTHER = frozenset("version order isbn invoice serial page section item id no nr part build release".split())
-LABELERS = 6
+LABELERS = 5
 
 
 def luhn(digits: str) -> bool:
@@ -142,8 +142,8 @@ def loose_spans(text: str, base: list[list[Span]]) -> list[list[Span]]:
     return out
 
 
-def votes(text: str, kind: int, span: Span, strict: bool) -> list[int]:
-    """One vote per labeler: 1 yes, 0 no, 2 none."""
+def votes(text: str, kind: int, span: Span) -> list[int]:
+    """One vote per labeler (but that of the base patterns): 1 yes, 0 no, 2 none."""
     a, b = span
     found, digits = text[a:b], _only_digits(text[a:b])
     before = [w.strip(".,:;()[]#").lower() for w in text[max(0, a - 40):a].split()[-3:]]
@@ -163,13 +163,13 @@ def votes(text: str, kind: int, span: Span, strict: bool) -> list[int]:
         listed = found.startswith(("+1", "+33", "+34", "+49", "+44")) if found.startswith("+") else 2
     cue = any(w in CUES[KINDS[kind]] for w in before)
     other = any(w in OTHER for w in before)
-    return [int(strict), int(alone), int(valid), int(listed), 1 if cue else 2, 0 if other else 2]
+    return [int(alone), int(valid), int(listed), 1 if cue else 2, 0 if other else 2]
 
 
-def pattern_of(text: str, kind: int, span: Span, strict: bool) -> int:
+def pattern_of(text: str, kind: int, span: Span) -> int:
     """Kind, votes and length class of a candidate as one number."""
     number = kind
-    for v in votes(text, kind, span, strict):
+    for v in votes(text, kind, span):
         number = number * 3 + v
     return number * 4 + min(3, (span[1] - span[0]) // 12)
 
@@ -183,12 +183,15 @@ def unpack(pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rest, np.stack(out[::-1], axis=1), length
 
 
-def estimate(pattern: np.ndarray, n: np.ndarray, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """``(probability of each pattern, reliability[label, labeler, vote])`` by expectation-maximisation."""
+def estimate(pattern: np.ndarray, n: np.ndarray, known: np.ndarray, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """``(probability of each pattern, reliability[label, labeler, vote])`` by expectation-maximisation.
+
+    ``known`` patterns are personal data for certain.
+    """
     _, vote, _ = unpack(pattern)
     # The start: the share of yes votes among the votes cast.
     cast = (vote != 2).sum(axis=1)
-    p = ((vote == 1).sum(axis=1) + 0.5) / (cast + 1)
+    p = np.where(known, 1.0, ((vote == 1).sum(axis=1) + 0.5) / (cast + 1))
     rate = np.zeros((2, LABELERS, 3))
     for _ in range(steps):
         for label, weight in ((0, n * (1 - p)), (1, n * p)):
@@ -198,7 +201,7 @@ def estimate(pattern: np.ndarray, n: np.ndarray, steps: int = 100) -> tuple[np.n
         prior = ((n * p).sum() + 1) / (n.sum() + 2)
         logs = [np.log(rate[label][np.arange(LABELERS), vote]).sum(axis=1) for label in (0, 1)]
         odds = logs[1] - logs[0] + np.log(prior / (1 - prior))
-        new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        new = np.where(known, 1.0, 1 / (1 + np.exp(-np.clip(odds, -500, 500))))
         if np.abs(new - p).max() < 1e-9:
             break
         p = new
@@ -242,7 +245,7 @@ def _find_task(id_col: str, text_col: str) -> Callable:
         base = base_spans(text)
         out = []
         for strict, spans in ((True, base), (False, loose_spans(text, base))):
-            out += [{"kind": k, "start": a, "end": b, "base": strict, "pattern": pattern_of(text, k, (a, b), strict)}
+            out += [{"kind": k, "start": a, "end": b, "base": strict, "pattern": pattern_of(text, k, (a, b))}
                     for k, found in enumerate(spans) for a, b in found]
         return sorted(out, key=lambda s: (s["kind"], s["start"]))
 
@@ -269,7 +272,7 @@ def accepted_patterns(candidates: DataFrame, threshold: float = 0.5) -> list[int
     if not any(not r["base"] for r in counts):
         return []
     pattern, n = (np.array([r[c] for r in counts], dtype=t) for c, t in (("pattern", np.int64), ("n", float)))
-    p, _ = estimate(pattern, n)
+    p, _ = estimate(pattern, n, np.array([r["base"] for r in counts]))
     took = score(pattern, train(pattern, n, p)) >= threshold
     return [r["pattern"] for r, t in zip(counts, took, strict=True) if t and not r["base"]]
 
@@ -280,6 +283,10 @@ def _told(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
     rows = stored(find_candidates(docs, id_col, text_col))
@@ -288,6 +295,5 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = F.filter("found", lambda s: s["base"] | s["pattern"].isin(took)) if took else base
     return rows.withColumn("base", base).withColumn("chosen", chosen).select(
         F.col("id").alias(id_col),
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-          for k, name in enumerate(KINDS)],
+        *[_count(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(_told(F.col("base")), 256).alias("base_sha256"), _told(F.col("chosen")).alias("spans"))
