@@ -103,8 +103,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that lose to an equal text of a larger id."""
-    lost = exact_groups(docs, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("lost_id"),
-                                                                         F.col("text_sha256").alias("lost_sha"))
-    sha = F.sha2(lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    return docs.join(lost.distinct(), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("lost_id"))
-                     & (sha == F.col("lost_sha")), "left_anti")
+    lost = exact_groups(docs, id_col, text_col).filter("NOT kept").select(id_col, "text_sha256").distinct()
+    sha = F.sha2(lower_ascii(F.coalesce(F.col(f"docs.`{text_col}`"), F.lit(""))), 256)
+    return docs.alias("docs").join(
+        lost.alias("lost"), F.col(f"docs.`{id_col}`").cast("long").eqNullSafe(F.col(f"lost.`{id_col}`"))
+        & (sha == F.col("lost.text_sha256")), "left_anti")

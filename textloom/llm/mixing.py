@@ -50,10 +50,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
         .withColumn("spent", F.coalesce(F.sum("cap").over(before), F.lit(0.0))) \
         .withColumn("left", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))) \
         .withColumn("level", (F.col("total") - F.col("spent")) / F.col("left"))
-    # The level of all is that before the first source that does not reach its cap.
+    # The level of all is that before the first source that does not reach its cap (of equal ones, the highest).
     free = F.min(F.when(F.col("level") * F.col("weight") < F.col("cap"), F.struct(
-        (F.col("cap") / F.col("weight")).alias("at"), "level"))).over(every)
-    return per.withColumn("free", free["level"]).select(
+        (F.col("cap") / F.col("weight")).alias("at"), (-F.col("level")).alias("down")))).over(every)
+    return per.withColumn("free", -free["down"]).select(
         "source", "source_size",
         F.coalesce(F.least(F.col("cap"), F.col("free") * F.col("weight")), F.col("cap")).alias("target"))
 
@@ -152,13 +152,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          **options) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; rows of one id share its copies as evenly as they can."""
-    copies = stored(mix(docs, id_col, text_col, source_col, **options)
-                    .groupBy(F.col(id_col).alias("taken_id")).agg(F.sum("copies").alias("taken_copies"),
-                                                                  F.count("*").alias("taken_rows")))
-    share = F.floor(F.col("taken_copies") / F.col("taken_rows")) + F.when(
-        F.pmod(F.xxhash64(f"`{text_col}`"), F.col("taken_rows"))
-        < F.col("taken_copies") % F.col("taken_rows"), 1).otherwise(0)
-    return docs.join(copies, F.col(f"`{id_col}`").eqNullSafe(F.col("taken_id"))) \
-        .withColumn("taken_copies", F.explode(F.array_repeat(F.lit(1), share.cast("int")))) \
-        .select(*[docs[f"`{c}`"] for c in docs.columns])
+    """``docs`` with each row as often as the mix takes it.
+
+    Rows of one id get the mean of their copies, rounded up or down by a hash of their text.
+    """
+    copies = stored(mix(docs, id_col, text_col, source_col, **options).groupBy(F.col(id_col).alias("id"))
+                    .agg(F.sum("copies").alias("k"), F.count("*").alias("rows")))
+    even = F.floor(F.col("taken.k") / F.col("taken.rows"))
+    more = F.pmod(F.xxhash64(f"docs.`{text_col}`"), F.col("taken.rows")) < F.col("taken.k") % F.col("taken.rows")
+    return docs.alias("docs").join(copies.alias("taken"), F.col(f"docs.`{id_col}`").eqNullSafe(F.col("taken.id"))) \
+        .select(F.struct("docs.*").alias("row"),
+                F.explode(F.array_repeat(F.lit(1), (even + F.when(more, 1).otherwise(0)).cast("int")))) \
+        .select("row.*")

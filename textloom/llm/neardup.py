@@ -214,5 +214,6 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      percent: int = 80) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the one of the smallest id."""
     lost = near_groups(docs, id_col, text_col, width, percent, bands=MORE_BANDS).filter("NOT kept") \
-        .select(F.col(id_col).alias("lost_id")).distinct()
-    return docs.join(lost, F.col(f"`{id_col}`") == F.col("lost_id"), "left_anti")
+        .select(id_col).distinct()
+    return docs.alias("docs").join(lost.alias("lost"), F.col(f"docs.`{id_col}`") == F.col(f"lost.`{id_col}`"),
+                                   "left_anti")
