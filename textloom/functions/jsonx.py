@@ -1,33 +1,53 @@
-"""Nested JSON helpers (JSN-02, JSN-03) on Spark's VARIANT type."""
+"""Nested JSON helpers (JSN-02, JSN-03)."""
 
+import json
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUMERIC = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL", "BOOLEAN")
+_LEAVES = "array<struct<key:string,value:double>>"
+
+
+def _numeric_leaves(sep: str):
+    @F.pandas_udf(_LEAVES)
+    def leaves(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _walk(t, sep), na_action="ignore")
+    return leaves
 
 
-def flatten_numbers(df: DataFrame, keys: list[str], json_col: str, sep: str = ".", max_depth: int = 8
-                    ) -> DataFrame:
+def _walk(text: str, sep: str) -> list[dict]:
+    """Numeric leaves of one JSON object in document order; an explicit stack, so no depth is too deep to walk."""
+    try:
+        root = json.loads(text)
+    except (ValueError, RecursionError):
+        return []
+    out, stack = [], [("", root)] if isinstance(root, dict) else []
+    while stack:
+        path, node = stack.pop()
+        if isinstance(node, dict):
+            stack.extend((f"{path}{sep}{k}" if path else k, v) for k, v in reversed(node.items()))
+        elif isinstance(node, (bool, int, float)):
+            out.append({"key": path, "value": _double(node)})
+    return out
+
+
+def _double(value: float) -> float:
+    try:
+        return float(value)
+    except OverflowError:
+        return math.copysign(math.inf, value)
+
+
+def flatten_numbers(df: DataFrame, keys: list[str], json_col: str, sep: str = ".") -> DataFrame:
     """JSN-02: dotted paths of the numeric leaves of a JSON object (booleans count as 0/1).
 
-    Each level explodes the objects of the previous one; strings, arrays and
-    nulls are skipped.  Nesting deeper than ``max_depth`` is not followed.
+    One parse per row and one pass; strings, arrays and nulls are skipped, and so is text that is no JSON object.
+    Objects are followed as deep as Python's parser reads them (its recursion limit, about a thousand levels).
     """
-    obj = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "map<string,variant>")
-    level = df.select(*keys, F.lit("").alias("_prefix"), obj.alias("_m"))
-    out = None
-    for _ in range(max_depth):
-        e = level.select(*keys, F.col("_prefix"), F.explode("_m").alias("_k", "_v"))
-        e = e.withColumn("_key", F.concat("_prefix", "_k")).withColumn("_t", F.schema_of_variant("_v"))
-        is_num = F.col("_t").startswith("DECIMAL") | F.col("_t").isin(*_NUMERIC)
-        val = F.when(F.col("_t") == "BOOLEAN", F.try_variant_get("_v", "$", "boolean").cast("double")) \
-            .otherwise(F.try_variant_get("_v", "$", "double"))
-        leaves = e.filter(is_num).select(*keys, F.col("_key").alias("key"), val.alias("value"))
-        out = leaves if out is None else out.unionByName(leaves)
-        level = e.filter(F.col("_t").startswith("OBJECT")).select(
-            *keys, F.concat("_key", F.lit(sep)).alias("_prefix"),
-            F.try_variant_get("_v", "$", "map<string,variant>").alias("_m"))
-    return out
+    found = df.select(*keys, _numeric_leaves(sep)(F.col(json_col)).alias("_leaves"))
+    return found.select(*keys, F.explode("_leaves").alias("_l")).select(*keys, "_l.key", "_l.value")
 
 
 def get_with_default(json_col: Column, path: str, default: str) -> Column:

@@ -8,13 +8,16 @@ follow Python's Unicode ``\\w`` / ``\\s`` / ``\\d``:
 * white space     = tab, LF, VT, FF, CR, \\x1c-\\x1f, \\x85 and ``\\p{Z}``
 * decimal digit   = ``\\p{Nd}``
 
-Everything stays inside JVM expressions (whole-stage codegen); no Python UDF.
+Everything but character references (a table of thousands of names, which Python's
+standard library has) stays inside JVM expressions (whole-stage codegen).
 """
 
-from __future__ import annotations
+import html
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # ---------------------------------------------------------------- classes --
 WORD = r"\p{L}\p{N}_"
@@ -54,23 +57,8 @@ HTML_HIDDEN_RE = (
     r"|<style\b[^>]*>[\s\S]*?(?:</style\s*>|\z)"
     r"|<template\b[^>]*>[\s\S]*?(?:</template\s*>|\z)"
 )
-HTML_TAG_RE = r"</?[A-Za-z!?][^>]*>"
-
-# Character references decoded (the ones without ';' are the
-# HTML5 legacy names that parsers accept without a terminator).  '&amp;' last.
-HTML_ENTITIES = [
-    (r"&lt;?", "<"),
-    (r"&gt;?", ">"),
-    (r"&quot;?", '"'),
-    (r"&copy;?", "©"),
-    (r"&reg;?", "®"),
-    (r"&nbsp;?", " "),
-    (r"&middot;", "·"),
-    (r"&apos;", "'"),
-    (r"&#39;", "'"),
-    (r"&#x27;", "'"),
-    (r"&amp;?", "&"),
-]
+# An attribute value in quotes may hold ``>``; a tag whose quotes do not match ends at the first ``>``.
+HTML_TAG_RE = r"""</?[A-Za-z!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|</?[A-Za-z!?][^>]*>"""
 
 SEP = "\u0001"
 
@@ -97,10 +85,10 @@ def fold_diacritics(c: Column) -> Column:
     return F.translate(c, FOLD_FROM, FOLD_TO)
 
 
-def decode_entities(c: Column) -> Column:
-    for pat, rep in HTML_ENTITIES:
-        c = F.regexp_replace(c, pat, rep)
-    return c
+@F.pandas_udf(StringType())
+def decode_entities(texts: pd.Series) -> pd.Series:
+    """Every named and numeric HTML5 character reference, as parsers read them (Arrow batches)."""
+    return texts.map(html.unescape, na_action="ignore")
 
 
 def html_to_text(c: Column, strip: bool = True) -> Column:

@@ -71,18 +71,23 @@ def hyperparams(models: DataFrame, runs: DataFrame, experiment: str) -> DataFram
 
 
 def retention(versions: DataFrame, project: str, name: str, keep_after: int = 2) -> DataFrame:
-    """WIN-08: numeric version names only; the next version is max+1; before adding it,
-    everything but the newest is deleted once ``keep_after`` versions exist, so two remain.
+    """WIN-08: what becomes of each project's versions when one is added.
 
-    Output: project, version, status ('kept' | 'new').  Newest-per-project is a
-    ``max`` aggregate (map-side combined).
+    Versions are named by a number, with or without a leading ``v``; other names are no versions and are left alone.
+    The new version is the largest number plus 1, or 1 for a project without any.  Before it is added, all but the
+    newest go if the project has ``keep_after`` versions or more.  Output: project, version, status
+    ('kept' | 'deleted' | 'new').  The newest per project is a ``max`` aggregate (map-side combined).
     """
-    num = versions.filter(F.col(name).rlike(r"^[0-9]+$")).select(
-        F.col(project).alias("project"), F.col(name).cast("bigint").alias("v"))
-    per = num.groupBy("project").agg(F.max("v").alias("newest"), F.count(F.lit(1)).alias("n"))
-    kept = per.select("project", F.col("newest").alias("version"), F.lit("kept").alias("status"))
-    new = per.select("project", (F.col("newest") + 1).alias("version"), F.lit("new").alias("status"))
-    return kept.unionByName(new)
+    number = F.regexp_extract(F.col(name), r"^v?([0-9]{1,18})$", 1)
+    rows = versions.select(F.col(project).alias("project"), F.when(number != "", number.cast("bigint")).alias("version")) \
+        .distinct()
+    per = rows.groupBy("project").agg(F.max("version").alias("newest"), F.count("version").alias("n"))
+    old = rows.filter(F.col("version").isNotNull()).alias("r").join(
+        per.alias("p"), F.col("r.project").eqNullSafe(F.col("p.project")))
+    gone = (F.col("n") >= keep_after) & (F.col("version") < F.col("newest"))
+    old = old.select("r.project", "version", F.when(gone, "deleted").otherwise("kept").alias("status"))
+    new = per.select("project", (F.coalesce("newest", F.lit(0)) + 1).alias("version"), F.lit("new").alias("status"))
+    return old.unionByName(new)
 
 
 def sequence_delta(df: DataFrame, key: str, order: list[str], value: str, num_partitions: int | None = None
@@ -117,7 +122,10 @@ def merge_metrics(earlier, later):
 
 
 def metric_log(runs: DataFrame) -> DataFrame:
-    """RUN-05: one row per (run, metric key) with its step; only numeric values exist in
-    the ``metrics`` map, so non-numeric values never reach the log."""
-    return runs.select("run_id", "experiment", F.explode("metrics").alias("key", "value")).select(
-        "run_id", "experiment", "key", F.lit(0).alias("step"), "value")
+    """RUN-05: one row per (run, metric key, step); only numeric values exist in the ``metrics`` map, so non-numeric
+    values never reach the log.  A key's step counts the runs of its experiment and model that logged it before, in
+    the order they were started (an experiment and model is one training series)."""
+    rows = runs.select("run_id", "experiment", "model", "start_time", F.explode("metrics").alias("key", "value"))
+    series = Window.partitionBy("experiment", "model", "key").orderBy("start_time", "run_id")
+    return rows.withColumn("step", F.row_number().over(series) - 1) \
+        .select("run_id", "experiment", "key", "step", "value")

@@ -102,16 +102,19 @@ def epoch_delta(spark, sf_dir):
 
 
 @query("version_retention", """
-WITH v AS (SELECT o_custkey AS project, max(o_orderkey) AS newest FROM orders WHERE o_orderkey % 17 <> 0
-           GROUP BY o_custkey)
-SELECT project, newest AS version, 'kept' AS status FROM v
-UNION ALL SELECT project, newest + 1, 'new' FROM v""")
+WITH v AS (SELECT DISTINCT o_custkey AS project, CASE WHEN o_custkey % 7 <> 0 AND o_orderkey % 17 <> 0
+                                                      THEN o_orderkey END AS version FROM orders),
+p AS (SELECT project, max(version) AS newest, count(version) AS n FROM v GROUP BY project)
+SELECT project, version, CASE WHEN n >= 2 AND version < newest THEN 'deleted' ELSE 'kept' END AS status
+FROM v JOIN p USING (project) WHERE version IS NOT NULL
+UNION ALL SELECT project, coalesce(newest, 0) + 1, 'new' FROM p""")
 def version_retention(spark, sf_dir):
-    """WIN-08: numeric version names, next = max + 1, newest existing kept."""
+    """WIN-08: names N and vN are versions, others are not; a project without any starts at 1."""
     o = Tables(spark, sf_dir).orders
-    names = o.select("o_custkey", F.when(F.col("o_orderkey") % 17 == 0,
-                                         F.concat(F.lit("tmp"), F.col("o_orderkey").cast("string")))
-                     .otherwise(F.col("o_orderkey").cast("string")).alias("name"))
+    key = F.col("o_orderkey").cast("string")
+    names = o.select("o_custkey", F.when((F.col("o_custkey") % 7 == 0) | (F.col("o_orderkey") % 17 == 0),
+                                         F.concat(F.lit("tmp"), key))
+                     .when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("v"), key)).otherwise(key).alias("name"))
     return R.retention(names, "o_custkey", "name")
 
 
@@ -229,7 +232,8 @@ def rank_metrics(spark, sf_dir):
 
 
 @query("metric_log", with_ctes("""
-SELECT run_id, experiment, key, 0 AS step, value FROM (
+SELECT l.run_id, l.experiment, key, (row_number() OVER (
+         PARTITION BY l.experiment, model, key ORDER BY start_time, l.run_id) - 1)::INTEGER AS step, value FROM (
   SELECT run_id, experiment, 'eval_loss' AS key, price / 1e5::DOUBLE AS value FROM runs WHERE experiment = 'lm'
   UNION ALL SELECT run_id, experiment, 'pseudo_perplexity', price / 1e3::DOUBLE FROM runs WHERE experiment = 'lm'
   UNION ALL SELECT run_id, experiment, 'eval_masked_accuracy', (run_id % 97) / 97.0::DOUBLE FROM runs
@@ -239,8 +243,8 @@ SELECT run_id, experiment, key, 0 AS step, value FROM (
   UNION ALL SELECT run_id, experiment, 'eval_masked_mrr', (run_id % 83) / 83.0::DOUBLE FROM runs
             WHERE experiment = 'lm' AND price IS NOT NULL
   UNION ALL SELECT run_id, experiment, 'eval_accuracy', price / 6e5::DOUBLE FROM runs WHERE experiment = 'pos'
-  UNION ALL SELECT run_id, experiment, 'eval_f1', price / 7e5::DOUBLE FROM runs WHERE experiment = 'pos')
-WHERE value IS NOT NULL""", "runs"))
+  UNION ALL SELECT run_id, experiment, 'eval_f1', price / 7e5::DOUBLE FROM runs WHERE experiment = 'pos') l
+JOIN runs USING (run_id) WHERE value IS NOT NULL""", "runs"))
 def metric_log(spark, sf_dir):
     """RUN-05 + SNK-06 rows: every logged metric of every run as (run, key, step, value)."""
     return R.metric_log(_runs(spark, sf_dir))

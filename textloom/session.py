@@ -8,6 +8,7 @@ fill gaps, never override what the session already carries.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,10 +53,9 @@ def get_session(master: str | None = None, app: str = "textloom",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset.
+    """Use the cluster's ``spark.checkpoint.dir``; in a single-JVM session set a scratch one when unset.
 
-    On a cluster this must be a shared filesystem path supplied by the
-    deployment; the local fallback exists for tests and single-node runs.
+    On a cluster the folder must be shared by driver and executors, so there an unset one is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="textloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
