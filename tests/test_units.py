@@ -273,3 +273,102 @@ def test_sinks_round_trip(spark):
     blocks = spark.createDataFrame([("# sent_id = 1\n# text = a\n1\ta\ta\tX\t_\t_\t0\tdep\t_\t_",)], "block string")
     sinks.write_conllu(blocks, f"{d}/conllu")
     assert [r["form"] for r in A.read_conllu(spark, f"{d}/conllu").collect()] == ["a"]
+
+
+def test_merges_are_those_of_one_at_a_time(spark):
+    from textloom.operators import subword as SW
+    words = {"the": 50, "then": 30, "them": 20, "banana": 12, "bananas": 9, "aaaa": 8, "aaab": 7, "Über": 6, "über": 5,
+             "abab": 5, "baba": 4, "cab": 4, "thaw": 3, "!": 9}
+
+    def one_at_a_time(kind, most):
+        table = SW.byte_alphabet()
+        syms = {w: [w[0]] + [SW.CONT + c for c in w[1:]] if kind == "wordpiece"
+                else [table[b] for b in (" " + w).encode()] for w in words}
+        out = []
+        while len(out) < most:
+            counts = {}
+            for w, s in syms.items():
+                for p in zip(s, s[1:]):
+                    counts[p] = counts.get(p, 0) + words[w]
+            best = min(((-n, p) for p, n in counts.items() if n >= 2), default=None)
+            if best is None:
+                break
+            a, b = best[1]
+            out.append((a, b))
+            for w, s in syms.items():
+                new, i = [], 0
+                while i < len(s):
+                    if s[i:i + 2] == [a, b]:
+                        new.append(SW._merged(a, b, kind))
+                        i += 2
+                    else:
+                        new.append(s[i])
+                        i += 1
+                syms[w] = new
+        return out
+
+    df = spark.createDataFrame(list(words.items()), "word string, freq long")
+    for kind in ("wordpiece", "bpe"):
+        vocab, merges = SW.train_vocab(df, 2000, kind=kind, rounds_per_table=3)
+        assert merges == one_at_a_time(kind, 2000)
+        tokens = {r["token"] for r in vocab.collect()}
+        assert kind != "bpe" or set(SW.byte_alphabet().values()) <= tokens
+
+
+def test_html_references_and_quoted_tags(spark):
+    from textloom.functions import text as T
+    page = ('<a title="x>y" href=\'p>q\'>caf&eacute; &mdash; it&#8217;s&hellip; &#x1F600; &amp;lt; &notin;</a>'
+            '<p class="open>broken</p> a < b')
+    got = spark.createDataFrame([(page,), (None,)], "h string").select(T.html_to_text(F.col("h")).alias("t")).collect()
+    assert got[0]["t"] == "caf\u00e9 \u2014 it\u2019s\u2026 \U0001f600 &lt; \u2209broken a < b"
+    assert got[1]["t"] is None
+
+
+def test_json_leaves_at_any_depth(spark):
+    from textloom.functions import jsonx
+    deep = '{"k":' * 200 + '{"x": 1.5, "b": true, "s": "no", "l": [1], "n": null, "i": 3}' + "}" * 200
+    rows = [(1, deep), (2, "no json"), (3, "[1]"), (4, None), (5, '{"a": {"b": 2}, "c": {}}')]
+    got = jsonx.flatten_numbers(spark.createDataFrame(rows, "id int, j string"), ["id"], "j").collect()
+    path = "k." * 200
+    assert sorted((r["id"], r["key"], r["value"]) for r in got) == sorted(
+        [(1, path + "x", 1.5), (1, path + "b", 1.0), (1, path + "i", 3.0), (5, "a.b", 2.0)])
+
+
+def test_retention_names_and_empty_projects(spark):
+    from textloom.operators import runs as R
+    rows = [("p", "1"), ("p", "v7"), ("p", "draft"), ("q", "notes"), ("r", "3"), (None, "2")]
+    df = spark.createDataFrame(rows, "project string, name string")
+    got = {(r["project"], r["version"], r["status"]) for r in R.retention(df, "project", "name").collect()}
+    assert got == {("p", 1, "deleted"), ("p", 7, "kept"), ("p", 8, "new"), ("q", 1, "new"), ("r", 3, "kept"),
+                   ("r", 4, "new"), (None, 2, "kept"), (None, 3, "new")}
+    got = {(r["project"], r["version"], r["status"])
+           for r in R.retention(df.filter("project = 'p'"), "project", "name", keep_after=3).collect()}
+    assert got == {("p", 1, "kept"), ("p", 7, "kept"), ("p", 8, "new")}
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+
+    from textloom.session import ensure_checkpoint_dir
+
+    class Nothing:
+        def __getattr__(self, name):
+            return self
+
+        def __call__(self, *a):
+            return self
+
+        def isDefined(self):
+            return False
+
+        def get(self, *a):
+            return None
+
+    class Context(Nothing):
+        master = "spark://host:7077"
+
+    class Session(Nothing):
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
