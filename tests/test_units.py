@@ -169,7 +169,8 @@ def test_conllu_reader_quirks(spark):
         f.write(text)
     rows = A.read_conllu(spark, d).orderBy("sent_id", "line_in_block").collect()
     assert [(r["sent_id"], r["id"], r["form"]) for r in rows] == [("1", "1", "He"), ("1", "2", ""), ("2", "1", "a")]
-    assert rows[-1]["text"] == "7. a = b"
+    texts = A.conllu_sentences(A.read_conllu_blocks(spark, d)).collect()
+    assert sorted((r["sent_id"], r["text"]) for r in texts) == [("1", "He aloha"), ("2", "7. a = b")]
     ghosts = A.read_conllu(spark, d, keep_ghosts=True).count()
     assert ghosts == 4
 
@@ -273,6 +274,37 @@ def test_sinks_round_trip(spark):
     blocks = spark.createDataFrame([("# sent_id = 1\n# text = a\n1\ta\ta\tX\t_\t_\t0\tdep\t_\t_",)], "block string")
     sinks.write_conllu(blocks, f"{d}/conllu")
     assert [r["form"] for r in A.read_conllu(spark, f"{d}/conllu").collect()] == ["a"]
+    sinks.write_conllu(blocks.union(blocks).coalesce(1), f"{d}/two")
+    part = next(f for f in os.listdir(f"{d}/two") if f.startswith("part-"))
+    block = blocks.first()["block"]
+    with open(os.path.join(d, "two", part), newline="") as f:
+        assert f.read() == f"{block}\n\n{block}\n\n"  # one blank line after each
+
+
+def test_conllu_line_ends_and_long_sentences(spark):
+    row = "{0}\tw{0}\tw\tX\t_\t_\t0\tdep\t_\t_"
+    one = ["# sent_id = a", "# text = w1 w2", row.format(1), row.format(2)]
+    two = ["# sent_id = b", row.format(1)]
+    for end, blank in (("\n", ""), ("\r\n", ""), ("\n", " \t"), ("\r\n", "  ")):
+        d = tempfile.mkdtemp(prefix="textloom-test-")
+        with open(os.path.join(d, "x.conllu"), "w", newline="") as f:
+            f.write(end.join([*one, blank, *two, blank, blank, *one, blank]))
+        got = [(r["sent_id"], r["id"], r["form"], r["misc"]) for r in A.read_conllu(spark, d).collect()]
+        assert sorted(got) == sorted([("a", "1", "w1", "_"), ("a", "2", "w2", "_")] * 2 + [("b", "1", "w1", "_")])
+    n = 32_000
+    block = "\n".join(["# sent_id = long", "# text = " + " ".join(f"w{k}" for k in range(n)),
+                       *[row.format(k + 1) for k in range(n)]])
+    df = spark.createDataFrame([(block,)], "block string")
+    assert A.parse_conllu_blocks(df).count() == n
+    assert len(A.conllu_sentences(df).first()["text"]) > n
+
+
+def test_far_span_ends_make_no_buckets(spark):
+    toks = spark.createDataFrame([("s", 1, "a", 0, 1), ("s", 2, "b", 2, 3)],
+                                 "s string, tok_idx int, form string, start int, end int")
+    spans = spark.createDataFrame([("s", 0, 2, 2**31 - 2, "FAR")], "s string, span_ord int, start int, end int, label string")
+    got = {r["tok_idx"]: r["label"] for r in A.best_labels(toks, spans, "s", ["s", "tok_idx"]).collect()}
+    assert got == {1: "X", 2: "FAR"}
 
 
 def test_merges_are_those_of_one_at_a_time(spark):

@@ -46,26 +46,16 @@ def _offsets_udf(kind: str):
 
     @F.pandas_udf(_OFFSET_SCHEMA)
     def offsets(texts: pd.Series) -> pd.DataFrame:
-        toks, starts, ends = [], [], []
-        for t in texts:
-            if t is None:
-                toks.append(None), starts.append(None), ends.append(None)
-                continue
-            row_t, row_s, row_e, pos = [], [], [], 0
-            for tok in pattern.findall(t):
-                s = t.find(tok, pos)
-                if s < 0:          # not found: stay at the previous end
-                    s = pos
-                pos = s + len(tok)
-                row_t.append(tok), row_s.append(s), row_e.append(pos)
-            toks.append(row_t), starts.append(row_s), ends.append(row_e)
-        return pd.DataFrame({"tokens": toks, "starts": starts, "ends": ends})
+        found = [None if t is None else list(pattern.finditer(t)) for t in texts]
+        return pd.DataFrame({name: [None if f is None else [read(m) for m in f] for f in found]
+                             for name, read in (("tokens", re.Match.group), ("starts", re.Match.start),
+                                                ("ends", re.Match.end))})
 
     return offsets
 
 
 def token_offsets(df: DataFrame, keys, text_col: str, kind: str = "annot") -> DataFrame:
-    """WIN-06: tokens with running character offsets (search resumes at the previous end).
+    """WIN-06: tokens with their character offsets.
 
     Row-local Arrow-batched UDF (linear per text, no shuffle).  Output: keys...,
     tok_idx (1-based), token, start, end.
@@ -119,44 +109,58 @@ def conllu_block_from_arrays(sent_id: Column, text: Column, tokens: Column, tags
 
 
 def write_conllu(blocks: DataFrame, path: str, block_col: str = "block") -> None:
-    """SNK-02 sink: blocks separated by a blank line (``lineSep='\\n\\n'``)."""
+    """SNK-02 sink: every block is followed by one blank line."""
     blocks.select(F.concat(F.col(block_col), F.lit("\n")).alias("value")).write.mode("overwrite") \
-        .option("lineSep", "\n\n").text(path)
+        .option("lineSep", "\n").text(path)
+
+
+def _comment(block_col: str, key: str) -> Column:
+    return F.regexp_extract(F.col(block_col), rf"(?:^|\n)#[ \t]*{key}[ \t]*=[ \t]*([^\r\n]*)", 1)
+
+
+def conllu_sentences(df: DataFrame, block_col: str = "block", keys=()) -> DataFrame:
+    """SRC-03: one row per sentence block: keys..., sent_id, text (the lifted comments)."""
+    return df.select(*list(keys), _comment(block_col, "sent_id").alias("sent_id"),
+                     _comment(block_col, "text").alias("text"))
 
 
 def parse_conllu_blocks(df: DataFrame, block_col: str = "block", keys=(), keep_ghosts: bool = False) -> DataFrame:
     """SRC-03: one record per sentence block → one row per token, row-local.
 
-    Comments ``# key = value`` become a map; ``sent_id`` and ``text`` are lifted.
-    Rows whose ID is not an integer (ghost rows, multi-word ranges, empty
-    nodes) are dropped unless ``keep_ghosts``.
+    Tokens carry ``sent_id`` but not the sentence's text (``conllu_sentences`` has it once), so a block costs
+    time and space in proportion to its length.  Rows whose ID is not an integer (ghost rows, multi-word ranges,
+    empty nodes) are dropped unless ``keep_ghosts``.
     """
     k = list(keys)
-    # No per-line lambdas (interpreted): the two lifted comments are one regex scan
-    # of the block each; token lines are exploded, filtered and split once.
-    def comment(key):
-        return F.regexp_extract(F.col(block_col), rf"(?:^|\n)#[ \t]*{key}[ \t]*=[ \t]*([^\r\n]*)", 1)
-
     # Expressions selected next to a generator are evaluated above it, once per output
     # row; computing them in the projection below keeps them once per block.
-    staged = df.select(*k, comment("sent_id").alias("sent_id"), comment("text").alias("text"),
+    staged = df.select(*k, _comment(block_col, "sent_id").alias("sent_id"),
                        F.split(F.col(block_col), "\r?\n").alias("_lines"))
-    base = staged.select(*k, "sent_id", "text", F.posexplode("_lines").alias("_line", "_r"))
-    base = base.filter(~F.col("_r").startswith("#") & (F.col("_r") != ""))
-    split = base.select(*k, "sent_id", "text", "_line", F.split("_r", "\t").alias("_f"))
-    out = split.select(*k, "sent_id", "text", (F.col("_line") + 1).cast("int").alias("line_in_block"),
+    base = staged.select(*k, "sent_id", F.posexplode("_lines").alias("_line", "_r"))
+    base = base.filter(~F.col("_r").startswith("#") & (T.utrim(F.col("_r")) != ""))
+    split = base.select(*k, "sent_id", "_line", F.split("_r", "\t").alias("_f"))
+    out = split.select(*k, "sent_id", (F.col("_line") + 1).cast("int").alias("line_in_block"),
                        *[F.try_element_at("_f", F.lit(i + 1)).alias(n) for i, n in enumerate(CONLLU_FIELDS)])
     if not keep_ghosts:
         out = out.filter(F.col("id").rlike(r"^[0-9]+$"))
     return out
 
 
+def read_conllu_blocks(spark, path: str) -> DataFrame:
+    """SRC-03 from files: ``src, block``, a row per sentence.
+
+    Records end at blank lines, so files are read in parallel pieces.  In files with other line ends (CRLF) or with
+    white space in their blank lines a record holds several sentences; it is cut where it is.
+    """
+    records = spark.read.option("lineSep", "\n\n").text(path)
+    block = F.explode(F.split("value", r"\r?\n(?:[ \t]*\r?\n)+")).alias("block")
+    return records.select(F.col("_metadata.file_path").alias("src"), block) \
+        .filter(F.regexp_replace("block", r"\s", "") != "")
+
+
 def read_conllu(spark, path: str, keep_ghosts: bool = False) -> DataFrame:
-    """SRC-03 from files: the blank line is the record separator, so a sentence is one record."""
-    blocks = spark.read.option("lineSep", "\n\n").text(path).withColumnRenamed("value", "block")
-    blocks = blocks.filter(F.regexp_replace("block", r"\s", "") != "")
-    return parse_conllu_blocks(blocks.withColumn("src", F.col("_metadata.file_path")), "block",
-                               ["src"], keep_ghosts)
+    """SRC-03 from files: one row per token, with its file."""
+    return parse_conllu_blocks(read_conllu_blocks(spark, path), "block", ["src"], keep_ghosts)
 
 
 # Bilingual numbered comment (``# 7. <text> = <translation>``).
@@ -212,9 +216,12 @@ def best_labels(tokens: DataFrame, spans: DataFrame, sent_keys, tok_keys) -> Dat
     """
     k = _keys(sent_keys)
     tk = _keys(tok_keys)
+    # Spans end with their sentence's last token at the latest: an end far beyond it would only make buckets.
+    last = tokens.groupBy(*k).agg(F.max("end").alias("_last"))
     keyed = span_table(spans, k)
+    clipped = keyed.join(last, k).withColumn("end", F.greatest("start", F.least("end", "_last")))
     exact = keyed.select(*k, "start", "end", F.col("label").alias("_exact"))
-    sb = keyed.select(*k, F.col("start").alias("_ss"), F.col("end").alias("_se"), "label", "key_ord",
+    sb = clipped.select(*k, F.col("start").alias("_ss"), F.col("end").alias("_se"), "label", "key_ord",
                       F.explode(_buckets(F.col("start"), F.col("end"))).alias("_b"))
     tb = tokens.select(*k, *[c for c in tk if c not in k], "start", "end",
                        F.explode(_buckets(F.col("start"), F.col("end"))).alias("_b"))

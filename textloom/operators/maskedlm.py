@@ -87,22 +87,23 @@ def fill_mask(positions: DataFrame, keys: list[str], counts: DataFrame, k: int =
 
     Level 1: candidates seen between the same neighbours, P = c / c(prev,*,next);
     level 2 (no such context): candidates after ``prev``; level 3: unigrams.
-    Top-k is taken per context before joining positions (row_number ≤ k is a
-    partial window group limit), so a frequent context never multiplies.
+    Top-k is taken per context before joining positions, so a frequent context never
+    multiplies.  The rank stands alone in its window and totals are aggregates, so
+    Spark limits each group before it shuffles (window group limit).
     Ties by word.
     """
     need = positions.select("prev", "next").distinct()
     tri = counts.join(need, ["prev", "next"], "left_semi")
     w3 = Window.partitionBy("prev", "next").orderBy(F.desc("c"), F.asc("word"))
-    tot3 = F.sum("c").over(Window.partitionBy("prev", "next"))
-    top3 = (tri.withColumn("rank", F.row_number().over(w3)).withColumn("score", F.col("c") / tot3)
-            .filter(F.col("rank") <= k).select("prev", "next", "rank", F.col("word").alias("filler"), "score"))
+    tot3 = tri.groupBy("prev", "next").agg(F.sum("c").alias("total"))
+    top3 = (tri.withColumn("rank", F.row_number().over(w3)).filter(F.col("rank") <= k).join(tot3, ["prev", "next"])
+            .select("prev", "next", "rank", F.col("word").alias("filler"), (F.col("c") / F.col("total")).alias("score")))
     bi = counts.groupBy("prev", "word").agg(F.sum("c").alias("c"))
     bi = bi.join(positions.select("prev").distinct(), "prev", "left_semi")
     w2 = Window.partitionBy("prev").orderBy(F.desc("c"), F.asc("word"))
-    tot2 = F.sum("c").over(Window.partitionBy("prev"))
-    top2 = (bi.withColumn("rank", F.row_number().over(w2)).withColumn("score", F.col("c") / tot2)
-            .filter(F.col("rank") <= k).select("prev", "rank", F.col("word").alias("filler"), "score"))
+    tot2 = bi.groupBy("prev").agg(F.sum("c").alias("total"))
+    top2 = (bi.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k).join(tot2, "prev")
+            .select("prev", "rank", F.col("word").alias("filler"), (F.col("c") / F.col("total")).alias("score")))
     uni = counts.groupBy("word").agg(F.sum("c").alias("c"))
     utot = uni.select(F.sum("c")).scalar()
     top1 = uni.orderBy(F.desc("c"), F.asc("word")).limit(k)

@@ -82,17 +82,34 @@ def head_fraction(df: DataFrame, order: list[Column], fraction: float) -> DataFr
     return global_rank(df, order, "_r").filter(F.col("_r") <= k).drop("_r")
 
 
+def seeded_first(df: DataFrame, key_cols: list[str], seed: int, k: Column, bits: int = 16) -> Column:
+    """Whether a row of ``df`` is among the first ``k`` in the seeded order.
+
+    The k-th key is found from bucket counts and a rank inside the one bucket it falls into, both over keys only;
+    rows are then compared with it where they are, so no row moves.
+    """
+    h = seeded_key(seed, *key_cols)
+    keys = df.select(h.alias("_h"), *key_cols).withColumn(
+        "_b", F.shiftright(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long"), 32 - bits))
+    counts = keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_b", "_n", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
+    edge = offsets.filter((F.col("_off") < k) & (k <= F.col("_off") + F.col("_n"))).select("_b", "_off")  # one row
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *key_cols))
+    last = keys.join(F.broadcast(edge), "_b").withColumn("_r", F.col("_off") + rank).filter(F.col("_r") == k) \
+        .select(F.struct("_h", *key_cols)).scalar()
+    return F.when(k <= 0, False).when(k >= row_count(df), True).otherwise(F.struct(h, *key_cols) <= last)
+
+
 def shuffled_fraction(df: DataFrame, key_cols: list[str], fraction: float, seed: int = 42) -> DataFrame:
     """SMP-02: seeded shuffle, then head fraction."""
     k = F.floor(row_count(df) * F.lit(float(fraction)))
-    return _seeded_rank(df, key_cols, seed).filter(F.col("_r") <= k).drop("_r")
+    return df.filter(seeded_first(df, key_cols, seed, k))
 
 
 def train_valid_split(df: DataFrame, key_cols: list[str], train_split: float, seed: int = 42) -> DataFrame:
     """SMP-03: seeded shuffle; the first ``floor(n * train_split)`` rows are train."""
     k = F.floor(row_count(df) * F.lit(float(train_split)))
-    ranked = _seeded_rank(df, key_cols, seed)
-    return ranked.withColumn("split", F.when(F.col("_r") <= k, "train").otherwise("valid")).drop("_r")
+    return df.withColumn("split", F.when(seeded_first(df, key_cols, seed, k), "train").otherwise("valid"))
 
 
 def _three_way_sizes(n: Column, split: tuple[float, float, float], repair: bool):
@@ -116,15 +133,17 @@ def three_way_split(df: DataFrame, key_cols: list[str], split=(0.8, 0.1, 0.1), s
     """SMP-04 (``repair=False``: test = all the rest) and SMP-05 (overflow repair)."""
     n = row_count(df)
     n_train, n_val, n_test = _three_way_sizes(n, split, repair)
-    r = F.col("_r")
+    def first(k):
+        return seeded_first(df, key_cols, seed, k)
+
     label = (F.when(n < 3, F.raise_error(F.lit("need at least 3 rows for train/validation/test")))
-             .when(r <= n_train, "train")
-             .when(r <= n_train + n_val, "validation"))
+             .when(first(n_train), "train")
+             .when(first(n_train + n_val), "validation"))
     if n_test is None:
         label = label.otherwise("test")
     else:
-        label = label.when(r <= n_train + n_val + n_test, "test")
-    out = _seeded_rank(df, key_cols, seed).withColumn("split", label).drop("_r")
+        label = label.when(first(n_train + n_val + n_test), "test")
+    out = df.withColumn("split", label)
     return out.filter(F.col("split").isNotNull())
 
 
@@ -144,7 +163,7 @@ def first_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 
 def position_cap(df: DataFrame, key_cols: list[str], cap: int, seed: int = 42) -> DataFrame:
     """SMP-08: at most ``cap`` positions, seeded, without replacement."""
-    return _seeded_rank(df, key_cols, seed).filter(F.col("_r") <= cap).drop("_r")
+    return df.filter(seeded_first(df, key_cols, seed, F.lit(cap).cast("long")))
 
 
 def rank_within(df: DataFrame, key: str, order: list[str], rank_col: str = "pos") -> DataFrame:

@@ -69,13 +69,16 @@ def head_per_split(spark, sf_dir):
     return s.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 5).drop("_r")
 
 
+def _tags_by_split(spark, sf_dir):
+    toks_ = FX.tagged_tokens(Tables(spark, sf_dir).documents).join(doc_splits(spark, sf_dir), "doc_id")
+    return toks_.groupBy("split", "upos").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("label_union", with_ctes("""
 SELECT DISTINCT upos FROM tagged t JOIN doc_split d USING (doc_id)""", "tagged", "doc_split"))
 def label_union(spark, sf_dir):
     """SET-01: union of the tag sets of all splits."""
-    toks_ = FX.tagged_tokens(Tables(spark, sf_dir).documents).join(doc_splits(spark, sf_dir), "doc_id")
-    per = [toks_.filter(F.col("split") == s).select("upos") for s in ("train", "validation", "test")]
-    return per[0].unionByName(per[1]).unionByName(per[2]).distinct()
+    return _tags_by_split(spark, sf_dir).select("upos").distinct()
 
 
 @query("unseen_labels", with_ctes("""
@@ -83,12 +86,10 @@ WITH t AS (SELECT t.upos, split FROM tagged t JOIN doc_split d USING (doc_id))
 SELECT upos, count(*)::BIGINT AS n, upos IN (SELECT upos FROM t WHERE split = 'train') AS in_train
 FROM t WHERE split = 'validation' GROUP BY upos""", "tagged", "doc_split"))
 def unseen_labels(spark, sf_dir):
-    """SET-02: validation tags with a flag for presence in train (anti/semi join on the tag)."""
-    toks_ = FX.tagged_tokens(Tables(spark, sf_dir).documents).join(doc_splits(spark, sf_dir), "doc_id")
-    train = toks_.filter(F.col("split") == "train").select("upos").distinct()
-    val = toks_.filter(F.col("split") == "validation").groupBy("upos").agg(F.count(F.lit(1)).alias("n"))
-    return (val.join(train.withColumn("in_train", F.lit(True)), "upos", "left")
-            .withColumn("in_train", F.coalesce("in_train", F.lit(False))))
+    """SET-02: validation tags with a flag for presence in train (one pass over tag counts per split)."""
+    n = lambda split: F.sum(F.when(F.col("split") == split, F.col("n")).otherwise(0))
+    return _tags_by_split(spark, sf_dir).groupBy("upos").agg(n("validation").alias("n"),
+                                                            (n("train") > 0).alias("in_train")).filter("n > 0")
 
 
 @query("value_counts_top", """
