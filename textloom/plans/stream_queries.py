@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators import sampling as S
 from textloom.plans.registry import query
+from textloom.plans.sqlparts import tag_sql, trim
 from textloom.session import Tables
 from textloom.streaming import annotation_loop as AL
 from textloom.streaming import feed as FD
@@ -23,7 +24,14 @@ def stream_pool(spark, sf_dir):
     return FD.run_available(AL.pool_stream(ann))
 
 
-@query("stream_label_counts")
+@query("stream_label_counts", f"""
+WITH t AS (SELECT *, regexp_extract(text, '[\\p{{L}}\\p{{N}}_]+|[^\\s]') AS first FROM conversations
+           WHERE {trim('text')} <> ''),
+l AS (SELECT {tag_sql('first', '1')} AS label FROM t
+      WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1)
+      UNION ALL SELECT 'X' FROM t WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1)
+      UNION ALL SELECT 'X' FROM t WHERE conv_id % 13 = 0)
+SELECT label, count(*)::BIGINT AS n FROM l WHERE label IS NOT NULL GROUP BY label""")
 def stream_label_counts(spark, sf_dir):
     """STM-08: incremental label counts over the streamed annotations (complete mode)."""
     path = FD.write_feed(_events(spark, sf_dir), 4)
@@ -31,7 +39,14 @@ def stream_label_counts(spark, sf_dir):
     return FD.run_available(AL.label_counts(ann), mode="complete")
 
 
-@query("import_events_flatten")
+@query("import_events_flatten", f"""
+SELECT * FROM (SELECT conv_id * 1000 + 980 AS event_seq,
+                      (row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1)::INTEGER AS sub,
+                      conv_id % 3 AS project, text, 1 AS n_spans, false AS dead
+               FROM conversations WHERE conv_id % 13 = 0) WHERE {trim('text')} <> ''
+UNION ALL
+SELECT conv_id * 1000 + turn * 2, 0, conv_id % 3, NULL, 0, true
+FROM conversations WHERE conv_id % 10 = 5 AND turn = 1 AND role IN ('user', 'assistant')""")
 def import_events_flatten(spark, sf_dir):
     """STM-02 on import bundles: first annotation of every imported task, plus dead letters."""
     ann, dead = AL.normalise(_events(spark, sf_dir))

@@ -67,7 +67,8 @@ def write_feed(events: DataFrame, chunks: int = 4) -> str:
     step = (hi - lo) // chunks + 1
     for i in range(chunks):
         part = events.filter((F.col("event_seq") >= lo + i * step) & (F.col("event_seq") < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(path)
+        # A project's events of a chunk share a file, so they arrive in order; projects are written in parallel.
+        part.repartition("project").sortWithinPartitions("event_seq").write.mode("append").parquet(path)
     return path
 
 
