@@ -245,6 +245,27 @@ def test_results_independent_of_partitioning(spark):
     assert before == after
 
 
+def replay_pool(rows: list[dict], threshold, force_min) -> list[tuple]:
+    """Plain-Python replay of the pool: (project, batch_id, event_seq, sub, forced)."""
+    from textloom.streaming import annotation_loop as AL
+    out, pools = [], {}
+    for r in sorted(rows, key=lambda r: (r["event_seq"], r["sub"])):
+        pool, nb = pools.get(r["project"], ([], 0))
+        if r["event"] == AL.CLEAR_EVENT:
+            pool = []
+        elif r["event"] == AL.TRAIN_EVENT:
+            if len(pool) >= force_min:
+                out += [(r["project"], nb, s, sub, True) for s, sub, _ in pool]
+                pool, nb = [], nb + 1
+        elif not any(p[2] == r["text"] for p in pool):
+            pool = pool + [(r["event_seq"], r["sub"], r["text"])]
+            if len(pool) >= threshold:
+                out += [(r["project"], nb, s, sub, False) for s, sub, _ in pool]
+                pool, nb = [], nb + 1
+        pools[r["project"]] = (pool, nb)
+    return out
+
+
 def test_stream_pool_matches_python_replay(spark):
     from textloom.streaming import annotation_loop as AL
     from textloom.streaming import feed as FD
@@ -252,7 +273,7 @@ def test_stream_pool_matches_python_replay(spark):
     events = FD.annotation_events(spark.read.parquet(f"{SMALL}/conversations.parquet"))
     ann, dead = AL.normalise(events)
     rows = [r.asDict() for r in ann.select("event_seq", "sub", "project", "event", "text").collect()]
-    want = sorted(AL.replay_pool(rows, threshold=5, force_min=3))
+    want = sorted(replay_pool(rows, threshold=5, force_min=3))
     path = FD.write_feed(events, 3)
     streamed = FD.run_available(AL.pool_stream(AL.normalise(FD.read_feed(spark, path))[0], 5, 3))
     got = sorted((r["project"], r["batch_id"], r["event_seq"], r["sub"], r["forced"]) for r in streamed.collect())
@@ -404,3 +425,116 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def _annotations(texts):
+    import json
+    span = [{"value": {"start": 0, "end": 2, "labels": ["NOUN"]}}]
+    return [(k, p, "ANNOTATION_CREATED", json.dumps({"task": {"data": {"text": t}}, "result": span}))
+            for k, (p, t) in enumerate(texts)]
+
+
+def test_pool_survives_a_restart_and_texts_return(spark):
+    from textloom.streaming import annotation_loop as AL
+    from textloom.streaming import feed as FD
+    d = tempfile.mkdtemp(prefix="textloom-test-")
+    feed, out, state = f"{d}/feed", f"{d}/out", f"{d}/state"
+
+    def run(rows):
+        spark.createDataFrame(rows, AL.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(feed)
+        ann, _ = AL.normalise(FD.read_feed(spark, feed))
+        AL.admission_stream(ann, 3, 2).writeStream.outputMode("append").format("parquet").option("path", out) \
+            .option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+    events = _annotations([(1, "a"), (1, "b"), (1, "a"), (1, "c"), (1, "a")])
+    run(events[:2])
+    run(events[2:])  # a new query on the same checkpoint: the pool of the first one is still there
+    got = {r["event_seq"]: (r["batch_id"], r["admitted"]) for r in spark.read.parquet(out).collect()}
+    assert got == {0: (0, True), 1: (0, True), 2: (0, False), 3: (0, True), 4: (1, True)}
+
+
+def test_failed_training_keeps_its_batch(spark):
+    from textloom.streaming import annotation_loop as AL
+    from textloom.streaming import feed as FD
+    from textloom.streaming import retrain as RT
+    d = tempfile.mkdtemp(prefix="textloom-test-")
+    broken = {"yes": True}
+
+    def train(tokens, path):
+        if broken["yes"]:
+            raise ValueError("no luck")
+        RT.label_model(tokens, path)
+
+    def run(rows):
+        spark.createDataFrame(rows, AL.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{d}/feed")
+        ann, _ = AL.normalise(FD.read_feed(spark, f"{d}/feed"))
+        RT.retrain_stream(AL.pool_stream(ann, 2, 2), f"{d}/job", train).awaitTermination()
+
+    events = _annotations([(1, "aa b"), (1, "bb c"), (1, "cc d"), (1, "dd e"), (2, "ee f"), (1, "gg h"), (1, "hh i")])
+    run(events[:2])
+    assert RT.pending(spark, f"{d}/job").count() == 2
+    broken["yes"] = False
+    run(events[2:])
+    status = [tuple(r)[:4] for r in RT.read_table(spark, f"{d}/job", "status", RT.STATUS).collect()]
+    assert sorted(status) == [(1, 0, 1, "done"), (1, 0, 1, "failed"), (1, 1, 2, "done"), (1, 2, 3, "done")]
+    assert RT.pending(spark, f"{d}/job").count() == 0
+    log = {tuple(r) for r in RT.read_table(spark, f"{d}/job", "versions", RT.VERSIONS).collect()}
+    assert log == {(1, 1, "new"), (1, 2, "new"), (1, 3, "new"), (1, 1, "deleted")}
+    model = spark.read.parquet(f"{d}/job/models/project=1/v1")
+    assert ("aa", "NOUN", 1) in {tuple(r) for r in model.collect()}
+    assert A.read_conllu(spark, f"{d}/job/corpus/project=1/batch=0").count() == 4
+
+
+def test_file_readers(spark):
+    import json
+
+    from textloom.sources import formats as SF
+    d = tempfile.mkdtemp(prefix="textloom-test-")
+
+    def put(name, text):
+        os.makedirs(os.path.dirname(f"{d}/{name}"), exist_ok=True)
+        with open(f"{d}/{name}", "w", newline="") as f:
+            f.write(text)
+
+    put("corpus/a.txt", "  one \n\n two\u00a0\r\nthree")
+    assert sorted(r["text"] for r in SF.read_corpus(spark, f"{d}/corpus").collect()) == ["one", "three", "two"]
+    put("cat/a.jsonl", '{"id": "x", "title": "T"}\n{"id": "y"}\n')
+    got = SF.read_catalogue(spark, f"{d}/cat", "id string, title string").collect()
+    assert [(r["id"], r["title"], r["img"]) for r in got] == [("x", "T", "/cover_img/x.jpg"), ("y", None, "/cover_img/y.jpg")]
+    put("meta/b1.json", json.dumps([{"articleID": 7, "id": 1}, {"articleID": 3, "id": 2}]))
+    put("meta/b2.json", "not json")
+    got = SF.read_json_arrays(spark, f"{d}/meta", "articleID long, id long").collect()
+    assert [(r["pos"], r["articleID"]) for r in got if r["src"].endswith("b1.json") and r["id"] is not None] == [(1, 7), (2, 3)]
+    put("tagged/t.json", json.dumps([{"tokens": ["a", "b"], "tags": ["X", "Y"]}]))
+    got = SF.read_json_arrays(spark, f"{d}/tagged", "tokens array<string>, tags array<string>").first()
+    assert (got["tokens"], got["tags"]) == (["a", "b"], ["X", "Y"])
+    put("pages/1.html", "<p>\u2018a&amp;b</p>")
+    put("pages/2.html", "")
+    got = {r["src"][-6:]: (r["text"], r["error"]) for r in SF.read_pages(spark, f"{d}/pages").collect()}
+    assert got["1.html"] == ("\u02bba&b", None) and got.get("2.html", (None, "empty page")) == (None, "empty page")
+    put("spans/s.csv", 'text,label\n"a ""q"" \nb","[{""start"":0,""end"":1,""labels"":[""X"",""Y""]},'
+                       '{""start"":1,""end"":2,""labels"":[]}]"\nplain,\nbad,{\n')
+    got = {r["text"]: [(s["start"], s["labels"]) for s in r["spans"]] for r in SF.read_span_csv(spark, f"{d}/spans").collect()}
+    assert got == {'a "q" \nb': [(0, ["X", "Y"])], "plain": [], "bad": []}
+    row = "1\ta\ta\tX\t_\t_\t0\tdep\t_\t_"
+    for split in ("train", "dev", "test"):
+        put(f"ud/x-{split}.conllu", f"# sent_id = {split}\n{row}\n\n")
+    got = SF.read_treebank(spark, f"{d}/ud").collect()
+    assert sorted((r["sent_id"], r["split"]) for r in got) == [("dev", "validation"), ("test", "test"), ("train", "train")]
+    tags = SF.tag_names(spark.createDataFrame([([1, 0, 9],)], "tags array<int>"), "tags", ["N", "V"]).first()["tags"]
+    assert tags == ["V", "N", None]
+
+
+def test_more_sinks(spark):
+    from textloom.sources import sinks
+    d = tempfile.mkdtemp(prefix="textloom-test-")
+    sinks.write_encoded(spark.createDataFrame([("t", [1, 2])], "text string, input_ids array<int>"), f"{d}/enc")
+    assert spark.read.parquet(f"{d}/enc").columns == ["input_ids"]
+    sinks.write_vocab(spark.createDataFrame([("a", 0), ("b", 1)], "token string, id int"), f"{d}/vocab")
+    assert sorted((r["token"], r["id"]) for r in spark.read.json(f"{d}/vocab").collect()) == [("a", 0), ("b", 1)]
+    runs = spark.createDataFrame([(1, "lm", 0.5), (2, "pos", 0.7)], "run_id int, experiment string, value double")
+    sinks.append_runs(runs, f"{d}/runs")
+    sinks.append_runs(runs.withColumn("run_id", F.col("run_id") + 2), f"{d}/runs")
+    scan = spark.read.parquet(f"{d}/runs").filter("experiment = 'lm'")
+    assert sorted(r["run_id"] for r in scan.collect()) == [1, 3]
+    assert "PartitionFilters: [isnotnull(experiment" in scan._jdf.queryExecution().executedPlan().toString()

@@ -104,6 +104,8 @@ def with_ctes(body: str, *names: str) -> str:
         return body
     head = "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + head[5:] + ",\n" + stripped[15:]
     if stripped[:5].upper() == "WITH ":
         return head + ",\n" + stripped[5:]
     return head + "\n" + body

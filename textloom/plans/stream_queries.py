@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from textloom.operators import sampling as S
 from textloom.plans.registry import query
-from textloom.plans.sqlparts import tag_sql, trim
-from textloom.session import Tables
+from textloom.plans.sqlparts import register_cte, tag_sql, trim, with_ctes
+from textloom.session import Tables, ensure_checkpoint_dir
 from textloom.streaming import annotation_loop as AL
 from textloom.streaming import feed as FD
+from textloom.streaming import retrain as RT
+
+
+register_cte("chat", (), """
+    SELECT conv_id, turn, role, CASE WHEN conv_id % 4 = 1 AND turn >= 2
+           THEN first_value(text) OVER (PARTITION BY conv_id ORDER BY turn) ELSE text END AS text
+    FROM conversations""")
 
 
 def _events(spark, sf_dir):
@@ -24,14 +32,26 @@ def stream_pool(spark, sf_dir):
     return FD.run_available(AL.pool_stream(ann))
 
 
-@query("stream_label_counts", f"""
-WITH t AS (SELECT *, regexp_extract(text, '[\\p{{L}}\\p{{N}}_]+|[^\\s]') AS first FROM conversations
+@query("retrain_status")
+def retrain_status(spark, sf_dir):
+    """STM-06 + STM-04 + WIN-08: the streamed batches retrained one by one; status and tokens learnt per batch."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/retrain-{uuid.uuid4().hex}"
+    ann, _dead = AL.normalise(FD.read_feed(spark, FD.write_feed(_events(spark, sf_dir), 4)))
+    # Larger pools than the annotation tool's: a model per few hundred sentences.
+    RT.retrain_stream(AL.pool_stream(ann, 400, 200), base).awaitTermination()
+    status = RT.read_table(spark, base, "status", RT.STATUS)
+    rows = RT.read_table(spark, base, "emitted", RT.EMITTED).groupBy(*RT.KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+    return status.join(rows, RT.KEYS).select(*RT.KEYS, "version", "status", "n_rows")
+
+
+@query("stream_label_counts", with_ctes(f"""
+WITH t AS (SELECT *, regexp_extract(text, '[\\p{{L}}\\p{{N}}_]+|[^\\s]') AS first FROM chat
            WHERE {trim('text')} <> ''),
 l AS (SELECT {tag_sql('first', '1')} AS label FROM t
       WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1)
       UNION ALL SELECT 'X' FROM t WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1)
       UNION ALL SELECT 'X' FROM t WHERE conv_id % 13 = 0)
-SELECT label, count(*)::BIGINT AS n FROM l WHERE label IS NOT NULL GROUP BY label""")
+SELECT label, count(*)::BIGINT AS n FROM l WHERE label IS NOT NULL GROUP BY label""", "chat"))
 def stream_label_counts(spark, sf_dir):
     """STM-08: incremental label counts over the streamed annotations (complete mode)."""
     path = FD.write_feed(_events(spark, sf_dir), 4)
@@ -39,14 +59,14 @@ def stream_label_counts(spark, sf_dir):
     return FD.run_available(AL.label_counts(ann), mode="complete")
 
 
-@query("import_events_flatten", f"""
+@query("import_events_flatten", with_ctes(f"""
 SELECT * FROM (SELECT conv_id * 1000 + 980 AS event_seq,
                       (row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1)::INTEGER AS sub,
                       conv_id % 3 AS project, text, 1 AS n_spans, false AS dead
-               FROM conversations WHERE conv_id % 13 = 0) WHERE {trim('text')} <> ''
+               FROM chat WHERE conv_id % 13 = 0) WHERE {trim('text')} <> ''
 UNION ALL
 SELECT conv_id * 1000 + turn * 2, 0, conv_id % 3, NULL, 0, true
-FROM conversations WHERE conv_id % 10 = 5 AND turn = 1 AND role IN ('user', 'assistant')""")
+FROM conversations WHERE conv_id % 10 = 5 AND turn = 1 AND role IN ('user', 'assistant')""", "chat"))
 def import_events_flatten(spark, sf_dir):
     """STM-02 on import bundles: first annotation of every imported task, plus dead letters."""
     ann, dead = AL.normalise(_events(spark, sf_dir))
@@ -57,28 +77,33 @@ def import_events_flatten(spark, sf_dir):
     return imp.unionByName(bad)
 
 
-@query("pool_admission", """
-WITH ev AS (SELECT conv_id % 3 AS project, conv_id * 1000 + turn * 2 AS seq, conv_id, turn, text
-            FROM conversations WHERE role IN ('user', 'assistant') AND trim(text) <> ''),
-first AS (SELECT project, text, min(seq) AS seq FROM ev GROUP BY project, text),
-r AS (SELECT project, seq, row_number() OVER (PARTITION BY project ORDER BY seq) AS pos,
-             count(*) OVER (PARTITION BY project) AS n FROM first)
-SELECT ev.project, ev.conv_id, ev.turn,
-       CASE WHEN (pos - 1) // 25 < n // 25 THEN (pos - 1) // 25 END AS batch_id,
-       CASE WHEN (pos - 1) // 25 < n // 25 THEN 'emitted' ELSE 'pooled' END AS status
-FROM r JOIN ev USING (project, seq)""")
+@query("pool_admission", with_ctes(f"""
+WITH RECURSIVE ev AS (
+  SELECT conv_id % 3 AS project, conv_id, turn, text,
+         row_number() OVER (PARTITION BY conv_id % 3 ORDER BY conv_id, turn) AS i
+  FROM chat WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1) AND {trim('text')} <> ''),
+st AS (
+  SELECT DISTINCT project, 0::BIGINT AS i, []::VARCHAR[] AS pool, 0::BIGINT AS next_batch, 0::BIGINT AS batch_id,
+         false AS admitted FROM ev
+  UNION ALL
+  SELECT e.project, e.i, CASE WHEN list_contains(pool, e.text) THEN pool WHEN len(pool) >= 24 THEN []
+                              ELSE list_append(pool, e.text) END,
+         CASE WHEN NOT list_contains(pool, e.text) AND len(pool) >= 24 THEN next_batch + 1 ELSE next_batch END,
+         next_batch, NOT list_contains(pool, e.text)
+  FROM st JOIN ev e ON e.project = st.project AND e.i = st.i + 1),
+n AS (SELECT project, max(next_batch) AS n FROM st GROUP BY project)
+SELECT project, conv_id, turn, CASE WHEN admitted AND batch_id < n THEN batch_id END AS batch_id,
+       CASE WHEN NOT admitted THEN 'rejected' WHEN batch_id < n THEN 'emitted' ELSE 'pooled' END AS status
+FROM st JOIN ev USING (project, i) JOIN n USING (project)""", "chat"))
 def pool_admission(spark, sf_dir):
-    """JOIN-12 + STM-03/04 batch replay: first occurrence of each text per project is admitted,
-    admitted rows form batches of 25; the incomplete tail stays pooled."""
-    c = Tables(spark, sf_dir).conversations
-    ev = c.filter(F.col("role").isin("user", "assistant") & (F.trim("text") != "")).select(
-        (F.col("conv_id") % 3).alias("project"), (F.col("conv_id") * 1000 + F.col("turn") * 2).alias("seq"),
-        "conv_id", "turn", "text")
-    first = ev.groupBy("project", "text").agg(F.min("seq").alias("seq"))
-    ranked = S.rank_within(first.select("project", "seq"), "project", ["seq"], "pos")
-    n = first.groupBy("project").agg(F.count(F.lit(1)).alias("n"))
-    b = F.floor((F.col("pos") - 1) / AL.POOL_THRESHOLD)
-    full = F.floor(F.col("n") / AL.POOL_THRESHOLD)
-    j = ranked.join(n, "project").join(ev, ["project", "seq"])
-    return j.select("project", "conv_id", "turn", F.when(b < full, b).cast("bigint").alias("batch_id"),
-                    F.when(b < full, F.lit("emitted")).otherwise(F.lit("pooled")).alias("status"))
+    """JOIN-12 + STM-03/04: what the streamed pool does with each annotation (no control events): a text in the pool
+    is rejected, 25 admitted ones are emitted, the incomplete tail stays pooled."""
+    ev = _events(spark, sf_dir).filter(F.col("event").isin(*AL.COLLECT_EVENTS))
+    ann, _dead = AL.normalise(FD.read_feed(spark, FD.write_feed(ev, 4)))
+    rows = FD.run_available(AL.admission_stream(ann))
+    full = rows.filter("admitted").groupBy("project").agg(F.floor(F.count(F.lit(1)) / AL.POOL_THRESHOLD).alias("full"))
+    out = F.col("admitted") & (F.col("batch_id") < F.col("full"))
+    return rows.join(full, "project").select(
+        "project", F.floor(F.col("event_seq") / 1000).alias("conv_id"),
+        (F.col("event_seq") % 1000 / 2).cast("bigint").alias("turn"), F.when(out, F.col("batch_id")).alias("batch_id"),
+        F.when(~F.col("admitted"), "rejected").when(out, "emitted").otherwise("pooled").alias("status"))

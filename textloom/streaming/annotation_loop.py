@@ -77,42 +77,60 @@ def normalise(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 POOL_OUT = ("project long, batch_id long, event_seq long, sub int, text string, label_json string, "
             "forced boolean")
+ADMISSION_OUT = "project long, event_seq long, sub int, batch_id long, admitted boolean"
 POOL_STATE = "pool string, next_batch long"
 
 
-def _pool_step(threshold: int, force_min: int):
+class Pool:
+    """The rows of one project that wait for training: at most ``threshold``, whatever the history is."""
+
+    def __init__(self, rows: list | None = None, next_batch: int = 0):
+        self.rows = rows or []
+        self.next_batch = next_batch
+
+    def admit(self, row: tuple) -> bool:
+        """Take (event_seq, sub, text, label_json) unless its text is in the pool just now."""
+        if any(r[2] == row[2] for r in self.rows):
+            return False
+        self.rows.append(row)
+        return True
+
+    def flush(self) -> list:
+        rows, self.rows = self.rows, []
+        self.next_batch += 1
+        return rows
+
+
+def _pool_step(threshold: int, force_min: int, report: bool):
+    """State step of one project.  Emits flushed batches, or with ``report`` a row per annotation: the batch it
+    waits for and whether it was admitted."""
+
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pool, next_batch = [], 0
-        if state.exists:
-            raw, next_batch = state.get
-            pool = json.loads(raw)
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["event_seq", "sub"])
-        out = []
+        raw, next_batch = state.get if state.exists else ("[]", 0)
+        pool, out = Pool([tuple(r) for r in json.loads(raw)], next_batch), []
 
         def flush(forced):
-            nonlocal pool, next_batch
-            for seq, sub, text, lab in pool:
-                out.append((key[0], next_batch, seq, sub, text, lab, forced))
-            next_batch += 1
-            pool = []
+            batch = pool.next_batch
+            rows = pool.flush()
+            if not report:
+                out.extend((key[0], batch, *r, forced) for r in rows)
 
-        for r in rows.itertuples(index=False):
+        for r in pd.concat(list(pdfs), ignore_index=True).sort_values(["event_seq", "sub"]).itertuples(index=False):
             if r.event == CLEAR_EVENT:
-                pool = []
+                pool.rows = []
             elif r.event == TRAIN_EVENT:
-                if len(pool) >= force_min:
+                if len(pool.rows) >= force_min:
                     flush(True)
             else:
-                if any(p[2] == r.text for p in pool):
-                    continue                      # duplicate of a pooled text: rejected
-                spans = [{"start": int(s["start"]), "end": int(s["end"]), "labels": [s["label"]]}
-                         for s in r.spans]
-                pool.append((int(r.event_seq), int(r.sub), r.text, json.dumps(spans)))
-                if len(pool) >= threshold:
+                spans = [{"start": int(s["start"]), "end": int(s["end"]), "labels": [s["label"]]} for s in r.spans]
+                admitted = pool.admit((int(r.event_seq), int(r.sub), r.text, json.dumps(spans)))
+                if report:
+                    out.append((key[0], int(r.event_seq), int(r.sub), pool.next_batch, admitted))
+                if len(pool.rows) >= threshold:
                     flush(False)
-        state.update((json.dumps(pool), next_batch))
-        yield pd.DataFrame(out, columns=["project", "batch_id", "event_seq", "sub", "text", "label_json",
-                                         "forced"])
+        state.update((json.dumps(pool.rows), pool.next_batch))
+        names = [c.split()[0] for c in (ADMISSION_OUT if report else POOL_OUT).split(", ")]
+        yield pd.DataFrame(out, columns=names)
 
     return step
 
@@ -121,7 +139,13 @@ def pool_stream(annotations: DataFrame, threshold: int = POOL_THRESHOLD, force_m
                 ) -> DataFrame:
     """STM-03 + STM-04 + STM-05: per-project keyed pool; emits each flushed batch."""
     return annotations.groupBy("project").applyInPandasWithState(
-        _pool_step(threshold, force_min), POOL_OUT, POOL_STATE, "append", GroupStateTimeout.NoTimeout)
+        _pool_step(threshold, force_min, False), POOL_OUT, POOL_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def admission_stream(annotations: DataFrame, threshold: int = POOL_THRESHOLD, force_min: int = FORCE_MIN) -> DataFrame:
+    """JOIN-12: which annotations the pool admits (a text may come back once the pool is emptied)."""
+    return annotations.groupBy("project").applyInPandasWithState(
+        _pool_step(threshold, force_min, True), ADMISSION_OUT, POOL_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def label_counts(annotations: DataFrame) -> DataFrame:
@@ -129,23 +153,3 @@ def label_counts(annotations: DataFrame) -> DataFrame:
     return (annotations.filter(F.col("spans").isNotNull())
             .select(F.explode("spans").alias("s")).groupBy(F.col("s.label").alias("label"))
             .agg(F.count(F.lit(1)).alias("n")))
-
-
-def replay_pool(rows: list[dict], threshold: int = POOL_THRESHOLD, force_min: int = FORCE_MIN) -> list[tuple]:
-    """Plain-Python replay of the pool for tests: (project, batch_id, event_seq, sub, forced)."""
-    out, pools = [], {}
-    for r in sorted(rows, key=lambda r: (r["event_seq"], r["sub"])):
-        pool, nb = pools.get(r["project"], ([], 0))
-        if r["event"] == CLEAR_EVENT:
-            pool = []
-        elif r["event"] == TRAIN_EVENT:
-            if len(pool) >= force_min:
-                out += [(r["project"], nb, s, sub, True) for s, sub, _ in pool]
-                pool, nb = [], nb + 1
-        elif not any(p[2] == r["text"] for p in pool):
-            pool = pool + [(r["event_seq"], r["sub"], r["text"])]
-            if len(pool) >= threshold:
-                out += [(r["project"], nb, s, sub, False) for s, sub, _ in pool]
-                pool, nb = [], nb + 1
-        pools[r["project"]] = (pool, nb)
-    return out

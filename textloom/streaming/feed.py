@@ -22,11 +22,14 @@ def annotation_events(conversations: DataFrame) -> DataFrame:
     {task, result}); every conversation ≡ 5 (mod 10) has a malformed second
     turn; conversations ≡ 0 mod 13 add an import bundle of all their turns,
     ≡ 0 mod 7 a START_TRAINING and ≡ 0 mod 11 a CLEAR_POOL after their turns.
-    project = conv_id mod 3.
+    project = conv_id mod 3.  Conversations ≡ 1 (mod 4) repeat their first text from the third turn on, so that
+    the pool has texts to reject and texts that come back.
     """
     from textloom.plans.fixtures import tag_rule
-    from textloom.functions import text as T
-    c = conversations
+    first_text = conversations.groupBy("conv_id").agg(F.min_by("text", "turn").alias("first_text"))
+    c = conversations.join(first_text, "conv_id").withColumn("text", F.when(
+        (F.col("conv_id") % 4 == 1) & (F.col("turn") >= 2), F.col("first_text")).otherwise(F.col("text"))) \
+        .drop("first_text")
     first = F.regexp_extract("text", r"[\p{L}\p{N}_]+|[^\s]", 0)
     spans = F.array(_span(F.lit(0), F.length(first), tag_rule(first, F.lit(1))),
                     _span(F.lit(0), F.length("text"), F.lit("X")))
