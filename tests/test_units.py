@@ -538,3 +538,16 @@ def test_more_sinks(spark):
     scan = spark.read.parquet(f"{d}/runs").filter("experiment = 'lm'")
     assert sorted(r["run_id"] for r in scan.collect()) == [1, 3]
     assert "PartitionFilters: [isnotnull(experiment" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_placeholders_fail_the_job(spark):
+    df = spark.createDataFrame([(["X", "Y"],)], "tags array<string>")
+    assert A.reject_placeholders(df).count() == 1
+    with pytest.raises(Exception, match="placeholder"):
+        A.reject_placeholders(df.union(spark.createDataFrame([(["X", "_"],)], "tags array<string>"))).collect()
+
+
+def test_softmax_of_large_logits(spark):
+    df = spark.createDataFrame([([1000.0, 1001.0, 1001.0], ["a", "b", "c"])], "x array<double>, l array<string>")
+    b = df.select(M.best_label(F.col("x"), F.col("l")).alias("b")).first()["b"]
+    assert b["label"] == "b" and abs(b["prob"] - 1 / (2 + math.exp(-1))) < 1e-12

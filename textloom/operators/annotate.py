@@ -283,9 +283,9 @@ def spans_from_json(df: DataFrame, sent_keys, json_col: str) -> DataFrame:
 
 
 def map_labels(df: DataFrame, ids: DataFrame, tag_col: str) -> DataFrame:
-    """JOIN-04: label → id through a broadcast of the label table (a tag set is
-    tiny by construction); an unseen label fails the job."""
-    j = df.join(F.broadcast(ids.withColumnRenamed("label", tag_col)), tag_col, "left")
+    """JOIN-04: label → id by a join with the label table (Spark broadcasts it when it is
+    small enough); an unseen label fails the job."""
+    j = df.join(ids.withColumnRenamed("label", tag_col), tag_col, "left")
     j = j.withColumn("id", F.when(F.col("id").isNull(),
                                   F.raise_error(F.concat(F.lit("unknown label: "), F.col(tag_col))))
                      .otherwise(F.col("id")))

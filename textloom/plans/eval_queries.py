@@ -231,6 +231,20 @@ def rank_metrics(spark, sf_dir):
     return M.rank_report(cand.select(M.rank_of_gold(F.col("logits"), F.col("gold")).alias("rank")))
 
 
+@query("label_softmax", """
+WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label, i, avg(v) AS m FROM e GROUP BY label, i),
+lg AS (SELECT e.vec_id, c.label, sum(e.v * c.m) AS logit FROM e JOIN c USING (i) GROUP BY e.vec_id, c.label)
+SELECT vec_id, arg_max(label, logit) AS pred, 1 / sum(exp(logit - m)) AS prob
+FROM lg JOIN (SELECT vec_id, max(logit) AS m FROM lg GROUP BY vec_id) USING (vec_id) GROUP BY vec_id""")
+def label_softmax(spark, sf_dir):
+    """MTH-01: per embedding, the best label and its softmax probability."""
+    cand = FX.candidates(Tables(spark, sf_dir).embeddings)
+    logits, labels = (F.col("logits")[f] for f in ("logit", "label"))  # a field of every element
+    return cand.select("vec_id", M.best_label(logits, labels).alias("b")).select(
+        "vec_id", F.col("b.label").alias("pred"), F.col("b.prob").alias("prob"))
+
+
 @query("metric_log", with_ctes("""
 SELECT l.run_id, l.experiment, key, (row_number() OVER (
          PARTITION BY l.experiment, model, key ORDER BY start_time, l.run_id) - 1)::INTEGER AS step, value FROM (
