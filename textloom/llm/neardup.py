@@ -5,12 +5,16 @@ class, and only the smallest id of a class goes on.  ``BANDS`` x ``ROWS`` minima
 signature; documents that agree in all rows of a band share a bucket.  With these numbers a pair at similarity 0.85
 shares no bucket once in 40 million (``MORE_BANDS`` does the same for 0.8, once in 8 million).
 
-Links inside a bucket are found without listing its pairs: in each round every bucket whose members are not yet in
-one component compares a few of its members (those that share most buckets, so the centre of a group of copies comes
-first) with the members of other components.  Compared pairs pass the signature check (which drops a true link once
-in 10^11), then the full sets are compared.  After each round the components are joined by alternating large-star and
-small-star steps.  Rounds take 1, then 8, 64, 512, ... more members per bucket until every open bucket is exhausted, so
-no pair that could join two components is left out, and copies of one original cost a few comparisons each.
+Links inside a bucket are found in two steps that list no pairs:
+
+* star: every bucket compares one member (the one that shares most buckets, so the centre of a group of copies) with
+  the others.  These pairs pass the signature check (which drops a true link once in 10^11), then the full sets
+  are compared.  Components follow, by alternating large-star and small-star steps.
+* blocks: buckets whose other members are not yet in one component (buckets of the same members count once) are cut
+  into blocks of bounded size.  A task gets two blocks, multiplies their sets as matrices, and returns one row per
+  document that it can join with another component, so what leaves a task grows with its documents, not its pairs.
+
+Together every pair of a bucket that could join two components has its sets compared.
 
 Defined results.  A null text, or one without words, has an empty set and links with nothing; fewer words than a
 shingle make one shingle.  Rows of one id are one document: links of any of its texts count.  Null ids link with
@@ -27,12 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import in_batches, split_words, stored
+from textloom.llm.common import Scratch, in_batches, split_words, stored
 
 BANDS, ROWS = 30, 5  # for 0.85
 MORE_BANDS = 40  # for 0.8
 _SEED = 20240229
 SIGNATURE_SLACK = 0.2  # a signature may agree this much less than the similarity asked for
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20  # of one block, about
+_COLUMNS = 4096
 
 
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -81,9 +87,10 @@ def _mark_task(id_col: str, text_col: str, width: int, bands: int, rows: int) ->
                 made = signatures([sets[i] for i in full], bands * rows)
                 for i, sig in zip(full, made, strict=True):
                     prints[i] = xxhash.xxh3_128_digest(sets[i].tobytes())
-                    sigs[i] = sig.tobytes()
-                    keys[i] = [xxhash.xxh3_64_intdigest(sigs[i][4 * rows * k:4 * rows * (k + 1)], seed=k) - 2**63
+                    raw = sig.tobytes()
+                    keys[i] = [xxhash.xxh3_64_intdigest(raw[4 * rows * k:4 * rows * (k + 1)], seed=k) - 2**63
                                for k in range(bands)]
+                    sigs[i] = (sig >> np.uint32(24)).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()),
                  pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -96,7 +103,7 @@ def _agree_task(least: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.stack([np.frombuffer(x, "<u4") for x in batch.column(c).to_pylist()])
+            left, right = (np.stack([np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()])
                            for c in ("sig_a", "sig_b"))
             keep = pa.array((left == right).sum(axis=1) >= least)
             yield batch.select(["a", "b"]).filter(keep)
@@ -118,11 +125,51 @@ def _confirm_task(width: int, percent: int) -> Callable:
     return run
 
 
+def _joined(sets: list[np.ndarray], percent: int, apart: np.ndarray) -> np.ndarray:
+    """The smallest index that each set is connected with by links between sets that are ``apart``."""
+    n = np.array([len(x) for x in sets], dtype=np.float64)
+    row = np.repeat(np.arange(len(sets)), n.astype(int))
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1  # the others are in no intersection
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for at in range(0, int((times > 1).sum()), _COLUMNS):
+        a, b = np.searchsorted(column, (at, at + _COLUMNS))
+        part = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        part[row[a:b], column[a:b] - at] = 1
+        both += part @ part.T  # sums of at most _COLUMNS ones: exact
+    link = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (both > 0) & apart
+    np.fill_diagonal(link, True)
+    least = np.arange(len(sets))
+    while True:
+        new = np.where(link, least[None, :], len(sets)).min(axis=1)
+        new = new[new]
+        if (new == least).all():
+            return least
+        least = new
+
+
+def _block_task(width: int, percent: int) -> Callable:
+    def run(block: pa.Table) -> pa.Table:
+        # Repeated rows once; an id with two texts comes twice.
+        rows = {(i, t): k for k, (i, t) in enumerate(zip(block.column("rep").to_pylist(),
+                                                         block.column("text").to_pylist(), strict=True)) if t}
+        block = block.select(["rep", "label"]).take(pa.array(list(rows.values()), pa.int64()))
+        ids, labels = (block.column(c).to_numpy() for c in ("rep", "label"))
+        sets = [shingle_hashes(split_words(t), width) for _, t in rows]
+        least = _joined(sets, percent, labels[:, None] != labels[None, :])
+        moved = least != np.arange(len(ids))
+        return pa.table({"a": pa.array(ids[moved], pa.int64()), "b": pa.array(ids[least[moved]], pa.int64())})
+    return run
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, stored: Callable[[DataFrame], DataFrame] = stored) -> DataFrame:
     """``node, label`` of every node of ``links`` (a, b): the smallest node it is connected with."""
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = _state(edges)
@@ -145,65 +192,81 @@ def components(links: DataFrame) -> DataFrame:
     return stored(labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct()))
 
 
+def _roughly_among(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` without most rows that are not among ``ids``, so that a join moves fewer texts.
+
+    A bitmap of 2^26 hash slots marks the ids.  It is broadcast: its size, 8 MB, is fixed.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(1 << 26))
+    bits = ids.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")) \
+        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return texts.join(F.broadcast(bits), F.bitmap_bucket_number(slot) == F.col("bucket")) \
+        .filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*texts.columns)
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 85,
                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: id_col, n_shingles, component_id, kept."""
+    scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     marks = stored(texts.mapInArrow(_mark_task("id", "text", width, bands, rows),
                                     "id long, n long, print binary, sig binary, keys array<long>"))
-    classes = stored(marks.filter("print IS NOT NULL").groupBy("print").agg(
-        F.min("id").alias("rep"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys")))
+    classes = scratch.stored(marks.filter("print IS NOT NULL").groupBy("print").agg(
+        F.min("id").alias("rep"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"),
+        F.any_value("n").alias("n")))
     nodes = classes.filter("rep IS NOT NULL")
-    members = nodes.select("rep", F.posexplode("keys").alias("band", "key"))
-    shared = members.groupBy("band", "key").agg(F.count("*").alias("c")).filter("c > 1")
-    members = stored(members.join(shared, ["band", "key"]))
+    # The key of a bucket is a hash of its band's number and minima.
+    members = nodes.select("rep", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    members = scratch.stored(members.join(shared, "key"))
     weight = members.groupBy("rep").agg(F.sum("c").alias("weight"))
-    members = stored(members.join(weight, "rep"))
+    members = scratch.stored(members.join(weight.join(nodes.select("rep", "n"), "rep"), "rep"))
+    among = members.select(F.col("rep").alias("id")).distinct()
+    texts = scratch.stored(_roughly_among(texts, among).join(among, "id", "left_semi"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         sig = nodes.select("rep", "sig")
         least = int(bands * rows * (percent / 100 - SIGNATURE_SLACK))
-        close = stored(pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
+        close = scratch.stored(pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
                        .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
                        .select("a", "b", "sig_a", "sig_b").mapInArrow(_agree_task(least), "a long, b long").distinct())
-        ends = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-        asked = texts.join(ends, "id", "left_semi")
-        return stored(close.join(asked.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-                      .join(asked.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        return scratch.stored(close.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+                      .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
                       .select("a", "b", "text_a", "text_b")
                       .mapInArrow(_confirm_task(width, percent), "a long, b long").distinct())
 
-    links = labels = None
-    first, more = 1, 1
-    in_bucket = Window.partitionBy("band", "key").orderBy(F.desc("weight"), "rep")
-    while True:
-        if labels is None:
-            current = members.withColumn("label", F.col("rep"))
-        else:
-            current = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
-                .withColumn("label", F.coalesce("label", "rep"))
-            split = current.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-                .filter("lo < hi").select("band", "key")
-            current = current.join(split, ["band", "key"], "left_semi")
-        current = stored(current.filter(F.col("c") >= first))
-        if not current.take(1):
-            break
-        asking = current.withColumn("rank", F.row_number().over(in_bucket)) \
-            .filter((F.col("rank") >= first) & (F.col("rank") < first + more)) \
-            .select("band", "key", F.col("rep").alias("a"), F.col("label").alias("a_label"))
-        pairs = current.join(asking, ["band", "key"]).filter("label <> a_label") \
-            .select("a", F.col("rep").alias("b")).distinct()
-        found = linked(pairs)
-        links = found if links is None else stored(links.unionByName(found))
-        labels = components(links)
-        first, more = first + more, more * 8
-
-    names = classes.select("print", "rep")
-    if labels is None:
-        names = names.withColumn("label", F.col("rep"))
-    else:
-        names = names.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    in_bucket = Window.partitionBy("key").orderBy(F.desc("weight"), "rep")
+    centres = scratch.stored(members.withColumn("rank", F.row_number().over(in_bucket)).filter("rank = 1")
+                     .select("key", F.col("rep").alias("a")))
+    around = members.join(centres, "key").filter("a <> rep")
+    links = linked(around.select("a", F.col("rep").alias("b")).distinct())
+    labels = components(links, scratch.stored).withColumnRenamed("node", "rep")
+
+    rest = scratch.stored(around.filter("c > 2").join(labels, "rep", "left")
+                  .select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
+    # Buckets that hold two components, each set of members once.
+    seen = rest.groupBy("key").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"), F.sum("n").alias("shingles"),
+        *[F.sum(F.xxhash64("rep", F.lit(k)).cast("decimal(38,0)")).alias(f"members{k}") for k in (0, 1)]).filter("lo < hi")
+    open_ = seen.groupBy("size", "members0", "members1").agg(
+        F.min("key").alias("key"), F.any_value("shingles").alias("shingles")) \
+        .select("key", F.greatest(F.ceil(F.col("size") / BLOCK_DOCS),
+                                  F.ceil(F.col("shingles") / BLOCK_SHINGLES)).alias("blocks"))
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    todo = rest.join(open_, "key").select(
+        "key", "rep", "label", block.alias("own"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    todo = todo.select("key", "rep", "label", F.least("own", "other").alias("x"),
+                       F.greatest("own", "other").alias("y"))
+    more = todo.join(texts.withColumnRenamed("id", "rep"), "rep").groupBy("key", "x", "y") \
+        .applyInArrow(_block_task(width, percent), "a long, b long").distinct()
+    labels = components(links.unionByName(more), scratch.stored)
+
+    names = classes.select("print", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     names = stored(names.select("print", F.coalesce("label", "rep").alias("label")))
+    scratch.clear()
     return marks.select("id", "n", "print").join(names, "print", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("label", "id")).alias("component_id")) \
