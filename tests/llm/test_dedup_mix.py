@@ -53,8 +53,9 @@ def family(start, copies, words, swaps, seed):
     return out
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
-def test_components_are_those_of_all_pairs(spark, width, percent):
+@pytest.mark.parametrize(("width", "percent", "block"), [(3, 85, 1024), (5, 80, 1024), (3, 85, 3)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, width, percent, block):
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", block)
     rows = odd.rows() + family(1000, 25, 200, 4, 1) + family(2000, 25, 120, 3, 2) + family(3000, 12, 60, 1, 3)
     random.Random(4).shuffle(rows)
     got = neardup.near_groups(odd.docs(spark, rows), width=width, percent=percent,
@@ -148,12 +149,10 @@ def test_take_repeats_rows(spark):
     rows = mixing.take(docs)
     assert rows.columns == docs.columns
     got = Counter(r[0] for r in rows.select("doc_id").collect())
-    several = {i for i, n in Counter(r[0] for r in odd.rows()).items() if n > 1}
     want = Counter()
     for r in mixing.mix(docs).collect():
         want[r["doc_id"]] += r["copies"]
-    assert {i: n for i, n in want.items() if n and i not in several} == {i: n for i, n in got.items()
-                                                                        if i not in several}
+    assert {i: n for i, n in want.items() if n} == dict(got)
 
 
 def test_pipeline_stages_take_effect(spark):

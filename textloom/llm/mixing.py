@@ -10,9 +10,9 @@ rounds towards whatever brings the source's words so far closest to its target,
 larger ones left over.  Within a group of one size, copies go to documents in the order of a hash of the id.
 
 Defined results.  A null text has size 0; documents of size 0 get one copy (they take no words).  A null source is
-a source, ordered last.  Repeated rows are documents of their own, except that rows of one id in a group share a hash
-and are ordered arbitrarily among themselves.  With no words at all every target is 0.  An empty table gives no
-rows.  Other columns are ignored.  Reruns agree: everything depends on ids, sources and sizes only.
+a source, ordered last.  Repeated rows are documents of their own, but rows of one id and size get the same number of
+copies (they share a hash).  With no words at all every target is 0.  An empty table gives no rows.
+Other columns are ignored.  Reruns agree: everything depends on ids, sources and sizes only.
 
 Bounds: source rows are assumed to be few (a window over one row per source); a source's distinct sizes, at most the
 length of its longest document, go to one task for the rounding.  Groups of documents are never collected.
@@ -28,6 +28,7 @@ from textloom.llm.common import n_words, stored
 
 WEIGHTS = (3, 1, 2)
 GROUP = 4096  # documents of one (source, size) that are ranked together
+BROADCAST_ROWS = 1_000_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
@@ -110,11 +111,13 @@ def _round(group: pd.DataFrame, most: float) -> pd.DataFrame:
     return group.assign(copies=copies)[["source", "size", "n", "rate", "copies"]]
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """One row per row of ``docs``: id_col, source, size, source_size, target, rate, copies, taken."""
-    rows = stored(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
-                              n_words(F.col(f"`{text_col}`")).alias("size")))
+def decisions(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
+              most: float = 2.0) -> DataFrame:
+    """What becomes of documents (``h, source, size``) of each source and size: one row per distinct pair.
+
+    ``source, size, source_size, target, rate, base, cut``: every document gets ``base`` copies, and one more if its
+    hash is at most ``cut``.
+    """
     groups = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     targets = stored(source_targets(groups, weights, share, most))
     sized = groups.filter("size > 0")
@@ -125,42 +128,55 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     whole = rated.groupBy("source").applyInPandas(
         lambda g: _round(g, most), "source string, size long, n long, rate double, copies long")
     empty = groups.filter("size = 0").select("source", "size", "n", F.lit(1.0).alias("rate"), F.col("n").alias("copies"))
-    plan = stored(whole.unionByName(empty))
-    # Hash parts of about GROUP documents each take their share of the extra copies from running counts, so that
-    # ranks are only needed within a part.
+    plan = stored(whole.unionByName(empty).withColumn("base", F.floor(F.col("copies") / F.col("n")))
+                  .withColumn("extra", F.col("copies") - F.col("base") * F.col("n")))
+    # The cut is the extra-th smallest hash.  Hash ranges of about GROUP documents are counted first, so that ranks
+    # are only needed within one of them.
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.size") == F.col(f"{b}.size"))
-    parts = rows.alias("r").join(plan.alias("p"), same("r", "p")).select(
-        "r.id", "r.source", "r.size", "p.rate", "p.n", "p.copies", F.xxhash64("r.id").alias("h")) \
-        .withColumn("part", F.pmod(F.col("h"), F.floor(F.col("n") / GROUP) + 1)) \
-        .withColumn("base", F.floor(F.col("copies") / F.col("n"))) \
-        .withColumn("extra", F.col("copies") - F.col("base") * F.col("n"))
-    parts = stored(parts)
-    in_group = Window.partitionBy("source", "size").orderBy("part")
-    counts = parts.groupBy("source", "size", "part").agg(F.count("*").alias("m")) \
-        .withColumn("before", F.sum("m").over(in_group) - F.col("m"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("h", "id"))
-    ranked = parts.withColumn("rank", rank).alias("a").join(
-        counts.alias("b"), same("a", "b") & (F.col("a.part") == F.col("b.part"))) \
-        .select("a.*", (F.col("base") + F.when(F.col("before") + F.col("rank") <= F.col("extra"), 1).otherwise(0))
-                .cast("long").alias("k"))
-    return ranked.alias("a").join(targets.alias("t"),
-                                  F.col("a.source").eqNullSafe(F.col("t.source"))) \
-        .select(F.col("a.id").alias(id_col), F.col("a.source").alias(source_col), "size", "source_size",
-                F.col("target").cast("double").alias("target"), "rate", F.col("k").alias("copies"),
-                (F.col("k") * F.col("size")).alias("taken"))
+    wide = F.lit(2.0**64) / (F.floor(F.col("n") / GROUP) + 1)
+    parts = rows.alias("r").join(plan.filter("extra > 0").alias("p"), same("r", "p")).select(
+        "r.h", "r.source", "r.size", "p.extra",
+        F.floor((F.col("r.h").cast("double") + F.lit(2.0**63)) / wide).alias("part"))
+    counts = parts.groupBy("source", "size", "part").agg(F.count("*").alias("m")).withColumn(
+        "before", F.sum("m").over(Window.partitionBy("source", "size").orderBy("part")) - F.col("m"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("h"))
+    cuts = parts.alias("a").join(counts.alias("b"), same("a", "b") & (F.col("a.part") == F.col("b.part"))) \
+        .filter((F.col("before") < F.col("extra")) & (F.col("extra") <= F.col("before") + F.col("m"))) \
+        .select("a.*", "before").withColumn("rank", rank).filter(F.col("before") + F.col("rank") == F.col("extra")) \
+        .select("source", "size", F.col("h").alias("cut"))
+    return stored(plan.alias("p").join(cuts.alias("c"), same("p", "c"), "left")
+                  .join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
+                  .select("p.source", "p.size", "t.source_size", F.col("t.target").cast("double").alias("target"),
+                          "p.rate", "p.base", "c.cut"))
+
+
+def _with_copies(rows: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    """``rows`` (with ``h, source, size``) and their decision, ``copies`` included."""
+    table = decisions(stored(rows.select("h", "source", "size")), weights, share, most)
+    # A row per source and size: it stops growing when the sizes are all there.  Checked, then broadcast, so that no
+    # text moves; a larger one is joined as usual.
+    if table.count() <= BROADCAST_ROWS:
+        table = F.broadcast(table)
+    copies = F.col("d.base") + F.when(F.col("r.h") <= F.col("d.cut"), 1).otherwise(0)
+    return rows.alias("r").join(table.alias("d"), F.col("r.source").eqNullSafe(F.col("d.source"))
+                                & (F.col("r.size") == F.col("d.size"))) \
+        .select("r.*", "d.source_size", "d.target", "d.rate", copies.cast("long").alias("copies"))
 
 
-def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         **options) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """One row per row of ``docs``: id_col, source, size, source_size, target, rate, copies, taken."""
+    rows = stored(docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{id_col}`").alias("h"),
+                              F.col(f"`{source_col}`").alias("source"), n_words(F.col(f"`{text_col}`")).alias("size")))
+    return _with_copies(rows, weights, share, most).select(
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "rate", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
 
-    Rows of one id get the mean of their copies, rounded up or down by a hash of their text.
-    """
-    copies = stored(mix(docs, id_col, text_col, source_col, **options).groupBy(F.col(id_col).alias("id"))
-                    .agg(F.sum("copies").alias("k"), F.count("*").alias("rows")))
-    even = F.floor(F.col("taken.k") / F.col("taken.rows"))
-    more = F.pmod(F.xxhash64(f"docs.`{text_col}`"), F.col("taken.rows")) < F.col("taken.k") % F.col("taken.rows")
-    return docs.alias("docs").join(copies.alias("taken"), F.col(f"docs.`{id_col}`").eqNullSafe(F.col("taken.id"))) \
-        .select(F.struct("docs.*").alias("row"),
-                F.explode(F.array_repeat(F.lit(1), (even + F.when(more, 1).otherwise(0)).cast("int")))) \
-        .select("row.*")
+
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it."""
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(f"`{id_col}`").alias("h"),
+                       F.col(f"`{source_col}`").alias("source"), n_words(F.col(f"`{text_col}`")).alias("size"))
+    return _with_copies(rows, weights, share, most).select(
+        "row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
