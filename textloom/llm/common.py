@@ -151,9 +151,13 @@ class ChunkEncoder:
         chunks = cut.values.dictionary_encode()
         ids, lengths = self._look_up(chunks.dictionary.to_pylist())
         number = chunks.indices.to_numpy()
-        ends = np.concatenate(([0], np.cumsum(lengths[number])))
-        starts = (np.cumsum(lengths) - lengths)[number] - ends[:-1]
-        flat = ids[np.repeat(starts, lengths[number]) + np.arange(ends[-1])].tobytes()
+        each = lengths[number]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        place = np.int32 if ends[-1] < 2**31 and len(ids) < 2**31 else np.int64
+        starts = ((np.cumsum(lengths) - lengths)[number] - ends[:-1]).astype(place)
+        at = np.repeat(starts, each)
+        at += np.arange(len(at), dtype=place)
+        flat = ids[at].tobytes()
         bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
         return [flat[a:b] if m is not None else self._pack([t])[0]
                 for t, m, a, b in zip(texts, marked, bounds[:-1], bounds[1:], strict=True)]
@@ -162,10 +166,8 @@ class ChunkEncoder:
         """Ids of the chunks, one after the other, and how many each has."""
         if len(self.known) > self.most:
             self.known = dict(islice(self.known.items(), self.most // 2, None))  # the older half goes
-        found = list(map(self.known.get, chunks))
-        if None in found:
-            self._learn([c for c, f in zip(chunks, found, strict=True) if f is None])
-            found = list(map(self.known.__getitem__, chunks))
+        self._learn([c for c in chunks if c not in self.known])
+        found = list(map(self.known.__getitem__, chunks))
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         return np.frombuffer(b"".join(found), dtype="<u4"), lengths
 
