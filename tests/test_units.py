@@ -485,6 +485,50 @@ def test_failed_training_keeps_its_batch(spark):
     assert A.read_conllu(spark, f"{d}/job/corpus/project=1/batch=0").count() == 4
 
 
+def test_retrain_status_trains_every_batch_of_the_replay(spark):
+    import __spark_entry__ as E
+    from collections import Counter
+    from textloom.streaming import annotation_loop as AL
+    from textloom.streaming import feed as FD
+    from .conftest import SMALL
+    ann, _ = AL.normalise(FD.annotation_events(spark.read.parquet(f"{SMALL}/conversations.parquet")))
+    rows = [r.asDict() for r in ann.select("event_seq", "sub", "project", "event", "text").collect()]
+    n = Counter(r[:2] for r in replay_pool(rows, AL.POOL_THRESHOLD, AL.FORCE_MIN))
+    want = sorted((p, b, b + 1, "done", k) for (p, b), k in n.items())  # nothing fails: versions count batches
+    got = sorted(map(tuple, E.queries()["retrain_status"](spark, SMALL).collect()))
+    assert got == want and len(got) > 0
+
+
+def test_batches_trained_together_fail_alone(spark):
+    from textloom.streaming import retrain as RT
+    d = tempfile.mkdtemp(prefix="textloom-test-")
+    label = '[{"start": 0, "end": 2, "labels": ["NOUN"]}]'
+    rows = [(1, b, b * 10, 0, t, label, False) for b, t in enumerate(["aa x", "bad x", "cc x", "dd x"])] \
+        + [(2, 0, 5, 0, "ee x", label, True)]
+    spark.createDataFrame(rows, RT.EMITTED).write.parquet(f"{d}/emitted")
+    broken = {"yes": True}
+
+    def train_all(tokens, path):
+        if broken["yes"] and tokens.filter("form = 'bad'").count():
+            raise ValueError("no luck")
+        RT.label_models(tokens, path)
+
+    def table(name, schema):
+        return sorted(tuple(r) for r in RT.read_table(spark, d, name, schema).collect())
+
+    RT.retrain_all(spark, d, train_all)
+    assert [r[:4] for r in table("status", RT.STATUS)] == [
+        (1, 0, 1, "done"), (1, 1, 2, "failed"), (1, 2, 2, "done"), (1, 3, 3, "done"), (2, 0, 1, "done")]
+    broken["yes"] = False
+    RT.retrain_all(spark, d, train_all)
+    assert (1, 1, 4, "done", None) in table("status", RT.STATUS) and RT.pending(spark, d).count() == 0
+    assert table("versions", RT.VERSIONS) == [(1, 1, "deleted"), (1, 1, "new"), (1, 2, "deleted"), (1, 2, "new"),
+                                              (1, 3, "new"), (1, 4, "new"), (2, 1, "new")]
+    model = spark.read.parquet(f"{d}/models").filter("project = 1 AND version = 4")
+    assert {(r["form"], r["label"], r["n"]) for r in model.collect()} == {("bad", "NOUN", 1), ("x", "X", 1)}
+    assert [r["form"] for r in A.read_conllu(spark, f"{d}/corpus/project=2/batch=0").collect()] == ["ee", "x"]
+
+
 def test_file_readers(spark):
     import json
 

@@ -34,11 +34,10 @@ def stream_pool(spark, sf_dir):
 
 @query("retrain_status")
 def retrain_status(spark, sf_dir):
-    """STM-06 + STM-04 + WIN-08: the streamed batches retrained one by one; status and tokens learnt per batch."""
+    """STM-06 + STM-04 + WIN-08: the streamed batches retrained, those of a trigger together; status and rows per batch."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/retrain-{uuid.uuid4().hex}"
     ann, _dead = AL.normalise(FD.read_feed(spark, FD.write_feed(_events(spark, sf_dir), 4)))
-    # Larger pools than the annotation tool's: a model per few hundred sentences.
-    RT.retrain_stream(AL.pool_stream(ann, 400, 200), base).awaitTermination()
+    RT.retrain_stream(AL.pool_stream(ann), base).awaitTermination()
     status = RT.read_table(spark, base, "status", RT.STATUS)
     rows = RT.read_table(spark, base, "emitted", RT.EMITTED).groupBy(*RT.KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
     return status.join(rows, RT.KEYS).select(*RT.KEYS, "version", "status", "n_rows")

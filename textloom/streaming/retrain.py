@@ -11,12 +11,16 @@ Everything lives in one folder on the shared file system, as append-only tables:
 A batch is finished when its status is 'done'.  Until then its rows stay pending and every later trigger (also one
 after a restart) tries them again, so a failed training loses nothing.  A micro-batch that Spark delivers twice adds
 no work, since finished batches are skipped and repeated rows are dropped.
+
+All pending batches of a trigger are trained together, in a fixed number of Spark jobs.  If that fails, each is tried
+alone, so that one bad batch holds up no other.  A trainer that takes one batch at a time (``train``) gets a loop.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +29,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators import annotate as A
 from textloom.operators import runs as R
+from textloom.session import cut_lineage
 
 EMITTED = "project long, batch_id long, event_seq long, sub int, text string, label_json string, forced boolean"
 STATUS = "project long, batch_id long, version long, status string, error string"
 VERSIONS = "project long, version long, status string"
+PLAN = "project long, batch_id long, version long, status string"
+FAILURES = (PySparkException, Py4JError, ValueError)
 KEYS = ["project", "batch_id"]
 SENT = ["project", "batch_id", "event_seq", "sub"]
 
@@ -57,23 +64,102 @@ def labelled_tokens(rows: DataFrame) -> DataFrame:
     return A.best_labels(toks, spans, SENT, SENT + ["tok_idx"])
 
 
+def _said(e: Exception) -> str:
+    return f"{type(e).__name__}: {str(e)[:500]}"
+
+
+def _blocks(tokens: DataFrame, rows: DataFrame) -> DataFrame:
+    sid = F.concat_ws("-", "event_seq", "sub")
+    return A.to_conllu_blocks(tokens.join(rows.select(*SENT, "text"), SENT), SENT, sid, F.col("text"),
+                              upos_col="label")
+
+
 def write_corpus(tokens: DataFrame, rows: DataFrame, path: str) -> None:
     """SNK-02 of one batch."""
-    sid = F.concat_ws("-", "event_seq", "sub")
-    blocks = A.to_conllu_blocks(tokens.join(rows.select(*SENT, "text"), SENT), SENT, sid, F.col("text"), upos_col="label")
-    A.write_conllu(blocks, path)
+    A.write_conllu(_blocks(tokens, rows), path)
+
+
+def write_corpora(tokens: DataFrame, rows: DataFrame, path: str) -> None:
+    """SNK-02 of many batches: the files that ``write_corpus`` makes of each; those of earlier attempts are replaced."""
+    _blocks(tokens, rows).select(F.concat("block", F.lit("\n")).alias("value"), "project",
+                                 F.col("batch_id").alias("batch")) \
+        .repartition("project", "batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .option("lineSep", "\n").partitionBy("project", "batch").text(path)
+
+
+def alive_versions(spark: SparkSession, base: str) -> DataFrame:
+    log = read_table(spark, base, "versions", VERSIONS)
+    return log.groupBy("project", "version").agg(F.max((F.col("status") == "deleted").cast("int")).alias("gone")) \
+        .filter("gone = 0").select("project", "version")
+
+
+def plan_versions(todo: DataFrame, alive: DataFrame, keep_after: int) -> DataFrame:
+    """WIN-08 for many batches: what ``runs.retention`` gives when a project's batches come one after the other.
+
+    Output: project, batch_id, version, status ('new', or 'deleted' with a null batch_id).  A group holds the numbers of
+    a project's versions and pending batches.
+    """
+    def plan(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        have = sorted(pdf["version"].dropna().astype(int))
+        out = []
+        for batch_id in sorted(pdf["batch_id"].dropna().astype(int)):
+            new = (have[-1] if have else 0) + 1
+            if len(have) >= keep_after:
+                out += [(key[0], None, v, "deleted") for v in have[:-1]]
+                have = have[-1:]
+            have.append(new)
+            out.append((key[0], batch_id, new, "new"))
+        return pd.DataFrame(out, columns=["project", "batch_id", "version", "status"]).astype({"batch_id": "Int64"})
+
+    none = F.lit(None).cast("long")
+    both = todo.select(*KEYS, none.alias("version")) \
+        .unionByName(alive.select("project", none.alias("batch_id"), "version"))
+    return both.groupBy("project").applyInPandas(plan, PLAN)
+
+
+def retrain_all(spark: SparkSession, base: str, train_all: Callable[[DataFrame, str], None], keep_after: int = 2) -> None:
+    """Try all pending batches together, and each alone if that fails."""
+    rows = cut_lineage(pending(spark, base))
+    todo = rows.select(*KEYS).distinct()
+    if todo.isEmpty():
+        return
+    error = _attempt(spark, base, rows, train_all, keep_after)
+    if error is None:
+        return
+    for key in todo.orderBy(*KEYS).collect():
+        one = rows.filter((F.col("project") == key["project"]) & (F.col("batch_id") == key["batch_id"]))
+        error = _attempt(spark, base, one, train_all, keep_after)
+        if error is not None:
+            plan = plan_versions(one.select(*KEYS).distinct(), alive_versions(spark, base), keep_after)
+            plan.filter("status = 'new'").select(*KEYS, "version", F.lit("failed").alias("status"),
+                                                 F.lit(error).alias("error")) \
+                .write.mode("append").parquet(f"{base}/status")
+
+
+def _attempt(spark: SparkSession, base: str, rows: DataFrame, train_all: Callable[[DataFrame, str], None],
+             keep_after: int) -> str | None:
+    """Corpus, models, versions and status of the batches of ``rows``; what went wrong, if anything."""
+    plan = cut_lineage(plan_versions(rows.select(*KEYS).distinct(), alive_versions(spark, base), keep_after))
+    new = plan.filter("status = 'new'").select(*KEYS, "version")
+    try:
+        tokens = cut_lineage(labelled_tokens(rows))
+        write_corpora(tokens, rows, f"{base}/corpus")
+        train_all(tokens.join(new, KEYS), f"{base}/models")
+    except FAILURES as e:
+        return _said(e)
+    plan.select("project", "version", "status").write.mode("append").parquet(f"{base}/versions")
+    new.select(*KEYS, "version", F.lit("done").alias("status"), F.lit(None).cast("string").alias("error")) \
+        .write.mode("append").parquet(f"{base}/status")
+    return None
 
 
 def retrain_once(spark: SparkSession, base: str, train: Callable[[DataFrame, str], None], keep_after: int = 2) -> None:
-    """Try every pending batch, oldest first (a trigger's batches are few: a batch holds a pool's rows)."""
+    """Try every pending batch by itself, oldest first; a dozen Spark jobs for each."""
     todo = pending(spark, base).select(*KEYS).distinct().orderBy(*KEYS).collect()
     for key in todo:
         project, batch_id = key["project"], key["batch_id"]
         rows = pending(spark, base).filter((F.col("project") == project) & (F.col("batch_id") == batch_id))
-        log = read_table(spark, base, "versions", VERSIONS)
-        alive = log.groupBy("project", "version").agg(F.max((F.col("status") == "deleted").cast("int")).alias("gone")) \
-            .filter("gone = 0")
-        known = alive.filter(F.col("project") == project).select("project", F.col("version").cast("string").alias("name")) \
+        known = alive_versions(spark, base).filter(F.col("project") == project).select("project", F.col("version").cast("string").alias("name")) \
             .unionByName(spark.range(1).select(F.lit(project).cast("long").alias("project"),
                                                F.lit("none").alias("name")))
         plan = R.retention(known, "project", "name", keep_after).collect()
@@ -83,8 +169,8 @@ def retrain_once(spark: SparkSession, base: str, train: Callable[[DataFrame, str
             tokens = labelled_tokens(rows)
             write_corpus(tokens, rows, f"{base}/corpus/project={project}/batch={batch_id}")
             train(tokens, f"{base}/models/project={project}/v{version}")
-        except (PySparkException, Py4JError, ValueError) as e:
-            error = f"{type(e).__name__}: {str(e)[:500]}"
+        except FAILURES as e:
+            error = _said(e)
         if error is None:
             changes = [(project, r["version"], r["status"]) for r in plan if r["status"] != "kept"]
             spark.createDataFrame(changes, VERSIONS).write.mode("append").parquet(f"{base}/versions")
@@ -99,13 +185,27 @@ def label_model(tokens: DataFrame, path: str) -> None:
         .write.mode("overwrite").parquet(path)
 
 
-def retrain_stream(batches: DataFrame, base: str, train: Callable[[DataFrame, str], None] = label_model,
-                   keep_after: int = 2) -> StreamingQuery:
-    """Run the job over the stream of emitted batches; a restart with the same folder goes on where it was."""
+def label_models(tokens: DataFrame, path: str) -> None:
+    """``label_model`` of many batches, one folder per project and version."""
+    tokens.groupBy("project", "version", F.lower("form").alias("form"), "label").agg(F.count(F.lit(1)).alias("n")) \
+        .repartition("project", "version").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("project", "version").parquet(path)
+
+
+def retrain_stream(batches: DataFrame, base: str, train: Callable[[DataFrame, str], None] | None = None,
+                   keep_after: int = 2, train_all: Callable[[DataFrame, str], None] = label_models) -> StreamingQuery:
+    """Run the job over the stream of emitted batches; a restart with the same folder goes on where it was.
+
+    ``train(tokens, path)`` gets one batch and its folder; without it ``train_all(tokens, path)`` gets all batches of a
+    trigger, told apart by project and version, and the folder of all models.
+    """
 
     def sink(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("append").parquet(f"{base}/emitted")
-        retrain_once(batch.sparkSession, base, train, keep_after)
+        if train is None:
+            retrain_all(batch.sparkSession, base, train_all, keep_after)
+        else:
+            retrain_once(batch.sparkSession, base, train, keep_after)
 
     return batches.writeStream.outputMode("append").foreachBatch(sink) \
         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
