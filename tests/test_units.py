@@ -529,6 +529,35 @@ def test_batches_trained_together_fail_alone(spark):
     assert [r["form"] for r in A.read_conllu(spark, f"{d}/corpus/project=2/batch=0").collect()] == ["ee", "x"]
 
 
+def test_token_rows_know_their_neighbours(spark):
+    from textloom.operators import taggers as TG
+    df = spark.createDataFrame([(1, "train", ["a", "b", "c"], ["X", "Y", "Z"]), (2, "train", ["d"], ["W"]),
+                                (3, "train", [], [])], "k int, split string, tokens array<string>, tags array<string>")
+    got = sorted(tuple(r) for r in TG.token_rows(df, ["k"]).select("k", "tok_idx", "prev", "token", "next", "tag").collect())
+    assert got == [(1, 1, "<s>", "a", "b", "X"), (1, 2, "a", "b", "c", "Y"), (1, 3, "b", "c", "</s>", "Z"),
+                   (2, 1, "<s>", "d", "</s>", "W")]
+
+
+def test_tagger_features_cover_all_train_rows(spark):
+    from textloom.operators import taggers as TG
+    words = ["aa"] * 9 + ["bb"] * 6 + ["cc"] * 4 + ["dd"] * 2 + ["ee"]
+    rows = spark.createDataFrame([(i, w, w.upper(), "<s>", "zz") for i, w in enumerate(words)],
+                                 "i long, token string, tag string, prev string, next string")
+    model, _ = TG.fit_logreg(rows, max_features=6, most_rows=4)
+    assert model.stages[0].labels == ["AA", "BB", "CC", "DD", "EE"]
+    assert model.stages[1].vocabulary == ["n=zz", "w=aa", "w=bb", "w=cc", "w=dd", "w=ee"]
+    want = [math.log(23 / (df + 1)) for df in (22, 9, 6, 4, 2, 1)]
+    assert [abs(a - b) < 1e-12 for a, b in zip(model.stages[2].getScalingVec(), want, strict=True)] == [True] * 6
+    assert TG.predict((model, 1), rows).count() == 22
+    trials = TG.search_logreg(rows, rows, [{"c": 1.0, "max_features": k, "ngram": 1} for k in (2, 6)], most_rows=22)
+    scores = {r["max_features"]: r["accuracy"] for r in trials.collect()}
+    assert scores[6] > scores[2]
+    twice = rows.limit(1).select(F.lit("ab-ab").alias("token"), F.lit("x").alias("prev"), F.lit("x").alias("next"),
+                                 F.lit("T").alias("tag"))
+    assert TG.corpus_features(twice, 1, 9) == (["T"], 1, [("w=ab", 1)])
+    assert TG.corpus_features(twice, 2, 9) == (["T"], 1, [("w=ab", 1), ("pw_x_ab-ab", 1), ("wn_ab-ab_x", 1)])
+
+
 def test_file_readers(spark):
     import json
 
