@@ -116,6 +116,17 @@ def test_em_finds_reliable_labelers():
     assert ((pii.score(pattern, weights)[where] >= 0.5) == truth).mean() > 0.95
 
 
+def test_loose_emails_in_any_case_become_candidates(spark):
+    texts = [f"mail jane {at} example [dot] com please" for at in ("[At]", "[aT]", "(At)", "(aT)", "[at]", "[AT]")]
+    clash = ["x"] * len(odd.CLASHES)
+    rows = [(i, t, "en", "s", 0, *clash) for i, t in enumerate([*texts, "no address At all"])]
+    got = {r["id"]: r["found"] for r in pii.find_candidates(odd.docs(spark, rows)).collect()}
+    want = {i: [(k, *s) for k, spans in enumerate(pii.loose_spans(t, pii.base_spans(t))) for s in spans]
+            for i, t in enumerate(texts)}
+    assert all(want.values()) and got.pop(len(texts)) == []
+    assert {i: [(s["kind"], s["start"], s["end"]) for s in found] for i, found in got.items()} == want
+
+
 def test_loose_spans_follow_the_votes(spark):
     clash = ["x"] * len(odd.CLASHES)
     rows = [(3000 + k, f"call me phone: ({200 + k}) 555-{1000 + k} or mail a{k}@b.com or +1 415 555 {2000 + k}", "en", "s", 0,

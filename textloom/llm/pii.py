@@ -239,8 +239,8 @@ def _find_task(id_col: str, text_col: str) -> Callable:
                       ("pattern", pa.int64())])
 
     def candidates(text: str | None) -> list[dict]:
-        if not text or not ("@" in text or _DIGITS.search(text) or "at]" in text or "at)" in text
-                            or ":" in text or "AT" in text):
+        if not text or not ("@" in text or ":" in text or _DIGITS.search(text) or "at]" in (low := text.lower())
+                            or "at)" in low):
             return []
         base = base_spans(text)
         out = []
