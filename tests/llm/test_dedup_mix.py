@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -73,6 +74,19 @@ def test_stars_join_long_chains(spark):
     assert got == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 160)}, 200: 100, 300: 300, 301: 300}
 
 
+@pytest.mark.parametrize("words", [100, 500, 1500])
+def test_signatures_tell_long_texts_apart(words):
+    rng = random.Random(words)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(words)) for _ in range(8)]
+    texts.append(texts[0] + " tail")
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    rows = neardup.BANDS * neardup.ROWS
+    marks = pa.Table.from_batches(neardup._mark_task("id", "text", 3, neardup.BANDS, neardup.ROWS)(iter([batch])))
+    sigs = [np.frombuffer(x, np.uint8) for x in marks.column("sig").to_pylist()]
+    assert all(int((a == b).sum()) < 10 for a, b in combinations(sigs[:8], 2))
+    assert int((sigs[0] == sigs[8]).sum()) >= neardup.least_agreeing(rows, 85) >= int(rows * 0.65)
+
+
 def test_no_documents(spark):
     none = odd.docs(spark, [])
     assert neardup.near_groups(none).count() == 0

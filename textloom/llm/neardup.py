@@ -8,11 +8,12 @@ shares no bucket once in 40 million (``MORE_BANDS`` does the same for 0.8, once
 Links inside a bucket are found in two steps that list no pairs:
 
 * star: every bucket compares one member (the one that shares most buckets, so the centre of a group of copies) with
-  the others.  These pairs pass the signature check (which drops a true link once in 10^11), then the full sets
-  are compared.  Components follow, by alternating large-star and small-star steps.
+  the others.  These pairs pass the signature check (low bytes of the minima; it drops a true link once in 10^11),
+  then the full sets are compared.  Components follow, by alternating large-star and small-star steps.
 * blocks: buckets whose other members are not yet in one component (buckets of the same members count once) are cut
   into blocks of bounded size.  A task gets two blocks, multiplies their sets as matrices, and returns one row per
   document that it can join with another component, so what leaves a task grows with its documents, not its pairs.
+  Here sets are compared without the signature check.
 
 Together every pair of a bucket that could join two components has its sets compared.
 
@@ -90,7 +91,7 @@ def _mark_task(id_col: str, text_col: str, width: int, bands: int, rows: int) ->
                     raw = sig.tobytes()
                     keys[i] = [xxhash.xxh3_64_intdigest(raw[4 * rows * k:4 * rows * (k + 1)], seed=k) - 2**63
                                for k in range(bands)]
-                    sigs[i] = (sig >> np.uint32(24)).astype(np.uint8).tobytes()
+                    sigs[i] = sig.astype(np.uint8).tobytes()  # low bytes: the high ones of minima are nearly all 0
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()),
                  pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -110,6 +111,12 @@ def _agree_task(least: int) -> Callable:
     return run
 
 
+def least_agreeing(count: int, percent: int) -> int:
+    """Rows of ``count`` that must agree: the similarity asked for less the slack, and 1/256 of the others by chance."""
+    share = percent / 100 - SIGNATURE_SLACK
+    return int(count * (share + (1 - share) / 256))
+
+
 def _confirm_task(width: int, percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_set = None, None
@@ -228,7 +235,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def linked(pairs: DataFrame) -> DataFrame:
         sig = nodes.select("rep", "sig")
-        least = int(bands * rows * (percent / 100 - SIGNATURE_SLACK))
+        least = least_agreeing(bands * rows, percent)
         close = scratch.stored(pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
                        .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
                        .select("a", "b", "sig_a", "sig_b").mapInArrow(_agree_task(least), "a long, b long").distinct())
