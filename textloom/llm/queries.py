@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import blocks, chat, fertility, langid, mixing, neardup, packing, pii, repair, secretscan
+from textloom.llm import blocks, chat, fertility, langid, mixing, neardup, packing, pii, repair, runs, secretscan
 from textloom.llm.common import ASCII_LOWER, ASCII_UPPER
 from textloom.plans.registry import query
 from textloom.session import ensure_checkpoint_dir, table
@@ -134,3 +135,23 @@ def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), PIECE_TOKENIZER).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "band_group", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "entropy_off", "outside")
+
+
+def periodic_tail(key: int | None, words: list) -> list:
+    """Of one document in ten (by the CRC-32 of its id) the words from some place on become periodic."""
+    n = len(words)
+    if key is None or not n:
+        return words
+    h = zlib.crc32(str(key).encode())
+    g = h // 10
+    if h % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    tail = words[a:a + p]
+    return words[:a] + (tail * -(-(n - a) // p))[:n - a]
+
+
+@query("op13_period_runs")
+def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.word_runs(table(spark, sf_dir, "documents"), change=periodic_tail).drop("runs")
