@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import blocks, chat, fertility, langid, mixing, neardup, packing, pii, repair, runs, secretscan
-from textloom.llm.common import ASCII_LOWER, ASCII_UPPER
+from textloom.llm import blocks, boosting, chat, fertility, langid, merkle, mixing, neardup, packing, pii, repair, runs, secretscan
+from textloom.llm.common import ASCII_LOWER, ASCII_UPPER, stored
 from textloom.plans.registry import query
 from textloom.session import ensure_checkpoint_dir, table
 
@@ -155,3 +155,85 @@ def periodic_tail(key: int | None, words: list) -> list:
 @query("op13_period_runs")
 def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.word_runs(table(spark, sf_dir, "documents"), change=periodic_tail).drop("runs")
+
+
+@query("op12_quality")
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = stored(boosting.statistics(table(spark, sf_dir, "documents")))
+    held_out = langid.is_held_out()
+    forest = boosting.fit(stats, table(spark, sf_dir, "labels").filter(~held_out))
+    return boosting.score(stats, forest).withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit (0xEDB88320 is the reversed polynomial)."""
+    bit = "lambda x, k: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: unicode(ch)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {byte}), 4294967295)"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}, '-')"
+                                   for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWERED = f"translate(text, '{ASCII_UPPER}', '{ASCII_LOWER}')"
+# Trees as tables of nodes (tree, level, pos, h, n nodes of the level); a leaf's path climbs one level per round.
+OP11_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_sql_leaf("text")} AS leaf,
+         CASE WHEN {_sql_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {_sql_leaf(_LOWERED)} END AS other FROM documents),
+base AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS rid,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves),
+nodes AS (
+  SELECT s, 0 AS level, pos, leaf AS h, n FROM base
+  UNION ALL
+  SELECT s, level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 15) // 16)
+  FROM nodes WHERE n > 1 GROUP BY s, level, pos // 16),
+subroots AS (SELECT s, h AS subroot FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, s AS pos, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 15) // 16)
+  FROM tops WHERE n > 1 GROUP BY level, pos // 16),
+every AS (
+  SELECT s AS tree, level, pos, h, n FROM nodes WHERE n > 1
+  UNION ALL SELECT -1, level, pos, h, n FROM tops WHERE n > 1),
+heights AS (SELECT tree, max(level) + 1 AS height FROM every GROUP BY tree),
+climb AS (
+  SELECT rid, step, CASE WHEN step < height THEN s ELSE -1 END AS tree, CASE WHEN step < height THEN step
+           ELSE step - height END AS level,
+         CASE WHEN step < height THEN pos // CAST(pow(16, step) AS BIGINT)
+           ELSE s // CAST(pow(16, step - height) AS BIGINT) END AS pos
+  FROM (SELECT rid, b.s, pos, coalesce(t.height, 0) AS height,
+               unnest(range(0, coalesce(t.height, 0) + coalesce((SELECT height FROM heights WHERE tree = -1), 0))) AS step
+        FROM base b LEFT JOIN heights t ON t.tree = b.s)),
+steps AS (
+  SELECT rid, step, string_agg(e.h, '' ORDER BY e.pos) FILTER (e.pos < c.pos) AS lefts,
+         string_agg(e.h, '' ORDER BY e.pos) FILTER (e.pos > c.pos) AS rights
+  FROM climb c JOIN every e ON e.tree = c.tree AND e.level = c.level AND e.pos // 16 = c.pos // 16 GROUP BY rid, step),
+proofs AS (
+  SELECT rid, sha256(string_agg(coalesce(lefts, '') || coalesce(rights, ''), '' ORDER BY step)) AS proof
+  FROM steps GROUP BY rid),
+folds AS (
+  SELECT rid, 0 AS step, coalesce(other, leaf) AS value FROM base
+  UNION ALL
+  SELECT f.rid, f.step + 1, sha256(coalesce(lefts, '') || value || coalesce(rights, ''))
+  FROM folds f JOIN steps s ON s.rid = f.rid AND s.step = f.step),
+folded AS (SELECT rid, arg_max(value, step) AS folded_root FROM folds GROUP BY rid)
+SELECT doc_id, leaf, subroot, h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = h AS verified
+FROM base JOIN subroots USING (s) JOIN folded USING (rid) LEFT JOIN proofs USING (rid), (SELECT h FROM tops WHERE n = 1)
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = merkle.lower_where(F.col("text"), langid.is_held_out())
+    leaves = merkle.manifest_leaves(table(spark, sf_dir, "documents"), changed={"text": tampered})
+    return merkle.manifest(leaves).withColumnRenamed("id", "doc_id")
