@@ -15,7 +15,9 @@ from hypothesis import strategies as st
 
 from tests.llm import odd
 from textloom.llm import fertility, langid, pii, secretscan
-from textloom.llm.queries import PIECE_TOKENIZER
+from textloom.llm.queries import BYTE_TOKENIZER, PIECE_TOKENIZER, WORD_TOKENIZER
+
+OTHERS = (WORD_TOKENIZER, BYTE_TOKENIZER)
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -55,6 +57,11 @@ def test_checksums_decide():
     assert found == [("github", good), ("npm", signed("npm_", "x" * 30)), ("jwt", f"{head}.eyJhIjoxfQ.sig")]
 
 
+def test_hostile_header_is_no_token():
+    head = base64.urlsafe_b64encode(b'{"a":' + b"[" * 200_000).decode().rstrip("=")
+    assert secretscan.scan(f"x {head}.eyJhIjoxfQ.sig y", secretscan.automaton()) == []
+
+
 def test_secret_table(spark):
     rows = [*odd.rows(), (900, "é password=" + "a" * 30 + " " + "x" * 200_000 + " token: 'abcdef'", "en", "s", 0,
                           *["x"] * len(odd.CLASHES))]
@@ -159,7 +166,26 @@ def plain_counts(text):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab \n\t#|é\x1f\x85"), max_size=80))
 def test_base_counts(text):
-    assert fertility.measure(text, "en", fertility.word_pieces(PIECE_TOKENIZER))[:5] == plain_counts(text)
+    assert fertility.measure(text, "en", fertility.word_pieces(PIECE_TOKENIZER, OTHERS))[:5] == plain_counts(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab \n\té世,.'1"), max_size=40), min_size=1, max_size=4))
+def test_tokens_by_all_vocabularies(texts):
+    """Counts of each vocabulary against its library, word by word."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE_TOKENIZER)
+    others = [Tokenizer.from_file(p) for p in OTHERS]
+    got = fertility.measure_all(texts, ["en"] * len(texts), fertility.word_pieces(PIECE_TOKENIZER, OTHERS))
+    for text, g in zip(texts, got, strict=True):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        chars = sum(map(len, words))
+        ids = [i for w in words for i in model.encode(w)]
+        assert g[6] == len(ids) and np.isclose(g[8], sum(map(model.is_byte, ids)) / max(1, len(ids)))
+        for value, t in zip(g[10:], others, strict=True):
+            n = sum(len(t.encode(" " + w, add_special_tokens=False).ids) for w in words)
+            assert np.isclose(value, chars / max(1, n))
 
 
 def test_many_words_need_wider_keys():
@@ -184,6 +210,7 @@ def plain_judgement(m):
     for r in m.itertuples():
         c, lim = limits.get(r.band_group, limits[None])
         values = {"chars_per_token": r.chars_per_token, "byte_share": r.byte_share,
+                  "chars_per_token_word": r.chars_per_token_word, "chars_per_token_byte": r.chars_per_token_byte,
                   "entropy_off": r.token_entropy - np.polyval(c, np.log2(max(r.n_tokens, 1)) - 8)}
         at = np.sqrt(1 + fertility.SHORT / max(r.n_words, 1))
         fine = all(-below <= (values[k] - lim[k][0]) / (at * lim[k][1]) <= above
@@ -200,7 +227,7 @@ def test_bands_reject_odd_vocabulary(spark):
              for k in range(5)]
     rows += [(2000 + k, odd.sentence("en", 90, 5000 + k), None, "s", 0, *clash) for k in range(5)]
     rows += odd.rows()
-    m = fertility.quality(odd.docs(spark, rows), PIECE_TOKENIZER).toPandas()
+    m = fertility.quality(odd.docs(spark, rows), PIECE_TOKENIZER, OTHERS).toPandas()
     assert len(m) == len(rows)
     assert not m[(m.doc_id >= 1000) & (m.doc_id < 1005)].kept.any()
     assert m[(m.doc_id < 40) | (m.doc_id.between(2000, 2004))].kept.all()
@@ -210,7 +237,7 @@ def test_bands_reject_odd_vocabulary(spark):
     want = sorted((repr(r[0]), plain_counts(r[1])) for r in rows)
     assert sorted((repr(None if pd.isna(i) else int(i)), tuple(v)) for i, v in
                   zip(m.doc_id, m[counts].values.tolist(), strict=True)) == want
-    assert fertility.quality(odd.docs(spark, []), PIECE_TOKENIZER).count() == 0
+    assert fertility.quality(odd.docs(spark, []), PIECE_TOKENIZER, OTHERS).count() == 0
 
 
 def test_language_held_out(spark):
@@ -246,6 +273,75 @@ def test_language_edge_models(spark):
     assert langid.keep_known(docs, langid.fit(docs)).columns == docs.columns
 
 
+class Sizes:
+    """Stands for a classifier: a text says itself how large it is in either language."""
+    langs = ["de", "en"]
+
+    def sizes(self, text):
+        return [20, 20 + ord(text[0]) - ord("a")]  # "a": a tie, "b": German by a byte, ...
+
+
+def test_limits_are_fitted_on_errors():
+    """At 8 bytes a third of the wins by one byte are wrong, wins by two are right; at 16 wins by one are right, too."""
+    cuts = [("de" if k % 3 else "en", "b" * 8) for k in range(90)] + [("de", "c" * 8)] * 90
+    cuts += [("de", "b" * 16)] * 400 + [("en", "a" * 16)] * 90
+    got = langid.limits_of(cuts, Sizes())
+    assert got[16] == 1 and got[32] == 1
+    assert langid.limits_of(cuts[:180], Sizes())[8] == 2
+    assert langid.limits_of([("en", "b" * 8)] * 5, Sizes())[8] == 2  # nothing but errors: more than any margin seen
+
+
+def test_limits_reject(spark):
+    docs = odd.docs(spark).filter("doc_id IN (3, 4, 104)")
+    model = langid.fit(odd.docs(spark).filter("doc_id < 40"))
+    free = {r["doc_id"]: r for r in langid.classify(docs, model).collect()}
+    bound = {r["doc_id"]: r for r in langid.classify(docs, model, {8: 10**6}).collect()}
+    assert bound[104]["rejected"] and [bound[k]["rejected"] for k in (3, 4)] == [False, False]
+    assert all(bound[k]["lang_pred"] == free[k]["lang_pred"] for k in free)
+    kept = langid.keep_known(docs, model, {8: 10**6})
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4]
+    limits = langid.fit_limits(odd.docs(spark), model, sample_docs=10)
+    assert set(limits) == set(langid.LIMIT_LENGTHS) and min(limits.values()) >= 1
+
+
+def plain_prediction(text, dictionaries):
+    """One-shot compressions, one chunk and language after the other."""
+    import zstandard
+    raw = langid.letters_only(text).encode("utf-8", "surrogatepass")
+    sizes = {}
+    for lang, content in dictionaries.items():
+        how = zstandard.ZstdCompressionParameters(write_content_size=False, write_checksum=False, write_dict_id=False,
+                                                  **langid._SEARCH[len(raw) < langid.SHORT])
+        sizes[lang] = 0
+        for k in range(0, len(raw), langid.CHUNK):
+            words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            words.precompute_compress(compression_params=how)
+            sizes[lang] += len(zstandard.ZstdCompressor(compression_params=how, dict_data=words).compress(
+                raw[k:k + langid.CHUNK]))
+    return min(sorted(sizes), key=sizes.__getitem__)
+
+
+def test_predictions_against_plain_compression(spark):
+    docs = odd.docs(spark)
+    model = langid.fit(docs)
+    got = langid.classify(docs, model).collect()
+    texts = Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    want = Counter({(i, plain_prediction(t, model) if t and langid.has_letter(t) else "und"): 0 for i, t in texts})
+    for (i, t), n in texts.items():
+        want[(i, plain_prediction(t, model) if t and langid.has_letter(t) else "und")] += n
+    assert Counter((r["doc_id"], r["lang_pred"]) for r in got) == want
+
+
+def test_too_many_labels_are_an_error(spark):
+    rows = spark.createDataFrame([(k, f"text {k}", f"l{k}") for k in range(langid.MOST_LABELS + 1)],
+                                 "doc_id long, text string, lang string")
+    try:
+        langid.fit(rows)
+        raise AssertionError("fitted")
+    except ValueError as e:
+        assert "labels" in str(e)
+
+
 def test_whole_texts_count():
     """A text that turns German after its first chunks is German."""
     train = {g: "\n".join(langid.letters_only(odd.sentence(g, 120, k)) for k in range(60)).encode() for g in odd.WORDS}

@@ -1,5 +1,6 @@
 """Packing and token shards against the tokenizers library itself."""
 
+import resource
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import odd
 from textloom.llm import packing, repair
-from textloom.llm.common import ChunkEncoder
+from textloom.llm.common import LONGEST_KNOWN, MEMORY, ChunkEncoder
 from textloom.llm.queries import BYTE_TOKENIZER, WORD_TOKENIZER
 
 
@@ -35,9 +36,27 @@ def test_chunks_give_the_ids_of_whole_texts(encoders, texts):
 
 
 def test_forgetting_words_changes_nothing(encoders):
-    small = ChunkEncoder(BYTE_TOKENIZER, True, most=10)
+    small = ChunkEncoder(BYTE_TOKENIZER, True, most=400)
     texts = [odd.sentence("en", 50, k) for k in range(20)]
     assert [small.encode([t])[0] for t in texts] == encoders[True][0].encode(texts)
+    assert small.known.nbytes() <= 400
+
+
+@pytest.mark.parametrize("keeps", [True, False])
+def test_memory_is_bounded_in_bytes(keeps):
+    """Long chunks (texts without blanks) are not remembered, short ones up to the bound."""
+    encoder = ChunkEncoder(BYTE_TOKENIZER if keeps else WORD_TOKENIZER, keeps)
+    rng = np.random.default_rng(1)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for _ in range(20):
+        long = ["".join(map(chr, row)) for row in rng.integers(0x4E00, 0x9F00, (500, 150))]
+        encoder.encode([" ".join(long)])
+    short = ["".join(map(chr, row)) for row in rng.integers(97, 123, (300_000, 8))]
+    for k in range(0, len(short), 20_000):
+        encoder.encode([" ".join(short[k:k + 20_000])])
+    assert len(encoder.known.chunks) > 200_000 and encoder.known.nbytes() <= MEMORY
+    assert max(len(c.as_py().encode()) for c in encoder.known.chunks[::97]) <= LONGEST_KNOWN
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000  # kB
 
 
 def check_pieces(pieces, rows):
@@ -96,7 +115,7 @@ def test_nothing_to_pack(spark):
 @given(st.lists(st.integers(0, 6), max_size=400), st.integers(2, 6))
 def test_grammar_round_trip(ids, least):
     ids = np.array(ids, dtype=np.uint32)
-    rules, symbols = repair.compress(ids, rounds=8, least=least)
+    rules, symbols = repair.compress(ids, least=least)
     assert repair.expand(rules, symbols).tolist() == ids.tolist()
     for a in range(0, len(ids), 37):
         assert repair.decode_range(rules, symbols, a, 11).tolist() == ids[a:a + 11].tolist()
@@ -104,6 +123,52 @@ def test_grammar_round_trip(ids, least):
         assert len(repair.expand(rules, np.array([repair.FIRST_RULE + k]))) == n
 
 
+def plain_replacements(symbols, pair):
+    n = k = 0
+    while k + 1 < len(symbols):
+        hit = (symbols[k], symbols[k + 1]) == pair
+        n, k = n + hit, k + 1 + hit
+    return n
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=300), st.integers(2, 6))
+def test_no_frequent_pair_is_left(ids, least):
+    """As after plain Re-Pair: no pair can be replaced ``least`` times any more, and every rule was."""
+    rules, symbols = repair.compress(np.array(ids, dtype=np.uint32), least=least)
+    symbols = symbols.tolist()
+    assert all(plain_replacements(symbols, p) < least for p in set(zip(symbols, symbols[1:], strict=False)))
+    uses = Counter(symbols) + Counter(x for r in rules for x in r[:2].tolist())
+    assert all(uses[repair.FIRST_RULE + k] > 0 for k in range(len(rules)))
+
+
+def plain_repair(ids, least):
+    """One most frequent pair after the other: symbols and rules left in the end."""
+    seq, rules = list(ids), 0
+    while True:
+        counts = Counter(zip(seq, seq[1:], strict=False))
+        often = [p for p, n in counts.items() if n >= least]
+        best = max(often, key=lambda p: (plain_replacements(seq, p), p), default=None)
+        if best is None or plain_replacements(seq, best) < least:
+            return len(seq) + 3 * rules
+        out, k = [], 0
+        while k < len(seq):
+            hit = k + 1 < len(seq) and (seq[k], seq[k + 1]) == best
+            out.append(10**6 + rules if hit else seq[k])
+            k += 1 + hit
+        seq, rules = out, rules + 1
+
+
+def test_grammar_is_about_as_small_as_plain_repair():
+    rng = np.random.default_rng(3)
+    phrases = [rng.integers(0, 40, rng.integers(2, 30)).tolist() for _ in range(12)]
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        ids = [x for k in rng.integers(0, 12, 40) for x in [*phrases[k], int(rng.integers(0, 40))]]
+        rules, symbols = repair.compress(np.array(ids, dtype=np.uint32))
+        assert len(symbols) + 3 * len(rules) <= 1.15 * plain_repair(ids, repair.LEAST)
+
+
 def test_grammar_compresses():
     ids = np.tile(np.arange(50, dtype=np.uint32), 400)
     rules, symbols = repair.compress(ids)

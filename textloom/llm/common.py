@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +86,51 @@ def _byte_letters() -> dict[int, str]:
 _SPELLED = _byte_letters()
 
 
+MEMORY = 32 << 20  # bytes of known chunks and ids that an encoder keeps
+LONGEST_KNOWN = 40  # bytes: longer chunks are encoded anew each time
+
+
+class KnownIds:
+    """Ids of chunks already seen, in flat arrays of at most ``most`` bytes (half of them go when it is too many)."""
+
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = MEMORY,
+                 kind: pa.DataType = pa.large_string()):
+        """``learn`` gives the ids of chunks, one after the other, and how many each has."""
+        self.learn, self.most = learn, most
+        self.chunks = pa.array([], kind)
+        self.ids, self.lengths = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int32)
+
+    def nbytes(self) -> int:
+        return self.chunks.nbytes + self.ids.nbytes + self.lengths.nbytes
+
+    def look_up(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct ``chunks``: a flat array of ids, where in it each chunk's begin, and how many it has."""
+        # Known chunks are looked up among the given ones, whose hash table is the smaller one.
+        found = pc.index_in(self.chunks, value_set=chunks)
+        known = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        at = np.full(len(chunks), -1, dtype=np.int64)
+        at[found.drop_null().to_numpy()] = known
+        new = np.flatnonzero(at < 0)
+        fresh = chunks.take(pa.array(new))
+        ids, many = self.learn(fresh.to_pylist())
+        flat, lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, many.astype(np.int32)])
+        at[new] = np.arange(len(self.lengths), len(lengths))
+        starts = (np.cumsum(lengths, dtype=np.int64) - lengths)[at]
+        self._remember(fresh, ids, many)
+        return flat, starts, lengths[at].astype(np.int64)
+
+    def _remember(self, fresh: pa.Array, ids: np.ndarray, many: np.ndarray) -> None:
+        short = pc.binary_length(fresh).to_numpy() <= LONGEST_KNOWN
+        self.chunks = pa.concat_arrays([self.chunks, fresh.filter(pa.array(short))])
+        self.ids = np.concatenate([self.ids, ids[np.repeat(short, many)]])
+        self.lengths = np.concatenate([self.lengths, many[short].astype(np.int32)])
+        while self.nbytes() > self.most and len(self.lengths):  # the older half goes
+            old = (len(self.lengths) + 1) // 2
+            self.ids = self.ids[int(self.lengths[:old].sum()):].copy()
+            self.lengths = self.lengths[old:].copy()
+            self.chunks = pa.concat_arrays([self.chunks[old:]])
+
+
 class ChunkEncoder:
     """Exact ids of whole texts from a ``tokenizers`` file, with a bounded memory of chunks already encoded.
 
@@ -96,34 +141,36 @@ class ChunkEncoder:
     whose characters it maps one to one.
     """
 
-    def __init__(self, path: str, keeps_space: bool, most: int = 1_000_000):
+    def __init__(self, path: str, keeps_space: bool, most: int = MEMORY):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
-        self.most = most
-        self.known: dict[str, bytes] = {}
+        self.known = KnownIds(self._learn, most)
 
-    def _pack(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _pack(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of Latin-1 letters are one pre-token each and go straight to the file's model, as it spells bytes."""
-        rest = []
-        model = self.tokenizer.model.tokenize
-        for chunk in new:
-            word = chunk[1:] if self.keeps_space else chunk
-            if not word.isalpha() or (chunk[0] != " " if self.keeps_space else word != word.lower()):
-                rest.append(chunk)
-            elif word.isascii():
-                spelled = "\u0120" + word if self.keeps_space else word
-                self.known[chunk] = b"".join([t.id.to_bytes(4, "little") for t in model(spelled)])
-            elif max(word) <= "\xff":
-                spelled = chunk.encode().decode("latin-1").translate(_SPELLED)
-                self.known[chunk] = b"".join([t.id.to_bytes(4, "little") for t in model(spelled)])
-            else:
-                rest.append(chunk)
-        self.known.update(zip(rest, self._pack(rest), strict=True))
+        model, head = self.tokenizer.model.tokenize, len(" ") if self.keeps_space else 0
+        lengths, rest, ids = np.zeros(len(new), dtype=np.int64), [], []
+        for k, chunk in enumerate(new):
+            word = chunk[head:]
+            if not word.isalpha() or (chunk[0] != " " if head else word != word.lower()) or max(word) > "\xff":
+                rest.append(k)
+                continue
+            found = model(chunk.encode().decode("latin-1").translate(_SPELLED) if head or not word.isascii() else word)
+            lengths[k] = len(found)
+            ids += [t.id for t in found]
+        others = self._pack([new[k] for k in rest])
+        lengths[rest] = [len(x) for x in others]
+        out = np.empty(int(lengths.sum()), dtype=np.uint32)
+        is_rest = np.zeros(len(new), dtype=bool)
+        is_rest[rest] = True
+        is_rest = np.repeat(is_rest, lengths)
+        out[~is_rest] = ids
+        out[is_rest] = list(chain.from_iterable(others))
+        return out, lengths
 
     def _marked(self, text: str) -> str | None:
         """The text with a mark wherever it may be cut; None if it has to stay whole."""
@@ -149,28 +196,18 @@ class ChunkEncoder:
         marked = [self._marked(t) for t in texts]
         cut = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), "\x00" if self.keeps_space else " ")
         chunks = cut.values.dictionary_encode()
-        ids, lengths = self._look_up(chunks.dictionary.to_pylist())
+        ids, starts, lengths = self.known.look_up(chunks.dictionary)
         number = chunks.indices.to_numpy()
         each = lengths[number]
         ends = np.concatenate(([0], np.cumsum(each)))
         place = np.int32 if ends[-1] < 2**31 and len(ids) < 2**31 else np.int64
-        starts = ((np.cumsum(lengths) - lengths)[number] - ends[:-1]).astype(place)
-        at = np.repeat(starts, each)
+        at = np.repeat((starts[number] - ends[:-1]).astype(place), each)
         at += np.arange(len(at), dtype=place)
         flat = ids[at].tobytes()
         bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
-        return [flat[a:b] if m is not None else self._pack([t])[0]
+        return [flat[a:b] if m is not None else np.array(self._pack([t])[0], dtype="<u4").tobytes()
                 for t, m, a, b in zip(texts, marked, bounds[:-1], bounds[1:], strict=True)]
 
-    def _look_up(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the chunks, one after the other, and how many each has."""
-        if len(self.known) > self.most:
-            self.known = dict(islice(self.known.items(), self.most // 2, None))  # the older half goes
-        self._learn([c for c in chunks if c not in self.known])
-        found = list(map(self.known.__getitem__, chunks))
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        return np.frombuffer(b"".join(found), dtype="<u4"), lengths
-
 
 # Every white-space character but blank and line end, the separators that some libraries count among them, and \x00.
 _ODD = "\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" \
@@ -194,7 +231,7 @@ def odd_stop(text: str) -> bool:
     return kinds[:1] == b"." or b" ." in kinds or b".." in kinds
 
 
-@functools.cache
-def chunk_encoder(path: str, keeps_space: bool, most: int = 1_000_000) -> ChunkEncoder:
-    """One encoder per Python worker, which tasks of that worker share."""
-    return ChunkEncoder(path, keeps_space, most)
+@functools.lru_cache(maxsize=1)
+def chunk_encoder(path: str, keeps_space: bool) -> ChunkEncoder:
+    """The encoder that a Python worker used last; tasks of that worker share it."""
+    return ChunkEncoder(path, keeps_space)

@@ -1,7 +1,7 @@
 """Quality rules from tokeniser fertility: how a public vocabulary takes a text apart.
 
 Per document: characters per token, share of byte-fallback tokens, and entropy of the tokens in bits, all over the
-tokens of its words.  Entropy grows with the number of tokens, so what counts is how far it is off the value
+tokens of its words by a sentencepiece vocabulary, and characters per token by two more.  Entropy grows with the number of tokens, so what counts is how far it is off the value
 expected for that number: a parabola in its logarithm, fitted by least squares for each language (or, without one, each
 script).  Each language also has a band per measure: its median and so many robust standard deviations below and above
 (``MEASURES``), wider for short documents, whose measures vary more.  A document outside a band is rejected.  Sums,
@@ -24,7 +24,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Callable, Iterator
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import in_batches, stored
+from textloom.llm.common import MEMORY, KnownIds, in_batches, stored
 
 LEAST_WORDS = 50
 LEAST_DOCS = 100
 SHORT = 100.0  # words at which the variance of a measure has doubled
+OTHERS = ("word", "byte")  # further vocabularies: one that marks word ends, a byte-level one
 # Least deviation, and the band's width in deviations below and above.
-MEASURES = {"chars_per_token": (0.02, 8.0, 8.0), "byte_share": (0.002, 8.0, 8.0), "entropy_off": (0.02, 4.5, 9.0)}
+MEASURES = {"chars_per_token": (0.02, 8.0, 8.0), "byte_share": (0.002, 8.0, 8.0), "entropy_off": (0.02, 4.5, 9.0),
+            **{f"chars_per_token_{k}": (0.02, 8.0, 8.0) for k in OTHERS}}
 _SYMBOLS = bytes(ord("#") if c in b"#*$%&|<>" else ord(" ") for c in range(256))
 # Scripts by ranges of code points, tried in this order; fixed values of the public standard.
 SCRIPTS = {"latin": r"[A-Za-zÀ-ɏ]", "greek": r"[Ͱ-Ͽ]", "cyrillic": r"[Ѐ-ԯ]",
@@ -49,38 +51,56 @@ _SCRIPTS = {k: re.compile(v) for k, v in SCRIPTS.items()}
 
 
 class WordPieces:
-    """Pieces of words by a sentencepiece model, with a bounded memory of words already encoded."""
+    """Pieces of words by a sentencepiece model, and their number by further vocabularies; a bounded memory of words
+    already encoded."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, others: tuple[str, ...] = (), most: int = MEMORY):
         import sentencepiece
+        from tokenizers import Tokenizer
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.vocab_size())])
-        self.known: dict[bytes, bytes] = {}
-        self.most = most
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known = dict(islice(self.known.items(), self.most // 2, None))  # the older half goes
-        new = list(set(words).difference(self.known))
-        if new:
-            got = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-            self.known.update((w, np.array(g, dtype="<u4").tobytes()) for w, g in zip(new, got, strict=True))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u4")
-
-
-@functools.cache
-def word_pieces(path: str) -> WordPieces:
-    """One model per Python worker, which tasks of that worker share."""
-    return WordPieces(path)
-
-
-def repeat_words(words: list[bytes]) -> int:
-    """Words covered by three-word windows that occur twice or more."""
+        self.others = [Tokenizer.from_file(p) for p in others]
+        self.known = KnownIds(self._learn, most, pa.large_binary())
+
+    def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word: how many ids each further vocabulary has for it (after a blank), then its ids."""
+        words = [w.decode("utf-8", "replace") for w in new]
+        ids = self.model.encode(words, num_threads=1)
+        spaced = [" " + w for w in words]
+        counts = [[len(e) for e in t.encode_batch_fast(spaced, add_special_tokens=False)] for t in self.others]
+        rows = [[*c, *i] for *c, i in zip(*counts, ids, strict=True)]
+        return np.fromiter(chain.from_iterable(rows), dtype=np.uint32), np.array([len(r) for r in rows], dtype=np.int64)
+
+    def of_texts(self, texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+        """Per text: numbers of its words (equal for equal words), its ids, and its number of ids by each further
+        vocabulary."""
+        flat = pa.array([w for words in texts for w in words], pa.large_binary()).dictionary_encode()
+        ids, starts, lengths = self.known.look_up(flat.dictionary)
+        number, k, end = flat.indices.to_numpy(), len(self.others), 0
+        for words in texts:
+            at = number[end:end + len(words)]
+            end += len(words)
+            first, many = starts[at], lengths[at] - k
+            place = np.repeat(first + k - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            yield at, ids[place], [int(ids[first + j].sum()) for j in range(k)]
+
+
+@functools.lru_cache(maxsize=1)
+def word_pieces(path: str, others: tuple[str, ...] = ()) -> WordPieces:
+    """The vocabularies that a Python worker used last; tasks of that worker share them."""
+    return WordPieces(path, others)
+
+
+def repeat_words(words: list[bytes] | np.ndarray) -> int:
+    """Words (or their numbers) covered by three-word windows that occur twice or more."""
     if len(words) < 4:
         return 0
-    number: dict[bytes, int] = {}
-    at = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.uint64, count=len(words))
-    if len(number) < 1 << 21:
+    if isinstance(words, np.ndarray):
+        at = words.astype(np.uint64)
+    else:
+        number: dict[bytes, int] = {}
+        at = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.uint64, count=len(words))
+    if int(at.max()) < 1 << 21:
         key = at[:-2] << np.uint64(42) | at[1:-1] << np.uint64(21) | at[2:]
     else:  # more words than three of them fit into one integer: number the pairs first
         _, pair = np.unique(at[:-1] << np.uint64(32) | at[1:], return_inverse=True)
@@ -110,46 +130,54 @@ def script_of(text: str) -> str:
     return f"script:{best if counts[best] else 'none'}"
 
 
+def measure_all(texts: list[str | None], langs: list[str | None], pieces: WordPieces) -> list[tuple]:
+    """Base counts and measures of texts."""
+    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    split = [raw.split() for raw in raws]
+    out = []
+    for text, lang, raw, words, (at, ids, more) in zip(texts, langs, raws, split, pieces.of_texts(split), strict=True):
+        counts = (len(words), len(b"".join(words).decode("utf-8", "surrogatepass")) if words else 0,
+                  raw.translate(_SYMBOLS).count(b"#"), dup_lines(text or ""), repeat_words(at))
+        group = lang if lang is not None else script_of(text or "")
+        if not words:
+            out.append((*counts, group, 0, 0.0, 0.0, 0.0, *[0.0 for _ in more]))
+            continue
+        _, times = np.unique(ids, return_counts=True)
+        share = times / len(ids)
+        out.append((*counts, group, len(ids), counts[1] / len(ids), float(pieces.is_byte[ids].mean()),
+                    float(-(share * np.log2(share)).sum()), *[counts[1] / max(1, n) for n in more]))
+    return out
+
+
 def measure(text: str | None, lang: str | None, pieces: WordPieces) -> tuple:
-    """Base counts and measures of a text."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    words = raw.split()
-    counts = (len(words), len(b"".join(words).decode("utf-8", "surrogatepass")) if words else 0,
-              raw.translate(_SYMBOLS).count(b"#"), dup_lines(text or ""), repeat_words(words))
-    group = lang if lang is not None else script_of(text or "")
-    if not words:
-        return (*counts, group, 0, 0.0, 0.0, 0.0)
-    ids = pieces.ids(words)
-    _, times = np.unique(ids, return_counts=True)
-    share = times / len(ids)
-    return (*counts, group, len(ids), counts[1] / len(ids), float(pieces.is_byte[ids].mean()),
-            float(-(share * np.log2(share)).sum()))
+    return measure_all([text], [lang], pieces)[0]
 
 
 _SCHEMA = {"n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int64(), "n_dup_lines": pa.int64(),
            "n_repeat_words": pa.int64(), "band_group": pa.string(), "n_tokens": pa.int64(),
-           "chars_per_token": pa.float64(), "byte_share": pa.float64(), "token_entropy": pa.float64()}
+           "chars_per_token": pa.float64(), "byte_share": pa.float64(), "token_entropy": pa.float64(),
+           **{f"chars_per_token_{k}": pa.float64() for k in OTHERS}}
 
 
-def _measure_task(path: str, id_col: str, text_col: str, lang_col: str) -> Callable:
+def _measure_task(path: str, others: tuple[str, ...], id_col: str, text_col: str, lang_col: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = word_pieces(path)
+        pieces = word_pieces(path, others)
         for batch in in_batches(batches, 512, text_col, 1 << 21):
             texts, langs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text_col, lang_col))
-            found = list(zip(*[measure(t, g, pieces) for t, g in zip(texts, langs, strict=True)], strict=True))
+            found = list(zip(*measure_all(texts, langs, pieces), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(id_col)),
                  *[pa.array(c, t) for c, t in zip(found, _SCHEMA.values(), strict=True)]], ["id", *_SCHEMA])
     return run
 
 
-def measures(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+def measures(docs: DataFrame, tokenizer_path: str, others: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: id, base counts, group and measures."""
     types = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double"}
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"),
                        F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    return rows.mapInArrow(_measure_task(tokenizer_path, "id", "text", "lang"),
+    return rows.mapInArrow(_measure_task(tokenizer_path, others, "id", "text", "lang"),
                            "id long, " + ", ".join(f"{k} {types[t]}" for k, t in _SCHEMA.items())) \
         .withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
                     | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
@@ -178,7 +206,7 @@ def bands(rows: DataFrame) -> DataFrame:
     """
     good = rows.filter("NOT base_failed").select(
         F.explode(F.array(F.col("band_group"), F.lit(None))).alias("g"), "n_words", "n_tokens", "chars_per_token",
-        "byte_share", "token_entropy")
+        "byte_share", "token_entropy", *[f"chars_per_token_{k}" for k in OTHERS])
     x = F.log2(F.col("n_tokens").cast("double")) - 8
     sums = good.groupBy("g").agg(F.count("*").alias("n_docs"), *[F.sum(F.pow(x, F.lit(k))).alias(f"x{k}")
                                                                  for k in range(5)],
@@ -217,7 +245,9 @@ def judge(rows: DataFrame, limits: DataFrame) -> DataFrame:
         (~F.col("base_failed") & (F.size("out") == 0)).alias("kept"))
 
 
-def quality(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-            lang_col: str = "lang") -> DataFrame:
-    rows = stored(measures(docs, tokenizer_path, id_col, text_col, lang_col))
+def quality(docs: DataFrame, tokenizer_path: str, others: tuple[str, ...], id_col: str = "doc_id",
+            text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` judged by a sentencepiece vocabulary and by the characters per token of the further ones (``OTHERS``,
+    files of the ``tokenizers`` library)."""
+    rows = stored(measures(docs, tokenizer_path, others, id_col, text_col, lang_col))
     return judge(rows, bands(rows)).withColumnRenamed("id", id_col)

@@ -20,6 +20,7 @@ length of its longest document, go to one task for the rounding.  Groups of docu
 
 from __future__ import annotations
 
+import warnings
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,12 +60,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
         F.coalesce(F.least(F.col("cap"), F.col("free") * F.col("weight")), F.col("cap")).alias("target"))
 
 
-def balance(groups: DataFrame, targets: DataFrame, most: float = 2.0, steps: int = 30,
+def balance(groups: DataFrame, targets: DataFrame, most: float = 2.0, steps: int = 60,
             close: float = 1e-7) -> DataFrame:
     """``source, lam, scale``: multipliers with which the sources' words come to their targets.
 
     ``groups`` has ``source, size, n`` (sizes over 0).  A source whose target is its cap has no finite multiplier;
-    it gets a large one, at which every rate is cut at ``most``.
+    it gets a large one, at which every rate is cut at ``most``.  Sources that are still further off than ``close``
+    after ``steps`` steps (each at least halves the interval) are named in a warning.
     """
     state = stored(
         groups.groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("scale"),
@@ -96,6 +98,9 @@ def balance(groups: DataFrame, targets: DataFrame, most: float = 2.0, steps: int
         state = stored(step.select(*state.columns))
         if not state.filter("open").take(1):
             break
+    else:
+        some = [r["source"] for r in state.filter("open").orderBy("source").select("source").take(5)]
+        warnings.warn(f"after {steps} steps sources are not at their targets, among them {some}", stacklevel=2)
     return state.select("source", "lam", "scale")
 
 

@@ -36,7 +36,6 @@ SIZES = (256, 512, 1024, 2048, 4096)  # window sizes, powers of two
 ROUND_TOKENS = 1 << 19
 STEP_TOKENS = 1 << 16
 END_ID = 2
-KNOWN_CHUNKS = 500_000  # that a Python worker remembers
 
 Piece = tuple[int, int, int]  # document of the round, start, length
 
@@ -144,11 +143,11 @@ def _pack_task(id_col: str, text_col: str, tokenizer_path: str, sizes: tuple[int
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(tokenizer_path, keeps_space=False, most=KNOWN_CHUNKS)
+        encoder = chunk_encoder(tokenizer_path, keeps_space=False)
         base = TaskContext.get().partitionId() << part_bits
         end = np.array([END_ID], dtype="<u4").tobytes()
         packer, docs, windows, held, number, step = Packer(sizes), [], [], 0, 0, 0
-        for part in in_batches(batches, 8192, text_col, 1 << 23):
+        for part in in_batches(batches, 8192, text_col, 1 << 21):
             ids = part.column(part.schema.get_field_index(id_col)).to_pylist()
             texts = [t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
             for doc_id, got in zip(ids, encoder.encode(texts), strict=True):

@@ -115,8 +115,9 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.is_held_out()
-    model = langid.fit(docs.filter(~held_out & F.col("doc_id").isNotNull()))
-    return langid.classify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin",
+    known = docs.filter(~held_out & F.col("doc_id").isNotNull())
+    model = langid.fit(known)
+    return langid.classify(docs, model, langid.fit_limits(known, model)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin",
                                                "rejected")
 
 
@@ -132,9 +133,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_fertility")
 def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.quality(table(spark, sf_dir, "documents"), PIECE_TOKENIZER).select(
+    return fertility.quality(table(spark, sf_dir, "documents"), PIECE_TOKENIZER, (WORD_TOKENIZER, BYTE_TOKENIZER)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "band_group", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "entropy_off", "outside")
+        "band_group", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "chars_per_token_word",
+        "chars_per_token_byte", "entropy_off", "outside")
 
 
 def periodic_tail(key: int | None, words: list) -> list:

@@ -2,12 +2,12 @@
 
 Documents are encoded, ended with the end id and brought into ascending id order; shards of bounded length follow one
 another in that order.  In each shard the pairs of neighbouring symbols that occur most often are replaced by new
-symbols, round after round, until no pair is frequent enough.  A shard stores its rules (left and right symbol and
+symbols, round after round, until no pair is frequent enough (``LEAST``).  A shard stores its rules (left and right symbol and
 expansion length of each), the remaining symbols, and where its documents start.  Expansion lengths let a
 reader find and expand any range of ids without touching the rest.
 
 File format: a Parquet table with a row per shard, written by Spark (so the shared store, retries and commits are
-Spark's), with columns ``part, shard, first_id_at`` (numbering), ``n_tokens, n_docs``, ``doc_ids`` and ``doc_tokens``
+Spark's), with columns ``part, shard`` (numbering), ``before`` (ids in the part's shards before), ``n_tokens, n_docs``, ``doc_ids`` and ``doc_tokens``
 (little-endian int64), ``null_ids`` (documents at the front with a null id), ``rules`` (little-endian uint32 left,
 right, length, rule after rule) and ``low``, ``high`` (low 16 and next 16 bits of the remaining symbols).
 
@@ -31,11 +31,12 @@ from textloom.llm.common import chunk_encoder, in_batches
 SHARD_TOKENS = 1 << 18
 END_ID = 2
 FIRST_RULE = 1 << 17  # above every id of the vocabularies in use
-ROUNDS = 6
-LEAST = 24  # a pair that occurs less often in a shard stays
+LEAST = 4  # a pair is replaced where that can be done so often in a shard: a rule takes the room of three symbols
 _BITS = 18  # of the pair counters
 
-SHARD_SCHEMA = ("part int, shard int, n_tokens long, n_docs long, doc_ids binary, doc_tokens binary, null_ids long, "
+BROADCAST_PARTS = 1 << 20  # rows of 12 bytes, one per task that wrote shards
+
+SHARD_SCHEMA = ("part int, shard int, before long, n_tokens long, n_docs long, doc_ids binary, doc_tokens binary, null_ids long, "
                 "rules binary, low binary, high binary")
 
 
@@ -43,59 +44,88 @@ def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - _BITS)
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """``(rules, symbols)``: rules are rows (left, right, expansion length); rule k is symbol FIRST_RULE + k.
 
-    A round replaces every pair that is frequent enough.  Pairs are counted in slots of a hash; a slot counts one
-    of its pairs, others of the same slot wait for a later round.  Where chosen pairs overlap, the more frequent one is
-    replaced; in a run of equal pairs every other one.
+    A round replaces all pairs that are frequent enough; where they overlap, the more frequent one, and in a run of
+    equal pairs every other one.  Rounds go on until no pair is left that can be replaced ``least`` times.  After the
+    first round only pairs next to a replaced one, or that lost to one, are counted again: others were too rare already.
     """
     seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     lengths = np.zeros(0, dtype=np.uint32)
-    owner = np.zeros(1 << _BITS, dtype=np.uint64)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        slot = _slots(seq[:-1], seq[1:])
-        counts = np.bincount(slot, minlength=1 << _BITS).astype(np.int32)
-        at = np.flatnonzero((counts >= least)[slot])
+    open_ = np.ones(len(seq), dtype=bool)  # places whose pair with the next symbol is to be counted
+    while len(seq) > 1:
+        open_[-1] = False
+        at = np.flatnonzero(open_)
+        if len(at) > 1 << 14:  # a coarse count first: a pair is at most as frequent as its slot
+            slot = _slots(seq[at], seq[at + 1])
+            at = at[(np.bincount(slot, minlength=1 << _BITS) >= least)[slot]]
         pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        slot = slot[at]
-        owner[slot] = pair
-        own = owner[slot] == pair
-        at, slot = at[own], slot[own]
-        counts = np.bincount(slot, minlength=1 << _BITS).astype(np.int32)
-        weight = np.zeros(len(seq) + 1, dtype=np.int32)
-        weight[at] = np.where(counts[slot] >= least, counts[slot], 0)
-        here, before = weight[at], weight[np.maximum(at - 1, 0)]
-        before[at == 0] = 0
-        pick = (here > 0) & (here >= weight[at + 1]) & (here >= before)
-        at, slot = at[pick], slot[pick]
-        # In a run of neighbouring picks the first, third, ... stand.
-        run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        odd = (np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0
-        at, slot = at[odd], slot[odd]
-        counts = np.bincount(slot, minlength=1 << _BITS)
-        used = np.flatnonzero(counts >= least)
-        if not len(used):
+        pairs, number, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        often = counts[number] >= least
+        at, number = at[often], number[often]
+        if not len(at):
             break
-        number = np.full(1 << _BITS, -1, dtype=np.int64)
-        number[used] = np.arange(len(used)) + FIRST_RULE + len(lengths)
-        fine = number[slot] >= 0
-        at, slot = at[fine], slot[fine]
-        left, right = (owner[used] >> np.uint64(32)).astype(np.uint32), owner[used].astype(np.uint32)
+        weight = np.zeros(len(seq) + 1, dtype=np.int32)
+        weight[at] = counts[number]
+        here = weight[at]
+        best = (here >= weight[at + 1]) & (here >= np.where(at > 0, weight[at - 1], 0))
+        chosen, which = _every_other(at[best], number[best])
+        used = np.bincount(which, minlength=len(pairs)) >= least
+        if not used.any():
+            at, chosen, which = _one_by_one(at, number, len(seq), least)
+            used[which] = True
+        fine = used[which]
+        chosen, which = chosen[fine], which[fine]
+        names = np.cumsum(used) - 1 + FIRST_RULE + len(lengths)
+        kept = pairs[used]
+        left, right = (kept >> np.uint64(32)).astype(np.uint32), kept.astype(np.uint32)
         known = np.concatenate([lengths, np.ones(1, dtype=np.uint32)])  # the last one: an id
         long = sum(known[np.where(s >= FIRST_RULE, s.astype(np.int64) - FIRST_RULE, -1)] for s in (left, right))
         rules.append(np.stack([left, right, long], axis=1))
         lengths = np.concatenate([lengths, long])
-        seq[at] = number[slot]
+        seq[chosen] = names[which]
+        open_ = np.zeros(len(seq), dtype=bool)
+        open_[at] = True
+        open_[chosen] = True
+        open_[chosen[chosen > 0] - 1] = True
         keep = np.ones(len(seq), dtype=bool)
-        keep[at + 1] = False
-        seq = seq[keep]
+        keep[chosen + 1] = False
+        # A place before a removed one now meets what follows it.
+        seq, open_ = seq[keep], open_[keep]
     return (np.concatenate(rules) if rules else np.zeros((0, 3), dtype=np.uint32)), seq
 
 
+def _every_other(at: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In each run of neighbouring places the first, third, ..."""
+    run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    odd = (np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0
+    return at[odd], number[odd]
+
+
+def _one_by_one(at: np.ndarray, number: np.ndarray, size: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that hinder each other, the most frequent first, each at the places that are still free: the places to be
+    counted again, those taken, and their pairs.  A pair that all its places do not suffice for is given up."""
+    order = np.argsort(number, kind="stable")
+    groups = np.split(at[order], np.flatnonzero(np.diff(number[order])) + 1)
+    names = number[order][np.cumsum([0, *map(len, groups[:-1])])]
+    taken = np.zeros(size + 1, dtype=bool)
+    again, chosen, which = [], [at[:0]], [number[:0]]
+    for k in sorted(range(len(groups)), key=lambda k: -len(groups[k])):
+        free = groups[k][~taken[groups[k]] & ~taken[groups[k] + 1]]
+        found = _every_other(free, free)[0]
+        if len(found) >= least:
+            taken[found] = taken[found + 1] = True
+            chosen.append(found)
+            which.append(np.full(len(found), names[k]))
+        if len(found) >= least or len(free) < len(groups[k]):
+            again.append(groups[k])
+    chosen, which = np.concatenate(chosen), np.concatenate(which)
+    order = np.argsort(chosen)
+    return np.concatenate([at[:0], *again]), chosen[order], which[order]
+
+
 def _opened(rules: np.ndarray) -> np.ndarray:
     """The ids of all rules, one after the other: rules of equal depth are opened at once."""
     seq = np.arange(len(rules), dtype=np.uint32) + np.uint32(FIRST_RULE)
@@ -152,15 +182,15 @@ def _write_task(id_col: str, text_col: str, tokenizer_path: str, shard_tokens: i
 
     names = [c.split()[0] for c in SHARD_SCHEMA.split(", ")]
 
-    def shard(part: int, number: int, doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
+    def shard(part: int, number: int, before: int, doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
         rules, symbols = compress(np.frombuffer(b"".join(ids), dtype="<u4"))
         nulls = sum(d is None for d in doc_ids)
         sizes = np.array([len(x) // 4 for x in ids], dtype="<i8")
-        values = [part, number, int(sizes.sum()), len(ids),
+        values = [part, number, before, int(sizes.sum()), len(ids),
                   np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes(), sizes.tobytes(), nulls,
                   rules.astype("<u4").tobytes(), (symbols & 0xFFFF).astype("<u2").tobytes(),
                   (symbols >> 16).astype("<u2").tobytes()]
-        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(),
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(),
                  pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
@@ -168,8 +198,8 @@ def _write_task(id_col: str, text_col: str, tokenizer_path: str, shard_tokens: i
         encoder = chunk_encoder(tokenizer_path, keeps_space=True)
         part = TaskContext.get().partitionId()
         end = np.array([END_ID], dtype="<u4").tobytes()
-        doc_ids, ids, held, number = [], [], 0, 0
-        for batch in in_batches(batches, 8192, text_col, 1 << 23):
+        doc_ids, ids, held, number, before = [], [], 0, 0, 0
+        for batch in in_batches(batches, 8192, text_col, 1 << 21):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             keys = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
             for key, got in zip(keys, encoder.encode(texts), strict=True):
@@ -177,10 +207,10 @@ def _write_task(id_col: str, text_col: str, tokenizer_path: str, shard_tokens: i
                 ids.append(got + end)
                 held += len(got) // 4 + 1
                 if held >= shard_tokens:
-                    yield shard(part, number, doc_ids, ids)
-                    doc_ids, ids, held, number = [], [], 0, number + 1
+                    yield shard(part, number, before, doc_ids, ids)
+                    doc_ids, ids, held, number, before = [], [], 0, number + 1, before + held
         if ids:
-            yield shard(part, number, doc_ids, ids)
+            yield shard(part, number, before, doc_ids, ids)
 
     return run
 
@@ -196,7 +226,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
 def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
             rules = np.frombuffer(row["rules"], dtype="<u4").reshape(-1, 3)
             symbols = np.frombuffer(row["low"], "<u2").astype(np.uint32) \
                 | (np.frombuffer(row["high"], "<u2").astype(np.uint32) << 16)
@@ -207,7 +237,7 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys[:row["null_ids"]] = [None] * row["null_ids"]
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(starts + row["first_id_at"], pa.int64()),
+                [pa.array(keys, pa.int64()), pa.array(starts + row["before"] + row["part_before"], pa.int64()),
                  pa.array(sizes, pa.int64()),
                  pa.array([zlib.crc32(ids[4 * a:4 * (a + b)]) for a, b in zip(starts, sizes, strict=True)],
                           pa.int64()), pa.array([row["part"]] * n, pa.int32()), pa.array([row["shard"]] * n, pa.int32())],
@@ -217,15 +247,12 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(shards: DataFrame) -> DataFrame:
     """Per document of the shard files: doc_id, start, n_tokens, ids_crc32, part, shard.
 
-    Where a shard starts comes from running sums over the shard headers: over the parts (one row per task that wrote)
-    and over the shards of each part.
+    A shard's header says how many ids its part has before it; a running sum over the parts (one row per task that
+    wrote) gives the rest.  Parts are broadcast up to ``BROADCAST_PARTS`` rows, so shards are not shuffled for it.
     """
-    heads = shards.select("part", "shard", "n_tokens")
-    parts = heads.groupBy("part").agg(F.sum("n_tokens").alias("n")) \
-        .select(F.col("part").alias("p"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    starts = heads.join(parts, F.col("part") == F.col("p")).select(
-        F.col("part").alias("p"), F.col("shard").alias("s"),
-        (F.col("before") + F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens"))
-        .alias("first_id_at"))
-    return shards.join(starts, (F.col("part") == F.col("p")) & (F.col("shard") == F.col("s"))).drop("p", "s") \
+    parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")) \
+        .select(F.col("part").alias("p"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_before"))
+    if parts.count() <= BROADCAST_PARTS:
+        parts = F.broadcast(parts)
+    return shards.join(parts, F.col("part") == F.col("p")).drop("p") \
         .mapInArrow(_read_task, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, shard int")

@@ -6,7 +6,8 @@ carries a checksum (or a header that must decode) count only if it holds.
 
 All patterns are ASCII, so texts are scanned as UTF-8 bytes and only the ends of spans are turned into code points.
 
-Defined results.  A null text is empty and has no spans.  A text of any length is scanned whole, in time linear in
+Defined results.  A null text is empty and has no spans.  A token header that is no JSON, or nested too deep for the
+parser, does not hold.  A text of any length is scanned whole, in time linear in
 its length and its hits.  Spans of one kind never overlap; spans of different kinds may.  Repeated rows get equal
 results, null ids stay, an empty table gives no rows, other columns are ignored.
 """
@@ -64,7 +65,7 @@ def header_decodes(token: bytes) -> bool:
     head = token.split(b".")[0]
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
-    except (ValueError, TypeError):
+    except (ValueError, TypeError, RecursionError):  # RecursionError: nested without end
         return False
 
 
