@@ -22,8 +22,9 @@ from textloom.session import table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.fit(docs.filter(~langid.is_held_out() & F.col("doc_id").isNotNull()))
-    return langid.keep_known(docs, model)
+    known = docs.filter(~langid.is_held_out() & F.col("doc_id").isNotNull())
+    model = langid.fit(known)
+    return langid.keep_known(docs, model, langid.fit_limits(known, model))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
