@@ -361,8 +361,8 @@ def test_merges_are_those_of_one_at_a_time(spark):
         return out
 
     df = spark.createDataFrame(list(words.items()), "word string, freq long")
-    for kind in ("wordpiece", "bpe"):
-        vocab, merges = SW.train_vocab(df, 2000, kind=kind, rounds_per_table=3)
+    for kind, n_pairs in (("wordpiece", 1024), ("bpe", 3)):
+        vocab, merges = SW.train_vocab(df, 2000, kind=kind, n_pairs=n_pairs)
         assert merges == one_at_a_time(kind, 2000)
         tokens = {r["token"] for r in vocab.collect()}
         assert kind != "bpe" or set(SW.byte_alphabet().values()) <= tokens

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,13 +79,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     on the shared checkpoint filesystem, so it survives executor loss and cuts
     the lineage of iterative jobs.
     """
-    import uuid
     base = ensure_checkpoint_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Tables in the shared checkpoint folder that are needed only until a result is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        df.write.parquet(f"{self.path}/{self.count}")
+        return self.spark.read.parquet(f"{self.path}/{self.count}")
+
+    def clear(self) -> None:
+        """Delete the tables; nothing that is still to run may read them."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; Catalyst prunes columns and pushes filters."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
