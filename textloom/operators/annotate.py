@@ -2,6 +2,8 @@
 
 
 
+import heapq
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -238,6 +240,62 @@ def best_labels(tokens: DataFrame, spans: DataFrame, sent_keys, tok_keys) -> Dat
     return j.withColumn("label", label).drop("_exact", "_over")
 
 
+def sweep_labels(tokens: list[tuple[int, int]], spans: list[tuple[int, int, str | None]]) -> list[str | None]:
+    """JOIN-02 within a sentence: per token (start, end), in order, the label of the span with exactly its offsets if
+    that is not empty, else of the first span in annotation order that overlaps it, else None.
+
+    Spans are keyed by (start, end) as in ``span_table``.  One pass over both in the order of their starts: a span
+    enters a queue by annotation order when a token reaches it, and leaves it when a token begins behind its end.
+    """
+    keyed: dict[tuple[int, int], list] = {}
+    for order, (start, end, label) in enumerate(spans):
+        if start is not None and end is not None:
+            keyed.setdefault((start, end), [order, None])[1] = label
+    waiting = sorted((start, end, order, label) for (start, end), (order, label) in keyed.items())
+    queue: list[tuple[int, int, str | None]] = []
+    out, at = [], 0
+    for start, end in tokens:
+        while at < len(waiting) and waiting[at][0] < end:
+            heapq.heappush(queue, (waiting[at][2], waiting[at][1], waiting[at][3]))
+            at += 1
+        while queue and queue[0][1] <= start:
+            heapq.heappop(queue)
+        exact = keyed.get((start, end), (0, None))[1]
+        out.append(exact or (queue[0][2] if queue else None))
+    return out
+
+
+def span_labels(df: DataFrame, keys, text_col: str, json_col: str, kind: str = "annot") -> DataFrame:
+    """JOIN-02 (+ JSN-01) where a text and its label JSON are in one row: keys..., tok_idx, form, start, end, label.
+
+    Row-local: the text is cut into tokens and its spans are met in one sweep; a token without a span is PUNCT or X.
+    """
+    import re
+
+    import pandas as pd
+
+    k = _keys(keys)
+    pattern = re.compile(PY_TOKEN_PATTERNS[kind])
+
+    @F.pandas_udf("array<struct<form:string,start:int,end:int,label:string>>")
+    def labelled(texts: pd.Series, starts: pd.Series, ends: pd.Series, labels: pd.Series) -> pd.Series:
+        out = []
+        for text, *spans in zip(texts, starts, ends, labels, strict=True):
+            found = [] if text is None else [(m.group(), m.start(), m.end()) for m in pattern.finditer(text)]
+            names = sweep_labels([f[1:] for f in found], list(zip(*spans, strict=True)))
+            out.append([{"form": f[0], "start": f[1], "end": f[2], "label": x} for f, x in zip(found, names, strict=True)])
+        return pd.Series(out)
+
+    s = _spans_in(F.col(json_col))
+    part = lambda read, kind_: F.transform(s, read).cast(f"array<{kind_}>")
+    rows = df.select(*k, labelled(F.col(text_col), part(lambda x: x["start"], "double"), part(lambda x: x["end"], "double"),
+                                  part(lambda x: x["labels"][0], "string")).alias("t"))
+    rows = rows.select(*k, F.posexplode("t").alias("p", "t"))
+    label = F.coalesce("t.label", F.when(T.is_punct(F.col("t.form")), F.lit("PUNCT")).otherwise(F.lit("X")))
+    return rows.select(*k, (F.col("p") + 1).cast("int").alias("tok_idx"), "t.form", "t.start", "t.end",
+                       label.alias("label"))
+
+
 # ------------------------------------------------------------ labels --
 
 def label_ids(tags: DataFrame, tag_col: str = "upos") -> DataFrame:
@@ -271,13 +329,17 @@ def spans_to_json(spans: DataFrame, sent_keys) -> DataFrame:
         s["start"].alias("start"), s["end"].alias("end"), s["labels"].alias("labels")))).alias("label_json"))
 
 
+def _spans_in(json: Column) -> Column:
+    """The spans of a label JSON that have labels, in order."""
+    parsed = F.coalesce(F.from_json(json, SPAN_JSON_SCHEMA), F.array())
+    return F.filter(parsed, lambda s: F.coalesce(F.size(s["labels"]), F.lit(0)) > 0)
+
+
 def spans_from_json(df: DataFrame, sent_keys, json_col: str) -> DataFrame:
     """SRC-05 / JSN-01 parse: label JSON → span rows; spans without labels dropped,
     blank or malformed JSON → no spans.  Label = first of ``labels``."""
     k = _keys(sent_keys)
-    parsed = F.from_json(F.col(json_col), SPAN_JSON_SCHEMA)
-    kept = F.filter(F.coalesce(parsed, F.array()), lambda s: F.coalesce(F.size(s["labels"]), F.lit(0)) > 0)
-    return (df.select(*k, F.posexplode(kept).alias("span_ord", "s"))
+    return (df.select(*k, F.posexplode(_spans_in(F.col(json_col))).alias("span_ord", "s"))
             .select(*k, "span_ord", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
                     F.col("s.labels")[0].alias("label")))
 

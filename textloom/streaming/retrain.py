@@ -59,9 +59,7 @@ def pending(spark: SparkSession, base: str) -> DataFrame:
 
 def labelled_tokens(rows: DataFrame) -> DataFrame:
     """SRC-05 + JOIN-02: tokens of the rows' texts with the label of their span."""
-    toks = A.token_offsets(rows, SENT, "text", "annot").withColumnRenamed("token", "form")
-    spans = A.spans_from_json(rows, SENT, "label_json")
-    return A.best_labels(toks, spans, SENT, SENT + ["tok_idx"])
+    return A.span_labels(rows, SENT, "text", "label_json")
 
 
 def _said(e: Exception) -> str:
