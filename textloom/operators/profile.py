@@ -7,10 +7,11 @@ one task: distinct counts go through a (group, value) pre-aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.session import cut_lineage
 
 
 def corpus_stats_by(df: DataFrame, group: str, unit_id: str, text_col: str,
@@ -59,40 +60,96 @@ def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     return out
 
 
+def distinct_per_column(df: DataFrame) -> DataFrame:
+    """``column`` (number), ``n_distinct`` and ``n_null`` of every column that has rows, exact up to 128-bit hashes.
+
+    One pass: a row becomes a (column, hash of the value) pair per column, null for a null value, so values themselves
+    (texts) never enter a shuffle.  Pairs are combined before the shuffle, and a column's pairs spread over its hashes.
+    """
+    pairs = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        if f.dataType.simpleString() in ("float", "double"):
+            c = c + F.lit(0.0)  # one zero
+        pairs.append(F.struct(F.lit(i).alias("column"), F.unhex(F.md5(c.cast("string").cast("binary"))).alias("h")))
+    seen = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.column", "p.h") \
+        .groupBy("column", "h").agg(F.count(F.lit(1)).alias("n"))
+    return seen.groupBy("column").agg(
+        F.count("h").cast("bigint").alias("n_distinct"),
+        F.coalesce(F.sum(F.when(F.col("h").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_null"),
+        F.sum("n").cast("bigint").alias("n_rows"))
+
+
+def _named_columns(df: DataFrame, kinds: dict[str, str] | None = None) -> Column:
+    """The names (and kinds) of the columns, one row each, as an array."""
+    return F.array(*[F.struct(F.lit(i).alias("column"), F.lit(c).alias("column_name"),
+                              F.lit((kinds or {}).get(c)).cast("string").alias("kind")) for i, c in enumerate(df.columns)])
+
+
 def distinct_counts(df: DataFrame, categorical_below: int = 20) -> DataFrame:
-    """AGG-06: exact distinct values per column, one row per column.
+    """AGG-06: exact distinct values per column, one row per column (0 where there are no rows)."""
+    names = df.sparkSession.range(1).select(F.explode(_named_columns(df)).alias("c")).select("c.*")
+    counts = names.join(distinct_per_column(df), "column", "left") \
+        .select("column_name", F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"))
+    return counts.withColumn("is_categorical", F.col("n_distinct") < categorical_below)
+
+
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def quantiles(df: DataFrame, col: str, at: tuple[float, ...] = QUARTILES, group: str | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation, per group: ``group`` and the array ``q`` (null without values).
 
-    All columns in one aggregate (Spark rewrites multiple DISTINCTs into an
-    Expand + two-level aggregation, partially combined before each shuffle).
+    Distinct values are counted, sorted in ranges over the whole cluster, and given the number of rows before them from
+    running counts within each range and one row per range and group; the ranks that are asked for are then picked.  No
+    task ever holds a group's values.
     """
-    cols = df.columns
-    agg = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
-    stacked = agg.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("n_distinct")) for c in cols
-    ])).alias("s")).select("s.*")
-    return stacked.withColumn("is_categorical", F.col("n_distinct") < categorical_below)
+    g = F.col(f"`{group}`") if group else F.lit(0)
+    values = df.select(g.alias("g"), F.col(f"`{col}`").alias("x")).filter("x IS NOT NULL").groupBy("g", "x") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    ordered = cut_lineage(values.repartitionByRange("g", "x").withColumn("pid", F.spark_partition_id()))
+    running = Window.partitionBy("pid", "g").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    heads = ordered.groupBy("pid", "g").agg(F.sum("n").alias("m"))
+    every = Window.partitionBy("g")
+    heads = heads.select(F.col("pid").alias("hp"), F.col("g").alias("hg"), F.sum("m").over(every).alias("total"),
+                         (F.sum("m").over(every.orderBy("pid")) - F.col("m")).alias("before"))
+    placed = ordered.withColumn("run", F.sum("n").over(running)) \
+        .join(heads, (F.col("pid") == F.col("hp")) & F.col("g").eqNullSafe(F.col("hg"))) \
+        .select("g", F.col("x").cast("double").alias("x"), "total", (F.col("before") + F.col("run") - F.col("n")).alias("a"),
+                (F.col("before") + F.col("run")).alias("b"))
+    picked, parts = [], []
+    for i, p in enumerate(at):
+        place = F.lit(float(p)) * (F.col("total") - 1)
+        for name, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
+            picked.append(F.max(F.when((F.col("a") <= rank) & (rank < F.col("b")), F.col("x"))).alias(f"{name}{i}"))
+        parts.append(F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * (place - F.floor(place)))
+    found = placed.groupBy("g", "total").agg(*picked).select("g", F.array(*parts).alias("q"))
+    return found.select(*([F.col("g").alias(group)] if group else []), "q")
+
+
+def _with_quartiles(df: DataFrame, out: DataFrame, col: str, group: str | None) -> DataFrame:
+    q = quantiles(df, col, QUARTILES, group)
+    if not group:
+        return out.join(q, F.lit(True), "left")
+    return out.join(q.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
 
 
 def describe(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
     """AGG-07: count, mean, sample std, min, exact quartiles (linear interpolation), max."""
     x = F.col(col)
-    q = F.percentile(x, [0.25, 0.5, 0.75])
     aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).cast("double").alias("min"), q.alias("_q"), F.max(x).cast("double").alias("max")]
-    out = df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
+            F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")]
+    out = _with_quartiles(df, df.groupBy(group).agg(*aggs) if group else df.agg(*aggs), col, group)
     return out.select(*([group] if group else []), "count", "mean", "std", "min",
-                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                      F.col("_q")[2].alias("p75"), "max")
+                      F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
 
 
 def five_number(df: DataFrame, col: str, group: str) -> DataFrame:
     """AGG-13: min, quartiles, median, max per group (box-plot inputs)."""
     x = F.col(col)
-    out = df.groupBy(group).agg(F.min(x).cast("double").alias("min"),
-                                F.percentile(x, [0.25, 0.5, 0.75]).alias("_q"),
-                                F.max(x).cast("double").alias("max"))
-    return out.select(group, "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                      F.col("_q")[2].alias("q3"), "max")
+    ends = df.groupBy(group).agg(F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"))
+    return _with_quartiles(df, ends, col, group).select(
+        group, "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -133,13 +190,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     """AGG-14: per column kind (numeric/text), nulls and distinct values; rows and columns."""
     kinds = {f.name: ("numeric" if f.dataType.simpleString().startswith(_NUMERIC) else "text")
              for f in df.schema.fields}
-    cols = df.columns
-    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[(F.count(F.lit(1)) - F.count(F.col(c))).alias(f"_n_{i}") for i, c in enumerate(cols)],
-                 *[F.count_distinct(F.col(c)).alias(f"_d_{i}") for i, c in enumerate(cols)])
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("kind"),
-                 F.col(f"_n_{i}").cast("bigint").alias("n_null"),
-                 F.col(f"_d_{i}").cast("bigint").alias("n_distinct")) for i, c in enumerate(cols)]))
-    return agg.select(rows.alias("s"), F.col("_rows").cast("bigint").alias("n_rows"),
-                      F.lit(len(cols)).cast("bigint").alias("n_columns")).select("s.*", "n_rows", "n_columns")
+    names = df.sparkSession.range(1).select(F.explode(_named_columns(df, kinds)).alias("c")).select("c.*")
+    none = F.lit(0).cast("bigint")
+    return names.join(distinct_per_column(df), "column", "left").select(
+        "column_name", "kind", F.coalesce("n_null", none).alias("n_null"), F.coalesce("n_distinct", none).alias("n_distinct"),
+        F.coalesce("n_rows", none).alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_columns"))
