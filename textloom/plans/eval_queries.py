@@ -10,7 +10,8 @@ from textloom.operators import runs as R
 from textloom.plans import fixtures as FX
 from textloom.plans.registry import query
 from textloom.plans.sqlparts import register_cte, with_ctes
-from textloom.session import Tables
+from textloom.session import Tables, stored_for
+from textloom.sources import sinks
 
 SK = FX.SENT_KEYS
 
@@ -37,12 +38,17 @@ register_cte("board", ("latest",), """
 
 
 def _runs(spark, sf_dir):
-    return FX.runs(Tables(spark, sf_dir).orders)
+    """The stored run log of the orders, written on first use and appended to (nothing new) afterwards."""
+    orders = Tables(spark, sf_dir).orders
+    path = f"{stored_for(orders, 'run-log')}/runs"
+    runs = FX.runs(orders)
+    if sinks.run_log(spark, path) is None:
+        sinks.append_runs(runs, path)
+    return sinks.run_log(spark, path, runs)
 
 
 def _board(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return R.leaderboard(FX.models(t.customer), FX.runs(t.orders), "lm", "pos")
+    return R.leaderboard(FX.models(Tables(spark, sf_dir).customer), _runs(spark, sf_dir), "lm", "pos")
 
 
 @query("latest_run_metric", with_ctes("""

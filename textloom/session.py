@@ -7,6 +7,7 @@ fill gaps, never override what the session already carries.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import tempfile
@@ -109,6 +110,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored_for(df: DataFrame, name: str) -> str:
+    """A folder under the checkpoint folder for what is derived from the files behind ``df`` (told apart by their paths,
+    sizes and times), so that queries over the same files share it."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct().collect()
+    key = hashlib.md5("|".join(sorted(str(tuple(r)) for r in files)).encode()).hexdigest()
+    return f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{key}"
+
+
 class Tables:
     """Attribute access to the driver tables of one scale-factor directory."""
 
