@@ -152,14 +152,19 @@ class ChunkEncoder:
 
     def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of Latin-1 letters are one pre-token each and go straight to the file's model, as it spells bytes."""
-        model, head = self.tokenizer.model.tokenize, len(" ") if self.keeps_space else 0
-        lengths, rest, ids = np.zeros(len(new), dtype=np.int64), [], []
+        model, lengths, rest, ids = self.tokenizer.model.tokenize, np.zeros(len(new), dtype=np.int64), [], []
         for k, chunk in enumerate(new):
-            word = chunk[head:]
-            if not word.isalpha() or (chunk[0] != " " if head else word != word.lower()) or max(word) > "\xff":
+            blank = "\u0120" if self.keeps_space and chunk[:1] == " " else ""
+            word = chunk[1:] if blank else chunk
+            if not word.isalpha() or not self.keeps_space and word != word.lower():
                 rest.append(k)
                 continue
-            found = model(chunk.encode().decode("latin-1").translate(_SPELLED) if head or not word.isascii() else word)
+            if not word.isascii():
+                if max(word) > "\xff":
+                    rest.append(k)
+                    continue
+                word = word.encode().decode("latin-1").translate(_SPELLED)
+            found = model(blank + word)
             lengths[k] = len(found)
             ids += [t.id for t in found]
         others = self._pack([new[k] for k in rest])
@@ -172,6 +177,13 @@ class ChunkEncoder:
         out[is_rest] = list(chain.from_iterable(others))
         return out, lengths
 
+    def counts(self, chunks: list[str]) -> list[int]:
+        """How many ids each chunk has, without remembering it.  (Lower-casing Latin-1 first changes nothing where the
+        file does so.)"""
+        if not self.keeps_space:
+            chunks = [c.lower() if c.isascii() or max(c) <= "\xff" else c for c in chunks]
+        return self._learn(chunks)[1].tolist()
+
     def _marked(self, text: str) -> str | None:
         """The text with a mark wherever it may be cut; None if it has to stay whole."""
         if self.keeps_space:

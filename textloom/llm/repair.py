@@ -32,7 +32,7 @@ SHARD_TOKENS = 1 << 18
 END_ID = 2
 FIRST_RULE = 1 << 17  # above every id of the vocabularies in use
 LEAST = 4  # a pair is replaced where that can be done so often in a shard: a rule takes the room of three symbols
-_BITS = 18  # of the pair counters
+_SYMBOL, _PLACE = 18, 28  # bits of a symbol and a place, where pairs are sorted with their places
 
 BROADCAST_PARTS = 1 << 20  # rows of 12 bytes, one per task that wrote shards
 
@@ -40,10 +40,6 @@ SHARD_SCHEMA = ("part int, shard int, before long, n_tokens long, n_docs long, d
                 "rules binary, low binary, high binary")
 
 
-def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - _BITS)
-
-
 def compress(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """``(rules, symbols)``: rules are rows (left, right, expansion length); rule k is symbol FIRST_RULE + k.
 
@@ -57,14 +53,7 @@ def compress(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarra
     open_ = np.ones(len(seq), dtype=bool)  # places whose pair with the next symbol is to be counted
     while len(seq) > 1:
         open_[-1] = False
-        at = np.flatnonzero(open_)
-        if len(at) > 1 << 14:  # a coarse count first: a pair is at most as frequent as its slot
-            slot = _slots(seq[at], seq[at + 1])
-            at = at[(np.bincount(slot, minlength=1 << _BITS) >= least)[slot]]
-        pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        pairs, number, counts = np.unique(pair, return_inverse=True, return_counts=True)
-        often = counts[number] >= least
-        at, number = at[often], number[often]
+        at, number, pairs, counts = _frequent(seq, np.flatnonzero(open_), least)
         if not len(at):
             break
         weight = np.zeros(len(seq) + 1, dtype=np.int32)
@@ -97,10 +86,37 @@ def compress(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(rules) if rules else np.zeros((0, 3), dtype=np.uint32)), seq
 
 
+def _frequent(seq: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs at the places ``at`` those that occur ``least`` times or more: their places in order, the number of
+    the pair at each, the pairs (left in the upper half), and how often each occurs."""
+    left, right = seq[at].astype(np.uint64), seq[at + 1]
+    if len(seq) >= 1 << _PLACE or not len(at) or int(seq.max()) >= 1 << _SYMBOL:
+        pairs, number, counts = np.unique(left << np.uint64(32) | right, return_inverse=True, return_counts=True)
+        often = counts[number] >= least
+        at, number = at[often], number[often]
+        return at, number, pairs, counts
+    # Symbols and place fit into one integer, so sorting that brings the places of a pair together.
+    key = np.sort((left << np.uint64(_SYMBOL) | right) << np.uint64(_PLACE) | at.astype(np.uint64))
+    both = key >> np.uint64(_PLACE)
+    first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
+    counts = np.diff(first, append=len(key))
+    often = counts >= least
+    first, counts = first[often], counts[often]
+    pairs = both[first]
+    pairs = (pairs >> np.uint64(_SYMBOL) << np.uint64(32)) | (pairs & np.uint64((1 << _SYMBOL) - 1))
+    which = np.zeros(len(seq), dtype=np.int32)
+    taken = np.repeat(often, np.diff(np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1], [True])))))
+    which[(key[taken] & np.uint64((1 << _PLACE) - 1)).astype(np.int64)] = np.repeat(np.arange(1, len(counts) + 1), counts)
+    at = np.flatnonzero(which)
+    return at, which[at] - 1, pairs, counts
+
+
 def _every_other(at: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """In each run of neighbouring places the first, third, ..."""
-    run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-    odd = (np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0
+    if not len(at):
+        return at, number
+    begins = np.concatenate(([True], at[1:] != at[:-1] + 1))
+    odd = (at - np.maximum.accumulate(np.where(begins, at, 0))) % 2 == 0
     return at[odd], number[odd]
 
 
@@ -147,18 +163,18 @@ def expand(rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     if not len(rules):
         return symbols
     sizes = rules[:, 2].astype(np.int64)
-    table, starts = _opened(rules), np.cumsum(sizes) - sizes
+    table, first = _opened(rules), np.cumsum(sizes) - sizes
+    # Where a symbol's ids begin: a rule's in the table, an id's own place behind the table.
     at = np.flatnonzero(symbols >= FIRST_RULE)
     rule = symbols[at].astype(np.int64) - FIRST_RULE
-    widths = np.ones(len(symbols), dtype=np.int64)
-    widths[at] = sizes[rule]
-    out = np.repeat(symbols, widths)
-    # Positions in ``out`` that belong to rules, and their ids in the table.
-    width = sizes[rule]
-    nth = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
-    first = np.cumsum(widths)[at] - width
-    out[np.repeat(first, width) + nth] = table[np.repeat(starts[rule], width) + nth]
-    return out
+    widths, starts = np.ones(len(symbols), dtype=np.int64), np.arange(len(table), len(table) + len(symbols))
+    widths[at], starts[at] = sizes[rule], first[rule]
+    ends = np.cumsum(widths)
+    total = int(ends[-1]) if len(ends) else 0
+    place = np.int32 if len(table) + total < 1 << 31 else np.int64
+    take = np.repeat((starts - ends + widths).astype(place), widths)
+    take += np.arange(total, dtype=place)
+    return np.concatenate([table, symbols])[take]
 
 
 def symbol_ends(rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
