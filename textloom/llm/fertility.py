@@ -1,7 +1,7 @@
 """Quality rules from tokeniser fertility: how a public vocabulary takes a text apart.
 
 Per document: characters per token, share of byte-fallback tokens, and entropy of the tokens in bits, all over the
-tokens of its words by a sentencepiece vocabulary, and characters per token by two more.  Entropy grows with the number of tokens, so what counts is how far it is off the value
+tokens of its words by a sentencepiece vocabulary, and characters per token by a byte-level one, too.  Entropy grows with the number of tokens, so what counts is how far it is off the value
 expected for that number: a parabola in its logarithm, fitted by least squares for each language (or, without one, each
 script).  Each language also has a band per measure: its median and so many robust standard deviations below and above
 (``MEASURES``), wider for short documents, whose measures vary more.  A document outside a band is rejected.  Sums,
@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import MEMORY, KnownIds, in_batches, stored
+from textloom.llm.common import MEMORY, ChunkEncoder, KnownIds, in_batches, stored
 
 LEAST_WORDS = 50
 LEAST_DOCS = 100
 SHORT = 100.0  # words at which the variance of a measure has doubled
-OTHERS = ("word", "byte")  # further vocabularies: one that marks word ends, a byte-level one
+OTHERS = ("byte",)  # further vocabularies: a byte-level one
 # Least deviation, and the band's width in deviations below and above.
 MEASURES = {"chars_per_token": (0.02, 8.0, 8.0), "byte_share": (0.002, 8.0, 8.0), "entropy_off": (0.02, 4.5, 9.0),
             **{f"chars_per_token_{k}": (0.02, 8.0, 8.0) for k in OTHERS}}
@@ -54,20 +54,19 @@ class WordPieces:
     """Pieces of words by a sentencepiece model, and their number by further vocabularies; a bounded memory of words
     already encoded."""
 
-    def __init__(self, path: str, others: tuple[str, ...] = (), most: int = MEMORY):
+    def __init__(self, path: str, others: tuple[tuple[str, bool], ...] = (), most: int = MEMORY):
+        """``others``: files of the ``tokenizers`` library, and whether they keep white space."""
         import sentencepiece
-        from tokenizers import Tokenizer
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.vocab_size())])
-        self.others = [Tokenizer.from_file(p) for p in others]
+        self.others = [ChunkEncoder(p, keeps) for p, keeps in others]
         self.known = KnownIds(self._learn, most, pa.large_binary())
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of each word: how many ids each further vocabulary has for it (after a blank), then its ids."""
         words = [w.decode("utf-8", "replace") for w in new]
         ids = self.model.encode(words, num_threads=1)
-        spaced = [" " + w for w in words]
-        counts = [[len(e) for e in t.encode_batch_fast(spaced, add_special_tokens=False)] for t in self.others]
+        counts = [e.counts([" " + w for w in words] if e.keeps_space else words) for e in self.others]
         rows = [[*c, *i] for *c, i in zip(*counts, ids, strict=True)]
         return np.fromiter(chain.from_iterable(rows), dtype=np.uint32), np.array([len(r) for r in rows], dtype=np.int64)
 
@@ -86,7 +85,7 @@ class WordPieces:
 
 
 @functools.lru_cache(maxsize=1)
-def word_pieces(path: str, others: tuple[str, ...] = ()) -> WordPieces:
+def word_pieces(path: str, others: tuple[tuple[str, bool], ...] = ()) -> WordPieces:
     """The vocabularies that a Python worker used last; tasks of that worker share them."""
     return WordPieces(path, others)
 
@@ -159,7 +158,7 @@ _SCHEMA = {"n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int6
            **{f"chars_per_token_{k}": pa.float64() for k in OTHERS}}
 
 
-def _measure_task(path: str, others: tuple[str, ...], id_col: str, text_col: str, lang_col: str) -> Callable:
+def _measure_task(path: str, others: tuple[tuple[str, bool], ...], id_col: str, text_col: str, lang_col: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = word_pieces(path, others)
         for batch in in_batches(batches, 512, text_col, 1 << 21):
@@ -171,7 +170,7 @@ def _measure_task(path: str, others: tuple[str, ...], id_col: str, text_col: str
     return run
 
 
-def measures(docs: DataFrame, tokenizer_path: str, others: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text",
+def measures(docs: DataFrame, tokenizer_path: str, others: tuple[tuple[str, bool], ...], id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: id, base counts, group and measures."""
     types = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double"}
@@ -245,7 +244,7 @@ def judge(rows: DataFrame, limits: DataFrame) -> DataFrame:
         (~F.col("base_failed") & (F.size("out") == 0)).alias("kept"))
 
 
-def quality(docs: DataFrame, tokenizer_path: str, others: tuple[str, ...], id_col: str = "doc_id",
+def quality(docs: DataFrame, tokenizer_path: str, others: tuple[tuple[str, bool], ...], id_col: str = "doc_id",
             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` judged by a sentencepiece vocabulary and by the characters per token of the further ones (``OTHERS``,
     files of the ``tokenizers`` library)."""

@@ -133,9 +133,9 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_fertility")
 def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.quality(table(spark, sf_dir, "documents"), PIECE_TOKENIZER, (WORD_TOKENIZER, BYTE_TOKENIZER)).select(
+    return fertility.quality(table(spark, sf_dir, "documents"), PIECE_TOKENIZER, ((BYTE_TOKENIZER, True),)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "band_group", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "chars_per_token_word",
+        "band_group", "n_tokens", "chars_per_token", "byte_share", "token_entropy",
         "chars_per_token_byte", "entropy_off", "outside")
 
 
