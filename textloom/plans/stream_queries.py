@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textloom.plans.registry import query
 from textloom.plans.sqlparts import register_cte, tag_sql, trim, with_ctes
 from textloom.session import Tables, ensure_checkpoint_dir
+from textloom.sources.store import Store
 from textloom.streaming import annotation_loop as AL
 from textloom.streaming import feed as FD
 from textloom.streaming import retrain as RT
@@ -34,10 +35,12 @@ def stream_pool(spark, sf_dir):
 
 @query("retrain_status")
 def retrain_status(spark, sf_dir):
-    """STM-06 + STM-04 + WIN-08: the streamed batches retrained, those of a trigger together; status and rows per batch."""
+    """STM-06 + STM-04 + WIN-08: the streamed batches retrained, those of a trigger together (label counts per batch, and
+    the ML-06 tagger refitted and stored); status and rows per batch."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/retrain-{uuid.uuid4().hex}"
     ann, _dead = AL.normalise(FD.read_feed(spark, FD.write_feed(_events(spark, sf_dir), 4)))
-    RT.retrain_stream(AL.pool_stream(ann), base).awaitTermination()
+    store = Store(spark, f"{base}/tagger")
+    RT.retrain_stream(AL.pool_stream(ann), base, train_all=RT.tagger_trainer(store)).awaitTermination()
     status = RT.read_table(spark, base, "status", RT.STATUS)
     rows = RT.read_table(spark, base, "emitted", RT.EMITTED).groupBy(*RT.KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
     return status.join(rows, RT.KEYS).select(*RT.KEYS, "version", "status", "n_rows")
@@ -61,10 +64,10 @@ def stream_label_counts(spark, sf_dir):
 @query("import_events_flatten", with_ctes(f"""
 SELECT * FROM (SELECT conv_id * 1000 + 980 AS event_seq,
                       (row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1)::INTEGER AS sub,
-                      conv_id % 3 AS project, text, 1 AS n_spans, false AS dead
+                      conv_id // 100 AS project, text, 1 AS n_spans, false AS dead
                FROM chat WHERE conv_id % 13 = 0) WHERE {trim('text')} <> ''
 UNION ALL
-SELECT conv_id * 1000 + turn * 2, 0, conv_id % 3, NULL, 0, true
+SELECT conv_id * 1000 + turn * 2, 0, conv_id // 100, NULL, 0, true
 FROM conversations WHERE conv_id % 10 = 5 AND turn = 1 AND role IN ('user', 'assistant')""", "chat"))
 def import_events_flatten(spark, sf_dir):
     """STM-02 on import bundles: first annotation of every imported task, plus dead letters."""
@@ -76,10 +79,10 @@ def import_events_flatten(spark, sf_dir):
     return imp.unionByName(bad)
 
 
-@query("pool_admission", with_ctes(f"""
+_POOL_SQL = f"""
 WITH RECURSIVE ev AS (
-  SELECT conv_id % 3 AS project, conv_id, turn, text,
-         row_number() OVER (PARTITION BY conv_id % 3 ORDER BY conv_id, turn) AS i
+  SELECT conv_id // 100 AS project, conv_id, turn, text,
+         row_number() OVER (PARTITION BY conv_id // 100 ORDER BY conv_id, turn) AS i
   FROM chat WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1) AND {trim('text')} <> ''),
 st AS (
   SELECT DISTINCT project, 0::BIGINT AS i, []::VARCHAR[] AS pool, 0::BIGINT AS next_batch, 0::BIGINT AS batch_id,
@@ -90,7 +93,10 @@ st AS (
          CASE WHEN NOT list_contains(pool, e.text) AND len(pool) >= 24 THEN next_batch + 1 ELSE next_batch END,
          next_batch, NOT list_contains(pool, e.text)
   FROM st JOIN ev e ON e.project = st.project AND e.i = st.i + 1),
-n AS (SELECT project, max(next_batch) AS n FROM st GROUP BY project)
+n AS (SELECT project, max(next_batch) AS n FROM st GROUP BY project)"""
+
+
+@query("pool_admission", with_ctes(_POOL_SQL + """
 SELECT project, conv_id, turn, CASE WHEN admitted AND batch_id < n THEN batch_id END AS batch_id,
        CASE WHEN NOT admitted THEN 'rejected' WHEN batch_id < n THEN 'emitted' ELSE 'pooled' END AS status
 FROM st JOIN ev USING (project, i) JOIN n USING (project)""", "chat"))
@@ -106,3 +112,17 @@ def pool_admission(spark, sf_dir):
         "project", F.floor(F.col("event_seq") / 1000).alias("conv_id"),
         (F.col("event_seq") % 1000 / 2).cast("bigint").alias("turn"), F.when(out, F.col("batch_id")).alias("batch_id"),
         F.when(~F.col("admitted"), "rejected").when(out, "emitted").otherwise("pooled").alias("status"))
+
+
+@query("pool_snapshot", with_ctes(_POOL_SQL + """
+SELECT project, n AS next_batch, row_number() OVER (PARTITION BY project ORDER BY i)::INTEGER AS pos, conv_id, turn, text
+FROM st JOIN ev USING (project, i) JOIN n USING (project) WHERE admitted AND batch_id = n""", "chat"))
+def pool_snapshot(spark, sf_dir):
+    """SNK-07 + STM-05: the rows that wait in the pools after the feed (no control events), read from the query's state."""
+    ev = _events(spark, sf_dir).filter(F.col("event").isin(*AL.COLLECT_EVENTS))
+    ann, _dead = AL.normalise(FD.read_feed(spark, FD.write_feed(ev, 4)))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pool-{uuid.uuid4().hex}"
+    FD.run_available(AL.pool_stream(ann), base=base)
+    return AL.pool_snapshot(spark, f"{base}/checkpoint").select(
+        "project", "next_batch", "pos", F.floor(F.col("event_seq") / 1000).alias("conv_id"),
+        (F.col("event_seq") % 1000 / 2).cast("bigint").alias("turn"), "text")

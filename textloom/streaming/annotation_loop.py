@@ -16,7 +16,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -115,6 +115,7 @@ def _pool_step(threshold: int, force_min: int, report: bool):
             if not report:
                 out.extend((key[0], batch, *r, forced) for r in rows)
 
+        # A project's rows of one trigger, which the feed bounds.
         for r in pd.concat(list(pdfs), ignore_index=True).sort_values(["event_seq", "sub"]).itertuples(index=False):
             if r.event == CLEAR_EVENT:
                 pool.rows = []
@@ -148,6 +149,18 @@ def admission_stream(annotations: DataFrame, threshold: int = POOL_THRESHOLD, fo
         _pool_step(threshold, force_min, True), ADMISSION_OUT, POOL_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def pool_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """SNK-07: what waits in the pools of a (finished or running) query, read from its state with the state data source:
+    project, next_batch, pos (from 1), event_seq, sub, text, label_json."""
+    state = spark.read.format("statestore").load(checkpoint)
+    rows = state.select(F.col("key.project").alias("project"), F.col("value.groupState.*"))
+    # An entry of the stored pool is an array of its four values.
+    entries = F.from_json("pool", "array<array<string>>")
+    one = rows.select("project", "next_batch", F.posexplode(entries).alias("pos", "e"))
+    return one.select("project", "next_batch", (F.col("pos") + 1).alias("pos"), F.col("e")[0].cast("long").alias("event_seq"),
+                      F.col("e")[1].cast("int").alias("sub"), F.col("e")[2].alias("text"), F.col("e")[3].alias("label_json"))
+
+
 def label_counts(annotations: DataFrame) -> DataFrame:
     """STM-08: running count per label over all collected spans (streaming aggregate)."""
     return (annotations.filter(F.col("spans").isNotNull())

@@ -1,16 +1,18 @@
 """Retraining on emitted pool batches (STM-04, STM-06, SNK-07): a ``foreachBatch`` job with a status table.
 
-Everything lives in one folder on the shared file system, as append-only tables:
+Everything lives in one folder on the shared file system:
 
-    emitted/       rows of every batch that left the pool
-    status/        one row per attempt: project, batch_id, version, status ('done' | 'failed'), error
+    emitted/       rows of every batch that left the pool, by trigger
+    pending/       rows of the batches that were not finished at the end of a trigger, by trigger
+    log/           status: one row per attempt (project, batch_id, version, 'done' | 'failed', error), by trigger;
+                   versions: one row per change (project, version, 'new' | 'deleted'); an attempt writes both at once
     corpus/        CoNLL-U files per project and batch
     models/        what the trainer writes, one folder per project and version
-    versions/      one row per change of a version: project, version, status ('kept' | 'deleted' | 'new')
 
-A batch is finished when its status is 'done'.  Until then its rows stay pending and every later trigger (also one
-after a restart) tries them again, so a failed training loses nothing.  A micro-batch that Spark delivers twice adds
-no work, since finished batches are skipped and repeated rows are dropped.
+A batch is finished when its status is 'done'.  Until then its rows are carried from trigger to trigger and tried
+again (also after a restart), so a failed training loses nothing.  A trigger reads its own rows and the pending ones of
+the trigger before, never the history.  A micro-batch that Spark delivers twice overwrites its rows and skips the batches
+that its first delivery finished.
 
 All pending batches of a trigger are trained together, in a fixed number of Spark jobs.  If that fails, each is tried
 alone, so that one bad batch holds up no other.  A trainer that takes one batch at a time (``train``) gets a loop.
@@ -29,7 +31,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators import annotate as A
 from textloom.operators import runs as R
+from textloom.operators import taggers as TG
 from textloom.session import cut_lineage
+from textloom.sources.store import Store
 
 EMITTED = "project long, batch_id long, event_seq long, sub int, text string, label_json string, forced boolean"
 STATUS = "project long, batch_id long, version long, status string, error string"
@@ -40,10 +44,13 @@ KEYS = ["project", "batch_id"]
 SENT = ["project", "batch_id", "event_seq", "sub"]
 
 
-def read_table(spark: SparkSession, base: str, name: str, schema: str) -> DataFrame:
-    """One of the job's tables; empty as long as nothing was written to it."""
-    path = f"{base}/{name}"
-    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+def read_table(spark: SparkSession, base: str, name: str, schema: str, epoch: int | None = None) -> DataFrame:
+    """One of the job's tables (of one trigger, or of all); empty as long as nothing was written to it."""
+    path = f"{base}/log/table={name}" if name in ("status", "versions") else f"{base}/{name}"
+    path += "" if epoch is None else f"/epoch={epoch}"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*[c.split()[0] for c in schema.split(", ")])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -51,10 +58,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def _unfinished(rows: DataFrame, status: DataFrame) -> DataFrame:
+    done = status.filter("status = 'done'").select(*KEYS).distinct()
+    return rows.dropDuplicates(SENT).join(done, KEYS, "left_anti")
+
+
 def pending(spark: SparkSession, base: str) -> DataFrame:
-    """Emitted rows of batches that are not finished."""
-    done = read_table(spark, base, "status", STATUS).filter("status = 'done'").select(*KEYS).distinct()
-    return read_table(spark, base, "emitted", EMITTED).dropDuplicates(SENT).join(done, KEYS, "left_anti")
+    """Emitted rows of batches that are not finished, over the whole history."""
+    return _unfinished(read_table(spark, base, "emitted", EMITTED), read_table(spark, base, "status", STATUS))
+
+
+def due(spark: SparkSession, base: str, epoch: int) -> DataFrame:
+    """What a trigger has to train: its own rows and those that the trigger before left, but for finished batches."""
+    rows = read_table(spark, base, "emitted", EMITTED, epoch) \
+        .unionByName(read_table(spark, base, "pending", EMITTED, epoch - 1))
+    return _unfinished(rows, read_table(spark, base, "status", STATUS, epoch))
+
+
+def _record(base: str, epoch: int, status: DataFrame, versions: DataFrame | None = None) -> None:
+    """Append to both logs in one write, so that neither is there without the other."""
+    rows = status.withColumn("table", F.lit("status"))
+    if versions is not None:
+        rows = rows.unionByName(versions.withColumn("table", F.lit("versions")), allowMissingColumns=True)
+    rows.withColumn("epoch", F.lit(epoch)).write.mode("append").partitionBy("table", "epoch").parquet(f"{base}/log")
 
 
 def labelled_tokens(rows: DataFrame) -> DataFrame:
@@ -115,27 +141,29 @@ def plan_versions(todo: DataFrame, alive: DataFrame, keep_after: int) -> DataFra
     return both.groupBy("project").applyInPandas(plan, PLAN)
 
 
-def retrain_all(spark: SparkSession, base: str, train_all: Callable[[DataFrame, str], None], keep_after: int = 2) -> None:
-    """Try all pending batches together, and each alone if that fails."""
-    rows = cut_lineage(pending(spark, base))
+def retrain_all(spark: SparkSession, base: str, train_all: Callable[[DataFrame, str], None], keep_after: int = 2,
+                epoch: int | None = None) -> None:
+    """Try all batches that a trigger has to train (without one: all pending ones) together, and each alone if that
+    fails."""
+    rows = cut_lineage(pending(spark, base) if epoch is None else due(spark, base, epoch))
+    epoch = -1 if epoch is None else epoch
     todo = rows.select(*KEYS).distinct()
     if todo.isEmpty():
         return
-    error = _attempt(spark, base, rows, train_all, keep_after)
+    error = _attempt(spark, base, epoch, rows, train_all, keep_after)
     if error is None:
         return
     for key in todo.orderBy(*KEYS).collect():
         one = rows.filter((F.col("project") == key["project"]) & (F.col("batch_id") == key["batch_id"]))
-        error = _attempt(spark, base, one, train_all, keep_after)
+        error = _attempt(spark, base, epoch, one, train_all, keep_after)
         if error is not None:
             plan = plan_versions(one.select(*KEYS).distinct(), alive_versions(spark, base), keep_after)
-            plan.filter("status = 'new'").select(*KEYS, "version", F.lit("failed").alias("status"),
-                                                 F.lit(error).alias("error")) \
-                .write.mode("append").parquet(f"{base}/status")
+            _record(base, epoch, plan.filter("status = 'new'").select(
+                *KEYS, "version", F.lit("failed").alias("status"), F.lit(error).alias("error")))
 
 
-def _attempt(spark: SparkSession, base: str, rows: DataFrame, train_all: Callable[[DataFrame, str], None],
-             keep_after: int) -> str | None:
+def _attempt(spark: SparkSession, base: str, epoch: int, rows: DataFrame,
+             train_all: Callable[[DataFrame, str], None], keep_after: int) -> str | None:
     """Corpus, models, versions and status of the batches of ``rows``; what went wrong, if anything."""
     plan = cut_lineage(plan_versions(rows.select(*KEYS).distinct(), alive_versions(spark, base), keep_after))
     new = plan.filter("status = 'new'").select(*KEYS, "version")
@@ -145,18 +173,20 @@ def _attempt(spark: SparkSession, base: str, rows: DataFrame, train_all: Callabl
         train_all(tokens.join(new, KEYS), f"{base}/models")
     except FAILURES as e:
         return _said(e)
-    plan.select("project", "version", "status").write.mode("append").parquet(f"{base}/versions")
-    new.select(*KEYS, "version", F.lit("done").alias("status"), F.lit(None).cast("string").alias("error")) \
-        .write.mode("append").parquet(f"{base}/status")
+    _record(base, epoch, new.select(*KEYS, "version", F.lit("done").alias("status"),
+                                    F.lit(None).cast("string").alias("error")),
+            plan.select("project", "version", "status"))
     return None
 
 
-def retrain_once(spark: SparkSession, base: str, train: Callable[[DataFrame, str], None], keep_after: int = 2) -> None:
-    """Try every pending batch by itself, oldest first; a dozen Spark jobs for each."""
-    todo = pending(spark, base).select(*KEYS).distinct().orderBy(*KEYS).collect()
-    for key in todo:
+def retrain_once(spark: SparkSession, base: str, train: Callable[[DataFrame, str], None], keep_after: int = 2,
+                 epoch: int | None = None) -> None:
+    """Try every batch that is due by itself, oldest first; a dozen Spark jobs for each."""
+    rows = cut_lineage(pending(spark, base) if epoch is None else due(spark, base, epoch))
+    epoch = -1 if epoch is None else epoch
+    for key in rows.select(*KEYS).distinct().orderBy(*KEYS).collect():
         project, batch_id = key["project"], key["batch_id"]
-        rows = pending(spark, base).filter((F.col("project") == project) & (F.col("batch_id") == batch_id))
+        one = rows.filter((F.col("project") == project) & (F.col("batch_id") == batch_id))
         known = alive_versions(spark, base).filter(F.col("project") == project).select("project", F.col("version").cast("string").alias("name")) \
             .unionByName(spark.range(1).select(F.lit(project).cast("long").alias("project"),
                                                F.lit("none").alias("name")))
@@ -164,16 +194,15 @@ def retrain_once(spark: SparkSession, base: str, train: Callable[[DataFrame, str
         version = next(r["version"] for r in plan if r["status"] == "new")
         error = None
         try:
-            tokens = labelled_tokens(rows)
-            write_corpus(tokens, rows, f"{base}/corpus/project={project}/batch={batch_id}")
+            tokens = labelled_tokens(one)
+            write_corpus(tokens, one, f"{base}/corpus/project={project}/batch={batch_id}")
             train(tokens, f"{base}/models/project={project}/v{version}")
         except FAILURES as e:
             error = _said(e)
-        if error is None:
-            changes = [(project, r["version"], r["status"]) for r in plan if r["status"] != "kept"]
-            spark.createDataFrame(changes, VERSIONS).write.mode("append").parquet(f"{base}/versions")
-        spark.createDataFrame([(project, batch_id, version, "failed" if error else "done", error)], STATUS) \
-            .write.mode("append").parquet(f"{base}/status")
+        changes = [(project, r["version"], r["status"]) for r in plan if r["status"] != "kept"]
+        _record(base, epoch, spark.createDataFrame(
+            [(project, batch_id, version, "failed" if error else "done", error)], STATUS),
+            None if error else spark.createDataFrame(changes, VERSIONS))
 
 
 def label_model(tokens: DataFrame, path: str) -> None:
@@ -190,6 +219,23 @@ def label_models(tokens: DataFrame, path: str) -> None:
         .partitionBy("project", "version").parquet(path)
 
 
+def tagger_trainer(store: Store, **options) -> Callable[[DataFrame, str], None]:
+    """ML-06 refitted on what a trigger trains: a new current version of the tagger in ``store`` (which batch scoring
+    loads), beside the label counts of each batch.  Like any fit of that tagger, it counts labels, terms and document
+    frequencies over all rows and fits the regression on a bounded sample of them."""
+
+    def train_all(tokens: DataFrame, path: str) -> None:
+        label_models(tokens, path)
+        in_order = F.array_sort(F.collect_list(F.struct("tok_idx", "form", "label")))
+        sents = tokens.groupBy(*SENT).agg(in_order.alias("t")).select(
+            *SENT, F.lit("train").alias("split"), F.transform("t", lambda x: x["form"]).alias("tokens"),
+            F.transform("t", lambda x: x["label"]).alias("tags"))
+        rows = cut_lineage(TG.token_rows(sents, SENT))
+        TG.save_logreg(store, TG.fit_logreg(rows, **options), path)
+
+    return train_all
+
+
 def retrain_stream(batches: DataFrame, base: str, train: Callable[[DataFrame, str], None] | None = None,
                    keep_after: int = 2, train_all: Callable[[DataFrame, str], None] = label_models) -> StreamingQuery:
     """Run the job over the stream of emitted batches; a restart with the same folder goes on where it was.
@@ -198,12 +244,14 @@ def retrain_stream(batches: DataFrame, base: str, train: Callable[[DataFrame, st
     trigger, told apart by project and version, and the folder of all models.
     """
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("append").parquet(f"{base}/emitted")
+    def sink(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{base}/emitted/epoch={epoch}")
         if train is None:
-            retrain_all(batch.sparkSession, base, train_all, keep_after)
+            retrain_all(spark, base, train_all, keep_after, epoch)
         else:
-            retrain_once(batch.sparkSession, base, train, keep_after)
+            retrain_once(spark, base, train, keep_after, epoch)
+        due(spark, base, epoch).write.mode("overwrite").parquet(f"{base}/pending/epoch={epoch}")
 
     return batches.writeStream.outputMode("append").foreachBatch(sink) \
         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
