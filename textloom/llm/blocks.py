@@ -17,12 +17,13 @@ largest; a group of null ids only keeps the null id.  An empty table gives no ro
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import lower_ascii, stored
+from textloom.llm.common import Scratch, lower_ascii, stored
 
 BLOCK_BYTES = 2048
 HOT_SHARE = 1000
@@ -30,10 +31,10 @@ BUCKETS = 1 << 20
 
 
 def cut_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per block: id, rid (tells rows of one id apart), n_blocks, pos, block; the digest goes with the first."""
+    """One row per block: id, rid (the number of the row), n_blocks, pos, block; the digest goes with the first."""
     text = lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")) \
-        .select("id", F.xxhash64("text").alias("rid"), F.sha2(F.col("text"), 256).alias("sha"),
+        .select("id", F.monotonically_increasing_id().alias("rid"), F.sha2(F.col("text"), 256).alias("sha"),
                 F.col("text").cast("binary").alias("bytes")) \
         .withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.octet_length("bytes") / block_bytes)).cast("int"))
     blocks = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1),
@@ -45,7 +46,7 @@ def cut_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = B
 def named(rows: DataFrame, key: list[str], hot_share: int = HOT_SHARE, least_hot: int = 100) -> DataFrame:
     """``rows`` with ``name`` in place of ``key``: an integer, equal for equal keys and for no others."""
     counts = rows.groupBy(F.xxhash64(*key).alias("h")).count()
-    total = rows.agg(F.count("*").alias("total"))
+    total = counts.agg(F.sum("count").alias("total"))
     hot = counts.join(F.broadcast(total), F.col("count") * hot_share > F.col("total")) \
         .filter(F.col("count") > least_hot).select("h")
     # At most hot_share hashes have that share, so both broadcasts and the one sorted window are bounded.
@@ -66,8 +67,9 @@ def named(rows: DataFrame, key: list[str], hot_share: int = HOT_SHARE, least_hot
 
 
 def text_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: id, sha, n_blocks, name.  Texts are equal when (n_blocks, name) are."""
+               block_bytes: int = BLOCK_BYTES, stored: Callable[[DataFrame], DataFrame] = stored) -> DataFrame:
+    """One row per row of ``docs``: id, sha, n_blocks, name.  Texts are equal when (n_blocks, name) are.  The result reads
+    tables written with ``stored``."""
     first = stored(named(cut_blocks(docs, id_col, text_col, block_bytes), ["block"]))
     done = [first.filter("n_blocks = 1").select("id", "sha", "n_blocks", "name")]
     level = first.filter("n_blocks > 1").groupBy("id", "rid", "n_blocks", "pos").agg(F.min("name").alias("name"))
@@ -92,13 +94,16 @@ def text_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: id_col, keep_id, group_size, kept, text_sha256, n_blocks, name."""
-    rows = stored(text_names(docs, id_col, text_col, block_bytes))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.stored(text_names(docs, id_col, text_col, block_bytes, scratch.stored))
     # Written before the join: then both sides are shuffled for it, and Spark can split a hot group.
-    groups = stored(rows.groupBy("n_blocks", "name").agg(F.max("id").alias("keep_id"),
-                                                         F.count("*").alias("group_size")))
-    return rows.join(groups, ["n_blocks", "name"]).select(
+    groups = scratch.stored(rows.groupBy("n_blocks", "name").agg(F.max("id").alias("keep_id"),
+                                                             F.count("*").alias("group_size")))
+    out = stored(rows.join(groups, ["n_blocks", "name"]).select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.col("sha").alias("text_sha256"), "n_blocks", "name")
+        F.col("sha").alias("text_sha256"), "n_blocks", "name"))
+    scratch.clear()
+    return out
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

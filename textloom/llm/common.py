@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import functools
-import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import cut_lineage, ensure_checkpoint_dir
+from textloom.session import Scratch, cut_lineage  # noqa: F401  (Scratch: for the operators)
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -26,25 +25,6 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-class Scratch:
-    """Tables in the shared checkpoint folder that an operator needs only until its result is stored."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
-        self.count = 0
-
-    def stored(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        df.write.parquet(f"{self.path}/{self.count}")
-        return self.spark.read.parquet(f"{self.path}/{self.count}")
-
-    def clear(self) -> None:
-        """Delete the tables; nothing that is still to run may read them."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def n_words(text: Column) -> Column:
     """Number of words of a text (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

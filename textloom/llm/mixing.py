@@ -21,11 +21,13 @@ length of its longest document, go to one task for the rounding.  Groups of docu
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import n_words, stored
+from textloom.llm.common import Scratch, n_words, stored
 
 WEIGHTS = (3, 1, 2)
 GROUP = 4096  # documents of one (source, size) that are ranked together
@@ -61,7 +63,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def balance(groups: DataFrame, targets: DataFrame, most: float = 2.0, steps: int = 60,
-            close: float = 1e-7) -> DataFrame:
+            close: float = 1e-7, stored: Callable[[DataFrame], DataFrame] = stored) -> DataFrame:
     """``source, lam, scale``: multipliers with which the sources' words come to their targets.
 
     ``groups`` has ``source, size, n`` (sizes over 0).  A source whose target is its cap has no finite multiplier;
@@ -123,17 +125,18 @@ def decisions(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     ``source, size, source_size, target, rate, base, cut``: every document gets ``base`` copies, and one more if its
     hash is at most ``cut``.
     """
-    groups = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
-    targets = stored(source_targets(groups, weights, share, most))
+    scratch = Scratch(rows.sparkSession)
+    groups = scratch.stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
+    targets = scratch.stored(source_targets(groups, weights, share, most))
     sized = groups.filter("size > 0")
-    lam = balance(sized, targets, most)
+    lam = balance(sized, targets, most, stored=scratch.stored)
     rated = sized.join(lam.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))) \
         .select("source", "size", "n",
                 F.least(F.lit(most), F.exp(F.col("lam") * F.col("size") / F.col("scale"))).alias("rate"))
     whole = rated.groupBy("source").applyInPandas(
         lambda g: _round(g, most), "source string, size long, n long, rate double, copies long")
     empty = groups.filter("size = 0").select("source", "size", "n", F.lit(1.0).alias("rate"), F.col("n").alias("copies"))
-    plan = stored(whole.unionByName(empty).withColumn("base", F.floor(F.col("copies") / F.col("n")))
+    plan = scratch.stored(whole.unionByName(empty).withColumn("base", F.floor(F.col("copies") / F.col("n")))
                   .withColumn("extra", F.col("copies") - F.col("base") * F.col("n")))
     # The cut is the extra-th smallest hash.  Hash ranges of about GROUP documents are counted first, so that ranks
     # are only needed within one of them.
@@ -149,10 +152,12 @@ def decisions(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
         .filter((F.col("before") < F.col("extra")) & (F.col("extra") <= F.col("before") + F.col("m"))) \
         .select("a.*", "before").withColumn("rank", rank).filter(F.col("before") + F.col("rank") == F.col("extra")) \
         .select("source", "size", F.col("h").alias("cut"))
-    return stored(plan.alias("p").join(cuts.alias("c"), same("p", "c"), "left")
+    out = stored(plan.alias("p").join(cuts.alias("c"), same("p", "c"), "left")
                   .join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
                   .select("p.source", "p.size", "t.source_size", F.col("t.target").cast("double").alias("target"),
                           "p.rate", "p.base", "c.cut"))
+    scratch.clear()
+    return out
 
 
 def _with_copies(rows: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:

@@ -3,13 +3,14 @@
 Candidates are the spans of the base patterns and of looser ones (local numbers, long numbers with other separators,
 spelled-out addresses, colon-separated network addresses).  Each labeler votes yes, no or not at all:
 
-* regex:      the base pattern matches (its yes is final: base spans always stay); the span stands alone
+* regex:      the span stands alone (that a base pattern matches is known for certain: base spans always stay)
 * validator:  check digit, ranges and lengths
-* gazetteer:  known endings, prefixes and issuer ranges
+* gazetteer:  known domain endings, calling codes and issuer ranges
 * context:    words before the span that announce the kind, or that announce other numbers
 
-Expectation-maximisation estimates how reliable each labeler is from how often votes occur together (a Dawid-Skene
-model over counts of vote patterns, grouped by Spark, in which base spans are known to be personal data).  A logistic
+Expectation-maximisation estimates how reliable each labeler is, for each kind of its own, from how often votes occur
+together (a Dawid-Skene model over counts of vote patterns, grouped by Spark, in which base spans are known to be
+personal data; a kind with few candidates leans on the estimate over all kinds).  A logistic
 classifier on votes, kind and length is then trained on the estimated probabilities, weighted by the same counts,
 and decides which loose candidates count.
 
@@ -50,8 +51,20 @@ _LOOSE_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(
 _LOOSE_IP = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])")
 _LOOSE_CARD = re.compile(r"[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])")
 _LOOSE_PHONE = re.compile(r"[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
-# Gazetteers and cue words, as fixed values.
-ENDINGS = frozenset("com org net edu gov int info biz io co dev app de fr es it uk eu us ca ch at nl be".split())
+# Gazetteers and cue words, as fixed values.  Endings of two letters are country codes, all of them.
+ENDINGS = frozenset("""com org net edu gov int mil info biz name pro aero coop museum mobi jobs travel tel cat asia post
+    app dev cloud online site store shop blog tech xyz club email agency digital media network solutions systems world
+    today life live news group company academy center design studio space website""".split())
+# First digits and lengths of card numbers by issuer range (inclusive, both ends of one width).
+ISSUERS = (("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)),
+           ("37", "37", (15,)), ("6011", "6011", (16, 19)), ("644", "649", (16, 19)), ("65", "65", (16, 19)),
+           ("622126", "622925", (16, 19)), ("300", "305", (14, 16, 19)), ("3095", "3095", (14, 16, 19)),
+           ("36", "36", (14, 16, 19)), ("38", "39", (14, 16, 19)), ("3528", "3589", (16, 19)), ("62", "62", (16, 19)),
+           ("50", "50", (13, 16, 19)), ("56", "58", (13, 16, 19)), ("60", "63", (13, 16, 19)), ("67", "69", (13, 16, 19)))
+# Calling codes: those of one and two digits; of the others the first two digits that open codes of three.
+SHORT_CODES = frozenset("""1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63
+    64 65 66 81 82 84 86 90 91 92 93 94 95 98""".split())
+LONG_CODES = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
 CUES = {
     "email": frozenset("mail email e-mail contact write courriel correo kontakt".split()),
     "ip": frozenset("ip address host server client adresse from dirección".split()),
@@ -62,6 +75,20 @@ OTHER = frozenset("version order isbn invoice serial page section item id no nr
 LABELERS = 5
 
 
+def known_issuer(digits: str) -> bool:
+    return any(low <= digits[:len(low)] <= high and len(digits) in lengths for low, high, lengths in ISSUERS)
+
+
+def known_code(digits: str) -> bool:
+    """Whether an international number begins with a calling code."""
+    return digits[:1] in SHORT_CODES or digits[:2] in SHORT_CODES or digits[:2] in LONG_CODES
+
+
+def known_ending(name: str) -> bool:
+    end = name.rpartition(".")[2].lower()
+    return end in ENDINGS or len(end) == 2 and end.isascii() and end.isalpha()
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -149,18 +176,17 @@ def votes(text: str, kind: int, span: Span) -> list[int]:
     before = [w.strip(".,:;()[]#").lower() for w in text[max(0, a - 40):a].split()[-3:]]
     alone = not (a and (text[a - 1].isalnum() or text[a - 1] in "._-/")) and not (b < len(text) and text[b].isalnum())
     if kind == 0:
-        valid, listed = ".." not in found and not found.startswith("."), found.rpartition(".")[2].lower() in ENDINGS
+        valid, listed = ".." not in found and not found.startswith("."), known_ending(found)
     elif kind == 1:
         head = found.split(".")[0]
         valid = ":" in found or _ip_parts(found)
         listed = 2 if ":" in found else int(head.lstrip("0") or 0) not in (0, 127) and int(head.lstrip("0") or 0) < 224
     elif kind == 2:
         valid = 13 <= len(digits) <= 19 and luhn(digits)
-        listed = digits[:1] == "4" or digits[:2] in ("34", "37", "51", "52", "53", "54", "55", "65") or \
-            digits[:4] == "6011" or "2221" <= digits[:4] <= "2720"
+        listed = known_issuer(digits)
     else:
         valid = 9 <= len(digits) <= 15 and not (len(digits) == 10 and digits[0] in "01")
-        listed = found.startswith(("+1", "+33", "+34", "+49", "+44")) if found.startswith("+") else 2
+        listed = known_code(digits) if found.startswith("+") else 2
     cue = any(w in CUES[KINDS[kind]] for w in before)
     other = any(w in OTHER for w in before)
     return [int(alone), int(valid), int(listed), 1 if cue else 2, 0 if other else 2]
@@ -183,31 +209,48 @@ def unpack(pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rest, np.stack(out[::-1], axis=1), length
 
 
-def estimate(pattern: np.ndarray, n: np.ndarray, known: np.ndarray, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """``(probability of each pattern, reliability[label, labeler, vote])`` by expectation-maximisation.
-
-    ``known`` patterns are personal data for certain.
-    """
-    _, vote, _ = unpack(pattern)
-    # The start: the share of yes votes among the votes cast.
-    cast = (vote != 2).sum(axis=1)
-    p = np.where(known, 1.0, ((vote == 1).sum(axis=1) + 0.5) / (cast + 1))
+def _likelihood(vote: np.ndarray, n: np.ndarray, known: np.ndarray, p: np.ndarray, lean: np.ndarray,
+                steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """EM over the patterns of one kind (or all): probabilities and reliability[label, labeler, vote].  ``lean`` are
+    pseudo-counts of the same shape as the reliabilities."""
     rate = np.zeros((2, LABELERS, 3))
     for _ in range(steps):
         for label, weight in ((0, n * (1 - p)), (1, n * p)):
             for k in range(3):
-                rate[label, :, k] = ((vote == k) * weight[:, None]).sum(axis=0) + 1
+                rate[label, :, k] = ((vote == k) * weight[:, None]).sum(axis=0) + lean[label, :, k]
             rate[label] /= rate[label].sum(axis=1, keepdims=True)
         prior = ((n * p).sum() + 1) / (n.sum() + 2)
         logs = [np.log(rate[label][np.arange(LABELERS), vote]).sum(axis=1) for label in (0, 1)]
         odds = logs[1] - logs[0] + np.log(prior / (1 - prior))
         new = np.where(known, 1.0, 1 / (1 + np.exp(-np.clip(odds, -500, 500))))
-        if np.abs(new - p).max() < 1e-9:
+        if np.abs(new - p).max(initial=0) < 1e-9:
             break
         p = new
     return p, rate
 
 
+LEAN = 10.0  # pseudo-votes per labeler by which a kind leans on the estimate over all kinds
+
+
+def estimate(pattern: np.ndarray, n: np.ndarray, known: np.ndarray, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """``(probability of each pattern, reliability[kind, label, labeler, vote])`` by expectation-maximisation: first over
+    all kinds, then for each kind, starting from there.
+
+    ``known`` patterns are personal data for certain.
+    """
+    kind, vote, _ = unpack(pattern)
+    # The start: the share of yes votes among the votes cast.
+    cast = (vote != 2).sum(axis=1)
+    start = np.where(known, 1.0, ((vote == 1).sum(axis=1) + 0.5) / (cast + 1))
+    p, every = _likelihood(vote, n, known, start, np.ones((2, LABELERS, 3)), steps)
+    p, rates = p.copy(), np.repeat(every[None], len(KINDS), axis=0)
+    for k in range(len(KINDS)):
+        own = kind == k
+        if own.any():
+            p[own], rates[k] = _likelihood(vote[own], n[own], known[own], p[own], LEAN * every, steps)
+    return p, rates
+
+
 def _features(pattern: np.ndarray) -> np.ndarray:
     kind, vote, length = unpack(pattern)
     return np.concatenate([np.ones((len(pattern), 1)), *[(kind == k)[:, None] for k in range(len(KINDS))],
