@@ -296,6 +296,22 @@ def span_labels(df: DataFrame, keys, text_col: str, json_col: str, kind: str = "
                        label.alias("label"))
 
 
+def written_rows(df: DataFrame, order: list[str], text_col: str, json_col: str, variant: str = "labelled") -> DataFrame:
+    """PRJ-14 + WIN-02: the annotation rows that become sentences, with ``sent_id`` from 1 in the order of ``order``.
+
+    ``labelled``: rows with spans and a text; only written rows are counted.  ``texts``: rows with a text; all rows are
+    counted, so numbers may have gaps.
+    """
+    from textloom.operators.sampling import global_rank
+    has_text = T.utrim(F.coalesce(F.col(text_col), F.lit(""))) != ""
+    if variant == "labelled":
+        df = df.filter(has_text & (F.size(_spans_in(F.col(json_col))) > 0))
+    elif variant != "texts":
+        raise ValueError(f"no such variant: {variant}")
+    ranked = global_rank(df, [F.col(c) for c in order], "sent_id")
+    return ranked if variant == "labelled" else ranked.filter(has_text)
+
+
 # ------------------------------------------------------------ labels --
 
 def label_ids(tags: DataFrame, tag_col: str = "upos") -> DataFrame:

@@ -153,3 +153,29 @@ def gold_logprob(positions: DataFrame, keys: list[str], counts: DataFrame, add_k
          .join(tot, ["prev", "next"], "left"))
     p = (F.coalesce(F.col("c"), F.lit(0)) + add_k) / (F.coalesce(F.col("n_ctx"), F.lit(0)) + F.lit(add_k) * v)
     return g.select(*keys, "pos", F.log(p).alias("logp"))
+
+
+MASK = "[MASK]"
+NO_MASK = "the text has no [MASK]"
+
+
+def mask_positions(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """The masks of texts that were written with ``[MASK]``, as fill_mask takes them: keys, pos (word number), prev, next.
+    Row-local; a mask beside a mask has it as its neighbour, which no training context has."""
+    words = F.regexp_extract_all(F.col(text_col), F.lit(r"(\[MASK\]|[\p{L}\p{N}_]+)"), F.lit(1))
+    words = F.transform(words, lambda w: F.when(w == MASK, w).otherwise(F.lower(w)))
+    a = texts.select(*keys, words.alias("_w"))
+    padded = F.concat(F.array(F.lit(BOS)), F.col("_w"), F.array(F.lit(EOS)))
+    a = a.select(*keys, padded.alias("_p"), F.posexplode("_w").alias("_i", "_word")).filter(F.col("_word") == MASK)
+    return a.select(*keys, (F.col("_i") + 1).cast("int").alias("pos"), F.element_at("_p", F.col("_i") + 1).alias("prev"),
+                    F.element_at("_p", F.col("_i") + 3).alias("next"))
+
+
+def fill_texts(texts: DataFrame, keys: list[str], text_col: str, counts: DataFrame, k: int = 5) -> DataFrame:
+    """ML-09 on written texts: keys, pos, rank, filler, score, hint.  A text without ``[MASK]`` (or a null one) gives one
+    row that says so."""
+    filled = fill_mask(mask_positions(texts, keys, text_col), keys, counts, k).withColumn("hint", F.lit(None).cast("string"))
+    plain = texts.filter(~F.contains(F.coalesce(F.col(text_col), F.lit("")), F.lit(MASK))).select(
+        *keys, *[F.lit(None).cast(t).alias(c) for c, t in (("pos", "int"), ("rank", "int"), ("filler", "string"),
+                                                           ("score", "double"))], F.lit(NO_MASK).alias("hint"))
+    return filled.unionByName(plain)

@@ -100,6 +100,33 @@ def seeded_first(df: DataFrame, key_cols: list[str], seed: int, k: Column, bits:
     return F.when(k <= 0, False).when(k >= row_count(df), True).otherwise(F.struct(h, *key_cols) <= last)
 
 
+def head_of_groups(rows: DataFrame, group: str, place: str, fraction: float) -> DataFrame:
+    """SMP-01 for rows that come in groups (lines of documents): the first ``floor(n * fraction)`` rows in the order of
+    (``group``, ``place``).
+
+    Only the groups' sizes are sorted: running counts find the one group in which the head ends, and the rows are then cut
+    where they are.  ``place`` orders the rows of a group, which may have gaps but no ties; groups are not null.
+    """
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    ordered = cut_lineage(sizes.repartitionByRange(group).withColumn("_pid", F.spark_partition_id()))
+    parts = ordered.groupBy("_pid").agg(F.sum("_n").alias("_m"))
+    offsets = parts.select("_pid", (F.sum("_m").over(Window.orderBy("_pid")) - F.col("_m")).alias("_off"),
+                           F.sum("_m").over(Window.partitionBy()).alias("_total"))
+    running = Window.partitionBy("_pid").orderBy(group).rowsBetween(Window.unboundedPreceding, 0)
+    upto = ordered.withColumn("_run", F.sum("_n").over(running)).join(F.broadcast(offsets), "_pid") \
+        .select(group, "_n", (F.col("_off") + F.col("_run")).alias("_upto"),
+                F.floor(F.col("_total") * F.lit(float(fraction))).alias("_k"))
+    last = upto.filter((F.col("_upto") - F.col("_n") < F.col("_k")) & (F.col("_upto") >= F.col("_k"))) \
+        .select(group, (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_left")).first()
+    if last is None:
+        return rows.limit(0)
+    whole = rows.filter(F.col(group) < F.lit(last[group]))
+    if not last["_left"]:
+        return whole
+    cut = rows.filter(F.col(group) == F.lit(last[group])).orderBy(place).limit(last["_left"])
+    return whole.unionByName(cut)
+
+
 def shuffled_fraction(df: DataFrame, key_cols: list[str], fraction: float, seed: int = 42) -> DataFrame:
     """SMP-02: seeded shuffle, then head fraction."""
     k = F.floor(row_count(df) * F.lit(float(fraction)))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import jsonx
 from textloom.operators import metrics as M
+from textloom.operators import profile as P
 from textloom.operators import runs as R
 from textloom.plans import fixtures as FX
 from textloom.plans.registry import query
@@ -73,6 +74,19 @@ _DISPLAY = ", ".join(f"coalesce(printf('%.4f', round_even({c} * 10000.0, 0) / 10
                      for c in R.DISPLAY_COLS)
 
 
+# Model families of the reference's category map stand in for market segments.
+FAMILIES = {"AUTOMOBILE": "from scratch", "BUILDING": "multilingual", "FURNITURE": "distilled", "HOUSEHOLD": "classical"}
+
+
+@query("model_families", f"""
+SELECT CASE {' '.join(f"WHEN c_mktsegment = '{k}' THEN '{v}'" for k, v in FAMILIES.items())} ELSE c_mktsegment END AS family,
+       count(*) AS n_models FROM customer GROUP BY 1""")
+def model_families(spark, sf_dir):
+    """PRJ-20: models per family by the category map; a category that is not in it keeps its name."""
+    models = FX.models(Tables(spark, sf_dir).customer)
+    return models.groupBy(P.recode(F.col("family"), FAMILIES).alias("family")).agg(F.count(F.lit(1)).alias("n_models"))
+
+
 @query("leaderboard_display", with_ctes(f"SELECT model, {_DISPLAY} FROM board", "board"))
 def leaderboard_display(spark, sf_dir):
     """RUN-02 + PRJ-19: rounded (half-even, 4 places) text table with '–' for missing."""

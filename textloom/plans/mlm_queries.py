@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textloom.functions import text as T
 from textloom.operators import maskedlm as ML
 from textloom.operators import metrics as M
 from textloom.plans import fixtures as FX
@@ -118,6 +119,40 @@ def fill_mask_topk(spark, sf_dir):
     return ML.fill_mask(_positions(spark, sf_dir), ["item_id"], _model(spark, sf_dir), 5)
 
 
+@query("fill_mask_texts", with_ctes(f"""
+WITH top3 AS (SELECT prev, next, word AS filler, c / sum(c) OVER (PARTITION BY prev, next) AS score,
+                     row_number() OVER (PARTITION BY prev, next ORDER BY c DESC, word) AS rk FROM bench_tri),
+bi AS (SELECT prev, word, sum(c) AS c FROM ctx_counts WHERE prev IN (SELECT prev FROM bench_pos) GROUP BY prev, word),
+top2 AS (SELECT prev, word AS filler, c / sum(c) OVER (PARTITION BY prev) AS score,
+                row_number() OVER (PARTITION BY prev ORDER BY c DESC, word) AS rk FROM bi),
+uni AS (SELECT word, sum(c) AS c FROM ctx_counts GROUP BY word),
+top1 AS (SELECT word AS filler, c / (SELECT sum(c) FROM uni) AS score, row_number() OVER (ORDER BY c DESC, word) AS rk
+         FROM uni),
+h3 AS (SELECT DISTINCT prev, next, true AS h3 FROM bench_tri),
+h2 AS (SELECT DISTINCT prev, true AS h2 FROM bi),
+n AS (SELECT item_id, max(pos) AS n FROM bench_pos GROUP BY item_id),
+p AS (SELECT b.*, h3.h3, h2.h2 FROM bench_pos b JOIN n USING (item_id) LEFT JOIN h3 USING (prev, next) LEFT JOIN h2 USING (prev)
+      WHERE item_id % 2 = 0 AND pos = n // 2 + 1),
+f AS (SELECT item_id, pos, rk::INTEGER AS rank, filler, score FROM p JOIN top3 USING (prev, next) WHERE h3 AND rk <= 5
+UNION ALL
+SELECT item_id, pos, rk::INTEGER, filler, score FROM p JOIN top2 USING (prev) WHERE h3 IS NULL AND h2 AND rk <= 5
+UNION ALL
+SELECT item_id, pos, rk::INTEGER, filler, score FROM p, top1 WHERE h3 IS NULL AND h2 IS NULL AND rk <= 5)
+SELECT *, NULL::VARCHAR AS hint FROM f
+UNION ALL
+SELECT item_id, NULL, NULL, NULL, NULL, '{ML.NO_MASK}' FROM benchmark WHERE item_id NOT IN (SELECT item_id FROM p)""",
+                                    "bench_tri", "bench_pos", "ctx_counts"))
+def fill_mask_texts(spark, sf_dir):
+    """ML-09 + SRT-02: benchmark texts with [MASK] for their middle word filled, those of every other item; a text without
+    [MASK] gives a hint row."""
+    bench = Tables(spark, sf_dir).benchmark
+    words = T.tokens(F.col("text"), "word")
+    masked = F.array_join(F.transform(words, lambda w, i: F.when(i == F.floor(F.size(words) / 2), ML.MASK).otherwise(w)), " ")
+    texts = bench.select("item_id", F.when((F.col("item_id") % 2 == 0) & (F.size(words) >= 3), masked)
+                         .otherwise(F.col("text")).alias("text"))
+    return ML.fill_texts(texts, ["item_id"], "text", _model(spark, sf_dir), 5)
+
+
 @query("masked_lm_metrics", with_ctes("""
 WITH lv AS (SELECT prev, next, c, count(*) AS m FROM bench_tri GROUP BY prev, next, c),
 ab AS (SELECT prev, next, c, coalesce(sum(m) OVER (PARTITION BY prev, next ORDER BY c DESC

@@ -27,7 +27,7 @@ SELECT doc_id, line_no, text FROM (
 WHERE r <= floor(n * 0.1::DOUBLE)""", "clean_lines"))
 def head_fraction(spark, sf_dir):
     """SMP-01: first 10 % of the non-blank lines in corpus order."""
-    return S.head_fraction(_lines(spark, sf_dir), [F.col("doc_id"), F.col("line_no")], 0.1)
+    return S.head_of_groups(_lines(spark, sf_dir), "doc_id", "line_no", 0.1)
 
 
 @query("shuffled_fraction", with_ctes(f"""
