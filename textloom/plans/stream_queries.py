@@ -25,7 +25,45 @@ def _events(spark, sf_dir):
     return FD.annotation_events(Tables(spark, sf_dir).conversations)
 
 
-@query("stream_pool")
+# Events in the order in which a project's pool takes them: rows, imported rows, trainings, clearings.
+register_cte("pool_events", ("chat",), f"""
+    SELECT *, row_number() OVER (PARTITION BY project ORDER BY event_seq, sub) AS i FROM (
+      SELECT conv_id // 100 AS project, conv_id * 1000 + turn * 2 AS event_seq, 0 AS sub, 'row' AS kind, text,
+             '[{{"start": 0, "end": ' || length(first) || ', "labels": ["' || {tag_sql('first', '1')} ||
+             '"]}}, {{"start": 0, "end": ' || length(text) || ', "labels": ["X"]}}]' AS label_json
+      FROM (SELECT *, regexp_extract(text, '[\\p{{L}}\\p{{N}}_]+|[^\\s]') AS first FROM chat)
+      WHERE role IN ('user', 'assistant') AND NOT (conv_id % 10 = 5 AND turn = 1) AND {trim('text')} <> ''
+      UNION ALL
+      SELECT conv_id // 100, conv_id * 1000 + 980, sub, 'row', text,
+             '[{{"start": 0, "end": ' || length(text) || ', "labels": ["X"]}}]'
+      FROM (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1)::INTEGER AS sub FROM chat
+            WHERE conv_id % 13 = 0) WHERE {trim('text')} <> ''
+      UNION ALL
+      SELECT DISTINCT conv_id // 100, conv_id * 1000 + 990, 0, 'train', NULL, NULL FROM chat WHERE conv_id % 7 = 0
+      UNION ALL
+      SELECT DISTINCT conv_id // 100, conv_id * 1000 + 995, 0, 'clear', NULL, NULL FROM chat WHERE conv_id % 11 = 0)""")
+
+
+_STREAM_SQL = f"""
+WITH RECURSIVE st AS (
+  SELECT DISTINCT project, 0::BIGINT AS i, []::STRUCT(event_seq BIGINT, sub INTEGER, "text" VARCHAR, label_json VARCHAR)[] AS pool,
+         0::BIGINT AS batch_id, []::STRUCT(event_seq BIGINT, sub INTEGER, "text" VARCHAR, label_json VARCHAR)[] AS gone,
+         false AS forced, 0::BIGINT AS next_batch FROM pool_events
+  UNION ALL
+  SELECT project, i, CASE WHEN kind = 'clear' OR goes THEN [] ELSE grown END, next_batch, CASE WHEN goes THEN grown ELSE [] END,
+         kind = 'train', CASE WHEN goes THEN next_batch + 1 ELSE next_batch END
+  FROM (SELECT *, len(grown) >= {AL.POOL_THRESHOLD} OR kind = 'train' AND len(grown) >= {AL.FORCE_MIN} AS goes FROM (
+    SELECT e.project, e.i, e.kind, st.next_batch,
+           CASE WHEN e.kind = 'row' AND NOT list_contains(list_transform(pool, lambda p: p."text"), e.text)
+                THEN list_append(pool, struct_pack(event_seq := e.event_seq, sub := e.sub, "text" := e.text,
+                                                   label_json := e.label_json)) ELSE pool END AS grown
+    FROM st JOIN pool_events e ON e.project = st.project AND e.i = st.i + 1)))
+"""
+
+
+@query("stream_pool", with_ctes(_STREAM_SQL + """
+SELECT project, batch_id, r.event_seq, r.sub, r."text" AS text, r.label_json, forced
+FROM (SELECT project, batch_id, forced, unnest(gone) AS r FROM st)""", "pool_events"))
 def stream_pool(spark, sf_dir):
     """STM-01..05: the event feed streamed through the per-project pool; one row per emitted example."""
     path = FD.write_feed(_events(spark, sf_dir), 4)
@@ -33,7 +71,9 @@ def stream_pool(spark, sf_dir):
     return FD.run_available(AL.pool_stream(ann))
 
 
-@query("retrain_status")
+@query("retrain_status", with_ctes(_STREAM_SQL + """
+SELECT project, batch_id, batch_id + 1 AS version, 'done' AS status, len(gone) AS n_rows FROM st WHERE len(gone) > 0""",
+                                   "pool_events"))
 def retrain_status(spark, sf_dir):
     """STM-06 + STM-04 + WIN-08: the streamed batches retrained, those of a trigger together (label counts per batch, and
     the ML-06 tagger refitted and stored); status and rows per batch."""
