@@ -59,3 +59,10 @@ def test_values_stay_out_of_shuffles(spark):
         assert "Expand" not in plan
         blocks = [b for b in plan.split("\n\n") if ") Exchange" in b]
         assert blocks and not any("words" in b for b in blocks)
+
+
+def test_estimated_words_by_the_columns_at_hand(spark):
+    df = spark.createDataFrame([(100, 2), (None, 3), (None, None)], "word_count long, pages long")
+    read = lambda d: [r[0] for r in d.select(P.estimated_words(d)).collect()]
+    assert read(df) == [100, 900, None] and read(df.drop("pages")) == [100, None, None]
+    assert read(df.drop("word_count")) == [600, 900, None] and read(df.select("pages").withColumnRenamed("pages", "p")) == [None] * 3
