@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.session import cut_lineage, ensure_checkpoint_dir
@@ -10,6 +10,7 @@ from textloom.streaming import annotation_loop as AL
 
 PROJECT_CONVERSATIONS = 100
 ROWS_PER_CHUNK = 200_000
+CHUNKS, FILES_PER_CHUNK = 4, 8  # at least, at most
 SEQ_STEP = 1000  # events of one conversation stay in one chunk
 
 
@@ -31,10 +32,10 @@ def annotation_events(conversations: DataFrame) -> DataFrame:
     """
     from textloom.plans.fixtures import tag_rule
     project = F.floor(F.col("conv_id") / PROJECT_CONVERSATIONS)
-    first_text = conversations.groupBy("conv_id").agg(F.min_by("text", "turn").alias("first_text"))
-    c = conversations.join(first_text, "conv_id").withColumn("text", F.when(
-        (F.col("conv_id") % 4 == 1) & (F.col("turn") >= 2), F.col("first_text")).otherwise(F.col("text"))) \
-        .drop("first_text")
+    # A window, no join: Spark would broadcast the first texts by the size of their compressed file.
+    first_text = F.min_by("text", "turn").over(Window.partitionBy("conv_id"))
+    c = conversations.filter(F.col("conv_id").isNotNull()).withColumn("_first", first_text).withColumn("text", F.when(
+        (F.col("conv_id") % 4 == 1) & (F.col("turn") >= 2), F.col("_first")).otherwise(F.col("text"))).drop("_first")
     first = F.regexp_extract("text", r"[\p{L}\p{N}_]+|[^\s]", 0)
     spans = F.array(_span(F.lit(0), F.length(first), tag_rule(first, F.lit(1))),
                     _span(F.lit(0), F.length("text"), F.lit("X")))
@@ -65,7 +66,7 @@ def annotation_events(conversations: DataFrame) -> DataFrame:
     return out.select(F.col("event_seq").cast("long"), F.col("project").cast("long"), "event", "payload")
 
 
-def write_feed(events: DataFrame, chunks: int = 4, rows: int = ROWS_PER_CHUNK) -> str:
+def write_feed(events: DataFrame, chunks: int = CHUNKS, rows: int = ROWS_PER_CHUNK) -> str:
     """Write the events as successive Parquet appends (arrival order by event_seq) into a fresh folder under
     ``spark.checkpoint.dir``; returns the folder.  There are ``chunks`` of them, or more where the table is larger: none
     covers much over ``rows`` events, so a project's share of one is bounded, too.
@@ -83,12 +84,21 @@ def write_feed(events: DataFrame, chunks: int = 4, rows: int = ROWS_PER_CHUNK) -
         part = part if low is None else part.filter(F.col("event_seq") >= low)
         part = part if high is None else part.filter(F.col("event_seq") < high)
         # A project's events of a chunk share a file, so they arrive in order; projects are written in parallel.
-        part.repartition("project").sortWithinPartitions("event_seq").write.mode("append").parquet(path)
+        part.repartition(FILES_PER_CHUNK, "project").sortWithinPartitions("event_seq").write.mode("append").parquet(path)
     return path
 
 
-def read_feed(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """SRC-13: the event feed as a stream (file source; Kafka would slot in here)."""
+def read_feed(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """SRC-13: the event feed as a stream (file source; Kafka would slot in here).
+
+    By default a trigger takes about a chunk (``ROWS_PER_CHUNK`` events), and there are at least ``CHUNKS`` triggers
+    where there are as many files: each has a cost of its own, whatever it reads.  Files come in the order in which they
+    were written, so a trigger that ends inside a chunk leaves every project's order as it is.
+    """
+    if files_per_trigger is None:
+        fed = spark.read.schema(AL.EVENT_SCHEMA).parquet(path)
+        triggers = max(CHUNKS, -(-fed.count() // ROWS_PER_CHUNK))
+        files_per_trigger = max(1, -(-len(fed.inputFiles()) // triggers))
     return (spark.readStream.schema(AL.EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
             .parquet(path))
 
