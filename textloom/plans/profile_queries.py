@@ -70,8 +70,9 @@ def head_per_split(spark, sf_dir):
 
 
 def _tags_by_split(spark, sf_dir):
-    toks_ = FX.tagged_tokens(Tables(spark, sf_dir).documents).join(doc_splits(spark, sf_dir), "doc_id")
-    return toks_.groupBy("split", "upos").agg(F.count(F.lit(1)).alias("n"))
+    # Splits meet a document's counts, not its tokens.
+    counts = FX.tagged_tokens(Tables(spark, sf_dir).documents).groupBy("doc_id", "upos").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(doc_splits(spark, sf_dir), "doc_id").groupBy("split", "upos").agg(F.sum("n").alias("n"))
 
 
 @query("label_union", with_ctes("""
