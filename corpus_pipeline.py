@@ -18,18 +18,7 @@ from pyspark.sql import functions as F
 from textloom.llm import blocks, langid, mixing, neardup, packing
 from textloom.llm.common import stored
 from textloom.llm.queries import WORD_TOKENIZER
-from textloom.session import table
-
-BATCH_ROWS = 1000  # texts that Spark hands to a Python worker at a time, unless the session asks for fewer
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound what a task holds of the texts on their way to and from Python: Spark's 10,000 rows a batch are made for
-    short rows, and several stages share the executors' memory."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
-        spark.conf.set(setting, str(BATCH_ROWS))
-
+from textloom.session import small_batches, table
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)

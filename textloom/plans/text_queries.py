@@ -9,7 +9,7 @@ from textloom.operators import annotate, profile
 from textloom.plans import fixtures as FX
 from textloom.plans.registry import query
 from textloom.plans.sqlparts import lit, toks, trim, with_ctes
-from textloom.session import Tables
+from textloom.session import Tables, small_batches
 
 DIGIT_LINE_SPARK = r"(?md)^\p{Nd}[^\n]*\n?"
 DIGIT_LINE_RE2 = r"(?m)^\p{Nd}[^\n]*\n?"
@@ -61,12 +61,14 @@ def keep_digit_sentences(spark, sf_dir):
 @query("html_to_text", f"SELECT page_id, {_html_sql('html', False)} AS text FROM pages")
 def html_to_text(spark, sf_dir):
     """STR-03: page HTML → concatenated visible text."""
+    small_batches(spark)
     return Tables(spark, sf_dir).pages.select("page_id", T.html_to_text(F.col("html")).alias("text"))
 
 
 @query("html_text_joined", f"SELECT page_id, {_html_sql('html', True)} AS text FROM pages")
 def html_text_joined(spark, sf_dir):
     """STR-04: page HTML → stripped text nodes joined by a space."""
+    small_batches(spark)
     return Tables(spark, sf_dir).pages.select("page_id", T.html_text_joined(F.col("html")).alias("text"))
 
 
@@ -171,6 +173,7 @@ SELECT p.host, p.n_pages, coalesce(s.n_sentences, 0)::BIGINT AS n_sentences,
 FROM pstat p LEFT JOIN sstat s USING (host) LEFT JOIN wstat w USING (host)""")
 def host_corpus_stats(spark, sf_dir):
     """Flagship: pages → STR-04 → PRJ-04 → TOK-B → AGG-08/09/10 per host."""
+    small_batches(spark)
     pages = Tables(spark, sf_dir).pages.select(
         "page_id", F.regexp_extract("url", HOST_RE, 1).alias("host"),
         T.html_text_joined(F.col("html")).alias("text"))
