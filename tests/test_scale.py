@@ -118,3 +118,18 @@ def test_search_is_exact(spark):
     for i in range(0, 61, 4):
         order = sorted((j for j in range(61) if j != i), key=lambda j: (-s[i, j], j))[:3]
         assert [r["other_id"] for r in got if r["id"] == i] == order
+
+
+def test_ngrams_read_words_in_place(spark):
+    df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "w array<string>")
+    for n, want in ((2, [["a b", "b c"], [], []]), (3, [["a b c"], [], []])):
+        got = df.select(A.ngrams(F.col("w"), n).alias("g"))
+        assert "slice(" not in plan_of(got)
+        assert [r["g"] for r in got.collect()] == want
+
+
+def test_written_sheets_are_compressed(spark):
+    from textloom.plans import annotate_queries as Q
+    from .conftest import SMALL
+    path = Q._written(spark, SMALL).removeprefix("file:")
+    assert glob.glob(f"{path}/part-*") and not glob.glob(f"{path}/part-*.txt")
