@@ -9,7 +9,7 @@ from textloom.operators import annotate, profile
 from textloom.plans import fixtures as FX
 from textloom.plans.registry import query
 from textloom.plans.sqlparts import lit, toks, trim, with_ctes
-from textloom.session import Tables, small_batches
+from textloom.session import Tables, small_batches, spread
 
 DIGIT_LINE_SPARK = r"(?md)^\p{Nd}[^\n]*\n?"
 DIGIT_LINE_RE2 = r"(?m)^\p{Nd}[^\n]*\n?"
@@ -150,7 +150,7 @@ WINDOW w AS (PARTITION BY doc_id, line_no ORDER BY tok_idx ROWS BETWEEN UNBOUNDE
                                   "acc_lines"))
 def token_offsets(spark, sf_dir):
     """WIN-06 + TOK-D: annotation tokens of each line with character offsets."""
-    lines = FX.accented_lines(Tables(spark, sf_dir).documents)
+    lines = FX.accented_lines(spread(Tables(spark, sf_dir).documents.select("doc_id", "text"), "doc_id"))
     lines = lines.select("doc_id", "line_no", T.utrim(F.col("raw")).alias("text"))
     return annotate.token_offsets(lines, ["doc_id", "line_no"], "text", "annot")
 
