@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.session import cut_lineage
+
+MOST_KEYS = 500_000  # keys of an index that is sent to every task, some 50 bytes each
 
 
 def invert(entries: DataFrame, order_cols: list[str]) -> DataFrame:
@@ -41,16 +44,21 @@ def fold_index(inverted: DataFrame) -> DataFrame:
             .select("folded", "entry_no", "haw", "eng"))
 
 
-def lookup_counts(tokens: DataFrame, index: DataFrame, doc_key: str, token_col: str) -> DataFrame:
+def lookup_counts(tokens: DataFrame, index: DataFrame, doc_key: str, token_col: str, most_keys: int = MOST_KEYS
+                  ) -> DataFrame:
     """JOIN-05: per document, tokens, tokens with a lexicon entry, and entries found.
 
-    Tokens are folded the same way as the index keys and pre-aggregated per
-    (document, key) before the join; the index is reduced to one row per key.
-    AQE picks broadcast (index under the threshold) or a skew-aware shuffle join.
+    Tokens are folded the same way as the index keys; the index is reduced to one row per key and stored.  Up to
+    ``MOST_KEYS`` keys go to every task, and tokens are counted where they are cut.  Beyond, tokens are pre-aggregated
+    per (document, key) and meet the keys in a skew-aware shuffle join.
     """
-    keyed = (tokens.select(doc_key, T.fold_diacritics(T.normalize_okina(F.col(token_col))).alias("folded"))
-             .groupBy(doc_key, "folded").agg(F.count(F.lit(1)).alias("c")))
-    per_key = index.groupBy("folded").agg(F.count(F.lit(1)).alias("n_entries"))
+    keyed = tokens.select(doc_key, T.fold_diacritics(T.normalize_okina(F.col(token_col))).alias("folded"))
+    per_key = cut_lineage(index.groupBy("folded").agg(F.count(F.lit(1)).alias("n_entries")))
+    if per_key.count() <= most_keys:
+        keyed, per_key = keyed.withColumn("c", F.lit(1)), F.broadcast(per_key)
+    else:
+        keyed = keyed.groupBy(doc_key, "folded").agg(F.count(F.lit(1)).alias("c"))
+        per_key = per_key.hint("shuffle_merge")
     j = keyed.join(per_key, "folded", "left")
     return j.groupBy(doc_key).agg(
         F.sum("c").cast("bigint").alias("n_tokens"),

@@ -9,7 +9,7 @@ from textloom.operators import lexicon as L
 from textloom.plans import fixtures as FX
 from textloom.plans.registry import query
 from textloom.plans.sqlparts import toks, with_ctes
-from textloom.session import Tables
+from textloom.session import Tables, spread
 
 
 def _inverted(spark, sf_dir):
@@ -42,7 +42,7 @@ SELECT doc_id, count(*)::BIGINT AS n_tokens, count(idx.folded)::BIGINT AS n_matc
 FROM tk LEFT JOIN idx USING (folded) GROUP BY doc_id""", "lex_inv", "acc_docs"))
 def lexicon_lookup(spark, sf_dir):
     """JOIN-05: pre-tokenised document words looked up by folded key."""
-    docs = Tables(spark, sf_dir).documents
+    docs = spread(Tables(spark, sf_dir).documents.select("doc_id", "text"), "doc_id")
     index = L.fold_index(L.invert(FX.lexicon_entries(docs), ["doc_id", "line_no", "pos"]))
     tokens = FX.accented_docs(docs).select("doc_id", F.explode(T.tokens(F.col("text"), "pretok")).alias("tok"))
     return L.lookup_counts(tokens, index, "doc_id", "tok")
