@@ -1,10 +1,14 @@
 """The stored tagger: what is loaded predicts as what was fitted; weights stand for repeated rows; retraining refits it."""
 
 import random
+import threading
 
+import pytest
 from pyspark.sql import functions as F
 
+from textloom.operators import annotate as A
 from textloom.operators import taggers as TG
+from textloom.session import at_once
 from textloom.sources.store import Store
 from textloom.streaming import retrain as RT
 
@@ -79,3 +83,58 @@ def test_a_trigger_reads_its_own_and_pending_rows_only(spark, tmp_path):
     emit(2, [4])
     trigger(2)
     assert seen[4:] == [[4]] and RT.pending(spark, d).count() == 0
+
+
+def emit(spark, d, n, project=1):
+    label = '[{"start": 0, "end": 2, "labels": ["NOUN"]}]'
+    spark.createDataFrame([(project, b, b, 0, f"w{b} x", label, False) for b in range(n)], RT.EMITTED).write.parquet(f"{d}/emitted")
+
+
+def test_one_bad_batch_costs_few_attempts(spark, tmp_path):
+    d, seen = str(tmp_path), []
+    emit(spark, d, 8)
+
+    def train_all(tokens, path):
+        seen.append(sorted({r["batch_id"] for r in tokens.select("batch_id").collect()}))
+        if 5 in seen[-1]:
+            raise ValueError("no luck")
+
+    RT.retrain_all(spark, d, train_all)
+    assert seen == [[*range(8)], [0, 1, 2, 3], [4, 5, 6, 7], [4, 5], [4], [5], [6, 7]]
+    status = RT.read_table(spark, d, "status", RT.STATUS).collect()
+    assert sorted((r["batch_id"], r["version"], r["status"]) for r in status) == [
+        *((b, b + 1, "done") for b in range(5)), (5, 6, "failed"), (6, 6, "done"), (7, 7, "done")]
+    assert {r["batch_id"] for r in RT.pending(spark, d).collect()} == {5}
+
+
+def test_counts_are_written_while_the_tagger_is_fitted(spark, tmp_path, monkeypatch):
+    d, both = str(tmp_path), threading.Barrier(2, timeout=60)
+    emit(spark, d, 2)
+
+    def meet(f):
+        def met(*args, **options):
+            both.wait()
+            return f(*args, **options)
+        return met
+
+    monkeypatch.setattr(RT, "label_models", meet(RT.label_models))
+    monkeypatch.setattr(TG, "fit_logreg", meet(TG.fit_logreg))
+    store = Store(spark, f"{d}/tagger")
+    RT.retrain_all(spark, d, RT.tagger_trainer(store, max_features=2, most_rows=3))
+    assert sorted((r["batch_id"], r["status"]) for r in RT.read_table(spark, d, "status", RT.STATUS).collect()) == [
+        (0, "done"), (1, "done")]
+    assert A.read_conllu(spark, f"{d}/corpus/project=1/batch=1").count() == 2
+    assert spark.read.parquet(f"{d}/models").count() == 4
+    assert store.current() == 1 and len(TG.load_logreg(store)[0].stages[1].vocabulary) == 2
+
+
+def test_steps_at_once_all_end_before_an_error(spark):
+    ended = []
+
+    def bad():
+        raise ValueError("no luck")
+
+    assert at_once(spark, lambda: 1, lambda: spark.range(2).count()) == [1, 2]
+    with pytest.raises(ValueError, match="no luck"):
+        at_once(spark, bad, lambda: ended.append(spark.range(3).count()))
+    assert ended == [3]

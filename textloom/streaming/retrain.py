@@ -14,8 +14,9 @@ again (also after a restart), so a failed training loses nothing.  A trigger rea
 the trigger before, never the history.  A micro-batch that Spark delivers twice overwrites its rows and skips the batches
 that its first delivery finished.
 
-All pending batches of a trigger are trained together, in a fixed number of Spark jobs.  If that fails, each is tried
-alone, so that one bad batch holds up no other.  A trainer that takes one batch at a time (``train``) gets a loop.
+All pending batches of a trigger are trained together, in a fixed number of Spark jobs.  If that fails, each half of them
+is tried, down to single batches, so that one bad batch holds up no other and a few cost few attempts.  A trainer that
+takes one batch at a time (``train``) gets a loop.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from textloom.operators import annotate as A
 from textloom.operators import runs as R
 from textloom.operators import taggers as TG
-from textloom.session import cut_lineage
+from textloom.session import at_once, cut_lineage
 from textloom.sources.store import Store
 
 EMITTED = "project long, batch_id long, event_seq long, sub int, text string, label_json string, forced boolean"
@@ -143,25 +144,36 @@ def plan_versions(todo: DataFrame, alive: DataFrame, keep_after: int) -> DataFra
 
 def retrain_all(spark: SparkSession, base: str, train_all: Callable[[DataFrame, str], None], keep_after: int = 2,
                 epoch: int | None = None) -> None:
-    """Try all batches that a trigger has to train (without one: all pending ones) together, and each alone if that
-    fails."""
+    """Try all batches that a trigger has to train (without one: all pending ones) together, and if that fails, those of
+    the first half and those of the second, and so on; a batch that fails alone is recorded as failed."""
     rows = cut_lineage(pending(spark, base) if epoch is None else due(spark, base, epoch))
     epoch = -1 if epoch is None else epoch
     todo = rows.select(*KEYS).distinct()
     if todo.isEmpty():
         return
-    error = _attempt(spark, base, epoch, rows, train_all, keep_after)
-    if error is None:
+    if _attempt(spark, base, epoch, rows, train_all, keep_after) is None:
         return
-    for key in todo.orderBy(*KEYS).collect():
-        one = rows.filter((F.col("project") == key["project"]) & (F.col("batch_id") == key["batch_id"]))
-        error = _attempt(spark, base, epoch, one, train_all, keep_after)
-        if error is not None:
-            plan = plan_versions(one.select(*KEYS).distinct(), alive_versions(spark, base), keep_after)
+    keys = [(r["project"], r["batch_id"]) for r in todo.orderBy(*KEYS).collect()]
+    left = _halves(keys) or [keys]
+    while left:
+        some = left.pop(0)
+        low, high = (F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(KEYS, key, strict=True)])
+                     for key in (some[0], some[-1]))
+        part = rows.filter(F.struct(*KEYS).between(low, high))
+        error = _attempt(spark, base, epoch, part, train_all, keep_after)
+        if error is not None and len(some) > 1:
+            left = _halves(some) + left  # oldest first
+        elif error is not None:
+            plan = plan_versions(part.select(*KEYS).distinct(), alive_versions(spark, base), keep_after)
             _record(base, epoch, plan.filter("status = 'new'").select(
                 *KEYS, "version", F.lit("failed").alias("status"), F.lit(error).alias("error")))
 
 
+def _halves(keys: list) -> list[list]:
+    half = len(keys) // 2
+    return [keys[:half], keys[half:]] if half else []
+
+
 def _attempt(spark: SparkSession, base: str, epoch: int, rows: DataFrame,
              train_all: Callable[[DataFrame, str], None], keep_after: int) -> str | None:
     """Corpus, models, versions and status of the batches of ``rows``; what went wrong, if anything."""
@@ -213,9 +225,11 @@ def label_model(tokens: DataFrame, path: str) -> None:
 
 
 def label_models(tokens: DataFrame, path: str) -> None:
-    """``label_model`` of many batches, one folder per project and version."""
+    """``label_model`` of many batches, one folder per project and version.  All cores but one write them; the last is for
+    the jobs of a fit that runs meanwhile, which would else wait for all files."""
+    tasks = max(1, tokens.sparkSession.sparkContext.defaultParallelism - 1)
     tokens.groupBy("project", "version", F.lower("form").alias("form"), "label").agg(F.count(F.lit(1)).alias("n")) \
-        .repartition("project", "version").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .repartition(tasks, "project", "version").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("project", "version").parquet(path)
 
 
@@ -225,13 +239,18 @@ def tagger_trainer(store: Store, **options) -> Callable[[DataFrame, str], None]:
     frequencies over all rows and fits the regression on a bounded sample of them."""
 
     def train_all(tokens: DataFrame, path: str) -> None:
-        label_models(tokens, path)
+        spark = tokens.sparkSession
         in_order = F.array_sort(F.collect_list(F.struct("tok_idx", "form", "label")))
         sents = tokens.groupBy(*SENT).agg(in_order.alias("t")).select(
             *SENT, F.lit("train").alias("split"), F.transform("t", lambda x: x["form"]).alias("tokens"),
             F.transform("t", lambda x: x["label"]).alias("tags"))
         rows = cut_lineage(TG.token_rows(sents, SENT))
-        TG.save_logreg(store, TG.fit_logreg(rows, **options), path)
+        most_terms, ngram = (options.get(k, TG.BASE[k]) for k in ("max_features", "ngram"))
+        # The iterations of the fit are jobs of one task each, so the files of the counts are written beside them.
+        corpus, sample = at_once(spark, lambda: TG.corpus_features(rows, ngram, most_terms),
+                                 lambda: cut_lineage(TG.labelled_sample(rows, options.get("most_rows", TG.MOST_ROWS))))
+        at_once(spark, lambda: label_models(tokens, path), lambda: TG.save_logreg(
+            store, TG.fit_logreg(rows, corpus=corpus, sample=sample, **options), path))
 
     return train_all
 
