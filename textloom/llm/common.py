@@ -224,6 +224,6 @@ def odd_stop(text: str) -> bool:
 
 
 @functools.lru_cache(maxsize=1)
-def chunk_encoder(path: str, keeps_space: bool) -> ChunkEncoder:
+def chunk_encoder(path: str, keeps_space: bool, most: int = MEMORY) -> ChunkEncoder:
     """The encoder that a Python worker used last; tasks of that worker share it."""
-    return ChunkEncoder(path, keeps_space)
+    return ChunkEncoder(path, keeps_space, most)

@@ -15,11 +15,13 @@ Each task encodes its documents and packs them in bounded rounds, without moving
 
 Defined results.  A null text is empty: its document is the end id alone.  Documents of equal id (or null ids) are
 packed separately, one per row.  A text of any length is encoded whole.  An empty table gives no rows.
-Other columns are ignored.  Memory: a round holds ``ROUND_TOKENS`` tokens and one document at most.
+Other columns are ignored.  Memory: a round holds ``ROUND_TOKENS`` tokens and one document at most; about
+``ENCODE_BYTES`` of text are encoded at a time, and a Python worker remembers ``KNOWN_BYTES`` of chunks between them.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -35,6 +37,8 @@ from textloom.llm.common import chunk_encoder, in_batches
 SIZES = (256, 512, 1024, 2048, 4096)  # window sizes, powers of two
 ROUND_TOKENS = 1 << 19
 STEP_TOKENS = 1 << 16
+ENCODE_BYTES = 1 << 19
+KNOWN_BYTES = 8 << 20
 END_ID = 2
 
 Piece = tuple[int, int, int]  # document of the round, start, length
@@ -143,17 +147,20 @@ def _pack_task(id_col: str, text_col: str, tokenizer_path: str, sizes: tuple[int
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(tokenizer_path, keeps_space=False)
+        # A task has one core: threads of the library would only keep memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        encoder = chunk_encoder(tokenizer_path, keeps_space=False, most=KNOWN_BYTES)
         base = TaskContext.get().partitionId() << part_bits
         end = np.array([END_ID], dtype="<u4").tobytes()
         packer, docs, windows, held, number, step = Packer(sizes), [], [], 0, 0, 0
         for part in in_batches(batches, 8192, text_col, 1 << 21):
-            ids = part.column(part.schema.get_field_index(id_col)).to_pylist()
-            texts = [t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
-            for doc_id, got in zip(ids, encoder.encode(texts), strict=True):
-                docs.append((doc_id, got + end))
-                windows += packer.add(len(docs) - 1, len(got) // 4 + 1)
-                held += len(got) // 4 + 1
+            for few in in_batches(iter([part]), 8192, text_col, ENCODE_BYTES):
+                ids = few.column(few.schema.get_field_index(id_col)).to_pylist()
+                texts = [t or "" for t in few.column(few.schema.get_field_index(text_col)).to_pylist()]
+                for doc_id, got in zip(ids, encoder.encode(texts), strict=True):
+                    docs.append((doc_id, got + end))
+                    windows += packer.add(len(docs) - 1, len(got) // 4 + 1)
+                    held += len(got) // 4 + 1
             if held < round_tokens:
                 continue
             windows += packer.windows()
