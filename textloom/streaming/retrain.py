@@ -236,7 +236,7 @@ def label_models(tokens: DataFrame, path: str) -> None:
 def tagger_trainer(store: Store, **options) -> Callable[[DataFrame, str], None]:
     """ML-06 refitted on what a trigger trains: a new current version of the tagger in ``store`` (which batch scoring
     loads), beside the label counts of each batch.  Like any fit of that tagger, it counts labels, terms and document
-    frequencies over all rows and fits the regression on a bounded sample of them."""
+    frequencies over all rows and fits the regression on all of them, too."""
 
     def train_all(tokens: DataFrame, path: str) -> None:
         spark = tokens.sparkSession
@@ -246,9 +246,9 @@ def tagger_trainer(store: Store, **options) -> Callable[[DataFrame, str], None]:
             F.transform("t", lambda x: x["label"]).alias("tags"))
         rows = cut_lineage(TG.token_rows(sents, SENT))
         most_terms, ngram = (options.get(k, TG.BASE[k]) for k in ("max_features", "ngram"))
-        # The iterations of the fit are jobs of one task each, so the files of the counts are written beside them.
-        corpus, sample = at_once(spark, lambda: TG.corpus_features(rows, ngram, most_terms),
-                                 lambda: cut_lineage(TG.labelled_sample(rows, options.get("most_rows", TG.MOST_ROWS))))
+        # The iterations of the fit are short jobs, so the files of the counts are written beside them.
+        corpus, sample = at_once(spark, lambda: TG.corpus_features(rows, ngram, most_terms), lambda: TG.learnt_rows(
+            TG.labelled_sample(rows, options.get("most_rows")), ngram))
         at_once(spark, lambda: label_models(tokens, path), lambda: TG.save_logreg(
             store, TG.fit_logreg(rows, corpus=corpus, sample=sample, **options), path))
 
